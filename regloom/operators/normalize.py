@@ -123,6 +123,14 @@ def first_date(df: DataFrame, name: str, formats: Sequence[str] = KNOWN_FORMATS)
     return found
 
 
+def _one_row_each(df: DataFrame, records: Column, alias: str) -> DataFrame:
+    """``explode`` that infers no filter.  An inferred "array is not empty" would be
+    pushed below the mapping, which copies the whole record expression into the
+    filter once per attribute."""
+    exploded = df.select("company_number", F.explode_outer(records).alias(alias))
+    return exploded.filter(F.col(alias).isNotNull())
+
+
 def company_table(df: DataFrame, formats: Sequence[str] = KNOWN_FORMATS) -> DataFrame:
     address, kind = F.col("registered_address"), _kind(df, "registered_address")
     if isinstance(kind, T.StructType):
@@ -154,7 +162,7 @@ def officer_rows(df: DataFrame) -> DataFrame:
         ),
     )
     groups = grouped_records(df, "officers", OFFICER)
-    exploded = df.select("company_number", F.explode(F.coalesce(groups, agents)).alias("o"))
+    exploded = _one_row_each(df, F.coalesce(groups, agents), "o")
     return exploded.select("company_number", "o.*")
 
 
@@ -176,7 +184,7 @@ def officer_address_table(df: DataFrame) -> DataFrame:
 
 def address_table(df: DataFrame, name: str) -> DataFrame:
     """``mailing_address`` or ``headquarters_address`` as rows."""
-    exploded = df.select("company_number", F.explode(grouped_records(df, name, ADDRESS)).alias("a"))
+    exploded = _one_row_each(df, grouped_records(df, name, ADDRESS), "a")
     return exploded.select(
         "company_number",
         join_street(F.col("a.street_address_1"), F.col("a.street_address_2")).alias("street_address"),
@@ -189,25 +197,24 @@ def address_table(df: DataFrame, name: str) -> DataFrame:
 def identifier_table(df: DataFrame) -> DataFrame:
     uid = attribute_record(df, "company_identifiers", ("uid",)).getField("uid")
     code = attribute_record(df, "all_attributes", ("identifier_system_code",)).getField("identifier_system_code")
-    rows = df.select("company_number", code.alias("identifier_system_code"), uid.alias("uid"))
-    return rows.filter(F.col("uid").isNotNull())
+    record = F.struct(code.alias("identifier_system_code"), uid.alias("uid"))
+    rows = _one_row_each(df, F.when(uid.isNotNull(), F.array(record)), "i")
+    return rows.select("company_number", "i.*")
 
 
 def attribute_table(df: DataFrame) -> DataFrame:
     record = attribute_record(df, "all_attributes", ATTRIBUTES)
-    rows = df.filter(F.col("all_attributes").isNotNull())
+    present = F.when(F.col("all_attributes").isNotNull(), F.array(record))
+    rows = _one_row_each(df, present, "r")
     return rows.select(
         "company_number",
-        *[
-            record.getField(n).alias("receiver_appointed" if n == "receivers_appointed" else n)
-            for n in ATTRIBUTES
-        ],
+        *[F.col(f"r.{n}").alias("receiver_appointed" if n == "receivers_appointed" else n) for n in ATTRIBUTES],
     )
 
 
 def previous_name_table(df: DataFrame) -> DataFrame:
     listed = listed_records(df, "previous_names", ("Name", "Status"))
-    exploded = df.select("company_number", F.explode(listed).alias("p"))
+    exploded = _one_row_each(df, listed, "p")
     return exploded.select("company_number", F.col("p.Name").alias("previous_name"), F.col("p.Status").alias("status"))
 
 

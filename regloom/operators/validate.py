@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from regloom.functions.dates import KNOWN_FORMATS, parses
 from regloom.functions.text import non_empty
+from regloom.session import keep_above
 
 ROUTE = "_route"
 ENTRY = "struct<value:string,python_date_format:string>"
@@ -126,6 +127,7 @@ def split_by_dates(
     """(valid rows, quarantined rows).  To write both, prefer ``write_routes``:
     it computes the rows once."""
     routed = with_route(df, date_fields, no_data_ok, **options)
+    routed = routed.withColumn(ROUTE, keep_above(F.col(ROUTE)))
     valid = routed.filter(F.col(ROUTE) == "valid").drop(ROUTE)
     return valid, routed.filter(F.col(ROUTE) == "invalid").drop(ROUTE)
 

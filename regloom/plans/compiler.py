@@ -142,7 +142,8 @@ def compile_rules(
         if isinstance(target, str):
             compiled.warn(f"column {column!r} is not mapped by rule {rule.cdm_field!r}: {target}")
             continue
-        if rule.cdm_parent is not None and rule.cdm_field in model:
+        top_level_name = rule.strategy in PLAIN_STRATEGIES and rule.cdm_field in model
+        if rule.cdm_parent is not None and top_level_name:
             compiled.warn(f"rule {rule.cdm_field!r} has the name of a model column but writes below {target.path[0]!r}")
         compiled.writes.append(Write(column, target, rule))
     for rule in rules.rules.values():

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # hugeMethodLimit: a parse or mapping projection has close to a hundred output
@@ -59,3 +59,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def keep_above(c: Column) -> Column:
+    """The same value, but a filter on it stays above the projection that makes it.
+
+    A filter on a deterministic column is pushed down by copying the column's whole
+    expression, and for mapped records that expression is the parse and the mapping.
+    The id is never negative, so the value does not change.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, c)
