@@ -30,14 +30,14 @@ def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
-def append_evolving(df: DataFrame, table: str) -> None:
-    """Append to a table, creating it if absent.  Columns only the frame has are
+def append_evolving(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Append to a table, creating it if absent (at ``path`` if given).  Columns only the frame has are
     added to the table, columns only the table has are written as null.  Errors
     surface to the caller; nothing is marked done on failure."""
     spark = df.sparkSession
     encoded = encode_json(df)
     if not spark.catalog.tableExists(table):
-        encoded.write.saveAsTable(table)
+        (encoded.write if path is None else encoded.write.option("path", path)).saveAsTable(table)
         return
     known = {f.name for f in spark.table(table).schema.fields}
     new = [f for f in encoded.schema.fields if f.name not in known]
