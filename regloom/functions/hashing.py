@@ -30,41 +30,44 @@ def _escape_char(ch: Column) -> Column:
     )
 
 
-def _quoted(c: Column) -> Column:
-    body = F.replace(c, F.lit("\\"), F.lit("\\\\"))
-    single = F.contains(c, F.lit("'"))
-    double = F.contains(c, F.lit('"'))
+def _quoted(c: str) -> str:
+    """SQL text of Python's quoting: single quotes, double ones if the value has
+    a single quote and no double one."""
+    body = rf"replace({c}, '\\', '\\\\')"
     return (
-        F.when(c.isNull(), F.lit("None"))
-        .when(~single, F.concat(F.lit("'"), body, F.lit("'")))
-        .when(~double, F.concat(F.lit('"'), body, F.lit('"')))
-        .otherwise(F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'")))
+        f"CASE WHEN {c} IS NULL THEN 'None' "
+        rf"WHEN NOT contains({c}, '\'') THEN concat('\'', {body}, '\'') "
+        rf"""WHEN NOT contains({c}, '"') THEN concat('"', {body}, '"') """
+        rf"ELSE concat('\'', replace({body}, '\'', '\\\''), '\'') END"
     )
 
 
-def tuple_text(cols: Sequence[Column], plain: Column | None = None) -> Column:
-    """Python's text of the tuple of ``cols``.
+def tuple_text(
+    cols: Sequence[str], printable: Column | None = None, plain: Column | None = None
+) -> Column:
+    """Python's text of the tuple of ``cols``, column names or SQL expressions.
 
-    ``plain`` may name a boolean column that is true only where no value is null
-    and all hold printable ASCII without quotes or backslash; such rows need no
-    escaping and take a single concat.
+    Two boolean columns may spare work where they are true: ``printable`` rows
+    hold only printable characters, so nothing but quotes and backslashes needs
+    care; ``plain`` rows hold none of those either and no null, so one concat does.
     """
     end = ",)" if len(cols) == 1 else ")"
-    joined = F.concat(F.lit("("), F.concat_ws(", ", *[_quoted(c) for c in cols]), F.lit(end))
+    joined = F.expr(f"concat('(', concat_ws(', ', {', '.join(_quoted(c) for c in cols)}), '{end}')")
     # Quotes and commas are printable, so escaping may run once over the whole text.
-    escaped = F.when(
-        joined.rlike(UNPRINTABLE), F.array_join(F.transform(F.split(joined, ""), _escape_char), "")
-    ).otherwise(joined)
+    odd = joined.rlike(UNPRINTABLE)
+    if printable is not None:
+        odd = ~printable & odd
+    text = F.when(odd, F.array_join(F.transform(F.split(joined, ""), _escape_char), "")).otherwise(joined)
     if plain is None:
-        return escaped
-    simple = F.concat(F.lit("('"), F.concat_ws("', '", *cols), F.lit("'" + end))
-    return F.when(plain, simple).otherwise(escaped)
+        return text
+    simple = F.expr(rf"concat('(\'', concat_ws('\', \'', {', '.join(cols)}), '\'{end}')")
+    return F.when(plain, simple).otherwise(text)
 
 
 def short_hash(text: Column) -> Column:
-    digest = F.translate(F.base64(F.unhex(F.sha2(text, 256))), "+/", "-_")
-    return F.regexp_replace(digest, "(.).", "$1")
+    digest = F.base64(F.unhex(F.sha2(text, 256)))
+    return F.translate(F.regexp_replace(digest, "(.).", "$1"), "+/", "-_")
 
 
-def row_hash(cols: Sequence[Column], plain: Column | None = None) -> Column:
-    return short_hash(tuple_text(cols, plain))
+def row_hash(cols: Sequence[str], printable: Column | None = None, plain: Column | None = None) -> Column:
+    return short_hash(tuple_text(cols, printable, plain))

@@ -13,6 +13,7 @@ WHITESPACE_CODES = (
     + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 )
 WHITESPACE = "".join(map(chr, WHITESPACE_CODES))
+WHITESPACE_SQL = "'" + "".join(f"\\u{c:04X}" for c in WHITESPACE_CODES) + "'"
 
 # Code points of the line boundaries of str.splitlines() that
 # Spark's text reader does not break at.

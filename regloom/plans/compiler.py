@@ -186,29 +186,37 @@ def _check_tree(compiled: CompiledMapping) -> None:
 
 
 class _Cells:
-    """Source cells as expressions: value, and whether the cell holds anything."""
+    """Source cells as expressions: value, and whether the cell holds anything.
+    Each expression is built once, however many targets refer to it."""
 
     def __init__(self, schema: T.StructType):
         self.types = {f.name: f.dataType for f in schema.fields}
+        self.known: dict[tuple, Column] = {}
 
     def raw(self, name: str) -> Column:
-        return F.col("`" + name.replace("`", "``") + "`")
+        return self._once(("raw", name), lambda: named(name))
 
     def value(self, name: str) -> Column:
-        return non_empty(self.raw(name)) if self.is_text(name) else self.raw(name)
+        raw = self.raw(name)
+        return self._once(("value", name), lambda: non_empty(raw)) if self.is_text(name) else raw
 
     def is_text(self, name: str) -> bool:
         return isinstance(self.types[name], T.StringType)
 
-    def present(self, name: str) -> Column:
-        """True or null/false; short-circuits well in an OR chain."""
-        return (self.raw(name) != "") if self.is_text(name) else self.raw(name).isNotNull()
-
     def any_present(self, names: Sequence[str]) -> Column:
-        seen = None
-        for name in dict.fromkeys(names):
-            seen = self.present(name) if seen is None else seen | self.present(name)
-        return F.coalesce(seen, F.lit(False)) if seen is not None else F.lit(False)
+        """Does any of the cells hold a value? Stops at the first that does."""
+        tests = [
+            f"{_sql_name(n)} <> ''" if self.is_text(n) else f"{_sql_name(n)} IS NOT NULL"
+            for n in dict.fromkeys(names)
+        ]
+        if not tests:
+            return F.lit(False)
+        return self._once(("any", *tests), lambda: F.expr(f"coalesce({' OR '.join(tests)}, false)"))
+
+    def _once(self, key: tuple, make) -> Column:
+        if key not in self.known:
+            self.known[key] = make()
+        return self.known[key]
 
     def as_written(self, write: Write, as_text: bool) -> Column:
         value = self.value(write.column)
@@ -346,8 +354,12 @@ def map_to_cdm(
     return df.select(*out, *extra, *[named(c) for c in keep])
 
 
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_sql_name(name))
 
 
 def _constant(value) -> Column | None:

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 # hugeMethodLimit: a parse or mapping projection has close to a hundred output
 # columns.  Past HotSpot's 8000-bytecode limit a fused method is never JIT
 # compiled, so such projections run faster as split methods.
+# dataFrameDebugging: recording a call site for every column call doubles the time
+# it takes to build a wide plan.
 RECOMMENDED = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

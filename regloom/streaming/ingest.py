@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regloom.functions.text import stem
-from regloom.operators.parse import explode_lines, parse_fixed_width
+from regloom.operators.parse import parse_fixed_width
 from regloom.operators.schema import encode_json
 from regloom.operators.validate import ROUTE, with_route
 from regloom.plans.compiler import map_to_cdm
@@ -23,7 +23,7 @@ def stream_lines(spark: SparkSession, path: str, glob: str = "*.txt", max_files:
     reader = spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return explode_lines(reader.text(path).select("value", F.col("_metadata.file_path").alias("path")), keep=["path"])
+    return reader.text(path).select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def stream_rows(
@@ -43,7 +43,7 @@ def records_from_lines(
     lines: DataFrame, layout: Layout, rules: MappingRules, metadata: Mapping[str, Column | str | None] | None = None
 ) -> DataFrame:
     """Lines to routed company records: one narrow stage."""
-    parsed = parse_fixed_width(lines, layout, keep=["path"])
+    parsed = parse_fixed_width(lines, layout, keep=["path"], decode=True)
     return records_from_rows(parsed, rules, metadata)
 
 

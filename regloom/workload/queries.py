@@ -108,7 +108,7 @@ def fw_parse(spark, sf_dir):
     """Lines written as text files, read back, sliced and hashed."""
     layout, path = layout_for("us_fl"), scratch_dir(spark, "lines")
     render_fixed_width(registry(spark, sf_dir), layout).write.text(path)
-    return parse_fixed_width(readers.read_lines(spark, path), layout)
+    return parse_fixed_width(spark.read.text(path), layout, decode=True)
 
 
 @query
@@ -144,7 +144,7 @@ def fw_dirty(spark, sf_dir):
 @query
 def row_hash_registry(spark, sf_dir):
     rows = registry(spark, sf_dir)
-    return rows.select("COR_NUMBER", row_hash([F.col(c) for c in columns()]).alias("hash"))
+    return rows.select("COR_NUMBER", row_hash(list(columns())).alias("hash"))
 
 
 @query
@@ -152,7 +152,7 @@ def row_hash_documents(spark, sf_dir):
     """Hash over whole texts, with line breaks and both kinds of quotes."""
     docs = read_table(spark, sf_dir, "documents")
     fields = docs.selectExpr("doc_id", "concat(lang, chr(39), source) AS origin", "replace(text, 'ion', chr(39)) AS body")
-    return fields.select("doc_id", row_hash([F.col("origin"), F.col("body")]).alias("hash"))
+    return fields.select("doc_id", row_hash(["origin", "body"]).alias("hash"))
 
 
 # --- sources and sinks ---

@@ -93,11 +93,11 @@ def test_hash_text_of_any_columns(spark):
     rng = random.Random(3)
     rows = [tuple("".join(rng.choices(ALPHABET, k=rng.randint(0, 6))) for _ in range(2)) for _ in range(300)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, a string, b string")
-    got = df.select("id", tuple_text([F.col("a"), F.col("b")]).alias("t"), tuple_text([F.col("a")]).alias("one")).collect()
+    got = df.select("id", tuple_text(["a", "b"]).alias("t"), tuple_text(["a"]).alias("one")).collect()
     for r in got:
         assert r.t == str(rows[r.id])
         assert r.one == str((rows[r.id][0],))
-    null = spark.sql("select cast(null as string) a").select(row_hash([F.col("a")]).alias("h")).head()[0]
+    null = spark.sql("select cast(null as string) a").select(row_hash(["a"]).alias("h")).head()[0]
     assert null == python_hash([None])
 
 
