@@ -21,15 +21,28 @@ def _escape_char(ch: Column) -> Column:
     digits = F.lower(F.hex(code))
     return (
         F.when(~ch.rlike(UNPRINTABLE), ch)
-        .when(ch == "\t", F.lit("\\t"))
-        .when(ch == "\n", F.lit("\\n"))
-        .when(ch == "\r", F.lit("\\r"))
         .when(code < 0x100, F.concat(F.lit("\\x"), F.lpad(digits, 2, "0")))
         .when(code < 0x10000, F.concat(F.lit("\\u"), F.lpad(digits, 4, "0")))
         .otherwise(F.concat(F.lit("\\U"), F.lpad(digits, 8, "0")))
     )
 
 
+def _escaped(text: Column) -> Column:
+    """Line breaks and tabs by plain replacement; character by character only where
+    something rarer is left."""
+    common = text
+    for char, code in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        common = F.replace(common, F.lit(char), F.lit(code))
+    # Bound to a lambda variable, so the text is built once.
+    rare = F.transform(
+        F.array(common),
+        lambda t: F.when(
+            t.rlike(UNPRINTABLE), F.array_join(F.transform(F.split(t, ""), _escape_char), "")
+        ).otherwise(t),
+    )
+    return F.get(rare, F.lit(0))
+
+
 def _quoted(c: str) -> str:
     """SQL text of Python's quoting: single quotes, double ones if the value has
     a single quote and no double one."""
@@ -57,7 +70,7 @@ def tuple_text(
     odd = joined.rlike(UNPRINTABLE)
     if printable is not None:
         odd = ~printable & odd
-    text = F.when(odd, F.array_join(F.transform(F.split(joined, ""), _escape_char), "")).otherwise(joined)
+    text = F.when(odd, _escaped(joined)).otherwise(joined)
     if plain is None:
         return text
     simple = F.expr(rf"concat('(\'', concat_ws('\', \'', {', '.join(cols)}), '\'{end}')")

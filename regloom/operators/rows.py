@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regloom.session import materialise
 
@@ -53,13 +54,29 @@ def with_chunk_index(
     return numbered.withColumn(name, F.floor(F.col("__row") / size).cast("long")).drop("__row")
 
 
+def _leading_rows(df: DataFrame, column: str, n: int) -> DataFrame:
+    """Rows that are sure to hold the first ``n`` by ``column``: those up to an
+    estimated quantile, if counting shows that they suffice, else all rows."""
+    if not isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+        return df
+    total = df.count()
+    if total <= 4 * n:
+        return df
+    cut = df.agg(F.percentile_approx(column, min(1.0, 2.0 * n / total), 10_000)).head()[0]
+    if cut is None:
+        return df
+    leading = df.filter(F.col(column).isNull() | (F.col(column) <= F.lit(cut)))
+    return leading if leading.count() >= n else df
+
+
 def head_samples(
     df: DataFrame, order_by: Sequence[str], sizes: Sequence[int] = SAMPLE_SIZES
 ) -> dict[int, DataFrame]:
-    """The first n rows for each size.  Rows are numbered once for all sizes."""
+    """The first n rows for each size.  Rows are numbered once for all sizes, and
+    only the rows that can be among the first are sorted."""
     if not sizes or min(sizes) < 1:
         raise ValueError("sample sizes must be positive")
-    numbered = number_rows(df, order_by, "__row")
+    numbered = number_rows(_leading_rows(df, order_by[0], max(sizes)), order_by, "__row")
     return {n: numbered.filter(F.col("__row") < n).drop("__row") for n in sizes}
 
 

@@ -40,20 +40,24 @@ def _struct_entries(c: Column, kind: T.StructType, format_name: str, no_data_ok:
     return entries
 
 
-def _text_entries(c: Column, format_name: str) -> Column:
-    """Array of (is_object, value, format) of JSON text, in text order."""
-    parsed = F.from_json(c, "map<string,string>")
+def _text_entries(c: Column, format_name: str, first_only: bool) -> Column:
+    """Array of (object, value, fmt) of JSON text, in text order."""
+    parsed = F.map_values(F.from_json(c, "map<string,string>"))
     kind = f"struct<value:string,{format_name}:string>"
 
     def entry(raw: Column) -> Column:
-        decoded = F.from_json(raw, kind)
-        return F.struct(
-            F.coalesce(F.ltrim(raw).startswith("{"), F.lit(False)).alias("object"),
-            decoded.getField("value").alias("value"),
-            decoded.getField(format_name).alias("fmt"),
-        )
+        is_object = F.coalesce(F.ltrim(raw).startswith("{"), F.lit(False))
+        return F.struct(is_object.alias("object"), F.from_json(raw, kind).alias("entry"))
 
-    return F.transform(F.map_values(parsed), entry)
+    found = F.transform(F.slice(parsed, 1, 1) if first_only else parsed, entry)
+    return F.transform(
+        found,
+        lambda e: F.struct(
+            e.getField("object").alias("object"),
+            e.getField("entry").getField("value").alias("value"),
+            e.getField("entry").getField(format_name).alias("fmt"),
+        ),
+    )
 
 
 def is_date_valid(
@@ -84,7 +88,7 @@ def is_date_valid(
             decided = seen & every
         return F.when(c.isNull(), F.lit(no_data_ok)).otherwise(F.coalesce(decided, F.lit(no_data_ok)))
     if isinstance(kind, T.StringType):
-        array, empty = _text_entries(c, format_name), c == ""
+        array, empty = _text_entries(c, format_name, mode == "first"), c == ""
     elif isinstance(kind, T.MapType):
         array = F.transform(
             F.map_values(c),
@@ -99,11 +103,12 @@ def is_date_valid(
     def ok(e: Column) -> Column:
         return e.getField("object") & _entry_ok(e.getField("value"), e.getField("fmt"), no_data_ok, formats)
 
+    # Judged inside a lambda, so an entry is decoded once and not once per test.
     if mode == "first":
-        first = F.get(array, F.lit(0))
-        decided = ok(first)
+        decided = F.get(F.transform(F.slice(array, 1, 1), ok), F.lit(0))
     else:
-        decided = (F.size(array) > 0) & F.forall(array, ok)
+        judged = F.transform(array, ok)
+        decided = F.exists(judged, lambda v: v.isNotNull()) & F.forall(judged, lambda v: v)
     return F.when(c.isNull() | empty, F.lit(no_data_ok)).otherwise(F.coalesce(decided, F.lit(False)))
 
 

@@ -56,6 +56,16 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out to all cores.
+
+    For narrow rows ahead of heavy per-row work (rendering, parsing, hashing).  A
+    scan that already has enough splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after checking the row count; past the bound the
     plain join (sort-merge with skew handling) is left in place."""

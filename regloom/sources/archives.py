@@ -17,10 +17,6 @@ MEMBER_SCHEMA = "archive string, member string, size long"
 LINE_SCHEMA = "archive string, member string, value binary"
 
 
-def source_name(member: str) -> str:
-    return member.rsplit("/", 1)[-1].split(".")[0]
-
-
 def read_archives(spark, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true")
     return files.load(path).select(F.col("path").alias("archive"), "content")
@@ -54,6 +50,7 @@ def expand_archives(archives: DataFrame) -> DataFrame:
     """
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
         for batch in batches:
             for archive, content in zip(batch["archive"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
@@ -61,8 +58,13 @@ def expand_archives(archives: DataFrame) -> DataFrame:
                         if info.is_dir():
                             continue
                         with z.open(info) as stream:
-                            for some in _line_batches(stream):
-                                yield pd.DataFrame({"archive": archive, "member": info.filename, "value": some})
+                            for line in stream:
+                                rows.append((archive, info.filename, line))
+                                if len(rows) >= BATCH_LINES:
+                                    yield pd.DataFrame(rows, columns=["archive", "member", "value"])
+                                    rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["archive", "member", "value"])
 
     raw = archives.mapInPandas(lines, LINE_SCHEMA)
     text = raw.select("archive", "member", F.regexp_replace(F.make_valid_utf8(F.col("value").cast("string")), "\r?\n?$", "").alias("value"))
@@ -70,14 +72,3 @@ def expand_archives(archives: DataFrame) -> DataFrame:
     rows = explode_lines(broken, keep=["archive", "member"])
     name = F.substring_index(F.regexp_extract("member", "([^/]*)$", 1), ".", 1)
     return rows.select("archive", "member", name.alias("source_name"), "value")
-
-
-def _line_batches(stream) -> Iterator[list[bytes]]:
-    some: list[bytes] = []
-    for line in stream:
-        some.append(line)
-        if len(some) >= BATCH_LINES:
-            yield some
-            some = []
-    if some:
-        yield some

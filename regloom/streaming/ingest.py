@@ -56,8 +56,8 @@ def records_from_rows(
     return encode_json(with_route(records, rules.date_fields(), formats=rules.date_formats()))
 
 
-def ingest_available(stream: DataFrame, sink: str, checkpoint: str, partition_by: tuple[str, ...] = (ROUTE,)) -> int:
-    """Process all files not seen before, then stop; returns the rows read.
+def ingest_available(stream: DataFrame, sink: str, checkpoint: str, partition_by: tuple[str, ...] = (ROUTE,)) -> None:
+    """Process all files not seen before, then stop.
 
     The checkpoint is the ledger of processed files: a file is taken exactly once,
     also when a run is interrupted and repeated.
@@ -66,6 +66,4 @@ def ingest_available(stream: DataFrame, sink: str, checkpoint: str, partition_by
     parts = [c for c in partition_by if c in stream.columns]
     if parts:
         writer = writer.partitionBy(*parts)
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    writer.trigger(availableNow=True).start().awaitTermination()

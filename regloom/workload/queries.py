@@ -22,7 +22,7 @@ from regloom.operators.parse import explode_lines, parse_fixed_width, render_fix
 from regloom.plans.compiler import map_to_cdm
 from regloom.plans.layout import Layout
 from regloom.plans.rules import MappingRules
-from regloom.session import RECOMMENDED, scratch_dir
+from regloom.session import RECOMMENDED, scratch_dir, spread
 from regloom.sources import archives, inventory, readers, writers
 from regloom.streaming import ingest
 from regloom.workload.registry import columns, read_table, registry
@@ -132,7 +132,7 @@ DIRTY_LAYOUT = Layout.from_dict(
 @query
 def fw_dirty(spark, sf_dir):
     """Document lines with quotes, tabs, no-break blanks and non-ASCII text."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     dirty = lines.selectExpr(
         "doc_id",
@@ -150,7 +150,7 @@ def row_hash_registry(spark, sf_dir):
 @query
 def row_hash_documents(spark, sf_dir):
     """Hash over whole texts, with line breaks and both kinds of quotes."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     fields = docs.selectExpr("doc_id", "concat(lang, chr(39), source) AS origin", "replace(text, 'ion', chr(39)) AS body")
     return fields.select("doc_id", row_hash(["origin", "body"]).alias("hash"))
 

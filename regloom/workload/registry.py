@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from regloom.jurisdictions import layout_for
+from regloom.session import spread
 
 KEY = "c_custkey"
 APOSTROPHE = "chr(39)"
@@ -102,7 +103,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def registry(spark: SparkSession, sf_dir: str, wanted: list[str] | None = None) -> DataFrame:
     """The registry rows as text columns."""
-    customer = read_table(spark, sf_dir, "customer")
+    customer = spread(read_table(spark, sf_dir, "customer"))
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     keyed = customer.selectExpr("*", f"{AGENT_KEY} AS agent_key")

@@ -467,6 +467,10 @@ def test_head_samples(spark):
     df = spark.range(0, 500, numPartitions=6).select((F.lit(499) - F.col("id")).alias("k"))
     got = head_samples(df, ["k"], (3, 250))
     assert sorted(r.k for r in got[3].collect()) == [0, 1, 2] and got[250].agg(F.max("k")).head()[0] == 249
+    tied = spark.range(0, 5000, numPartitions=6).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 100 = 1 THEN NULL ELSE id END AS k", "id")
+    head = [(r.k, r.id) for r in head_samples(tied, ["k", "id"], (5, 40))[40].collect()]
+    rows = [(r.k, r.id) for r in tied.collect()]
+    assert sorted(head, key=str) == sorted(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:40], key=str)
     assert sample_path("a/b.csv", 1000) == "a/b_1000.csv"
 
 
@@ -482,13 +486,14 @@ def test_streaming_takes_each_file_once(spark, tmp_path):
         (src / f"{name}.txt").write_text("\n".join(r[0] for r in render_fixed_width(df, layout).collect()) + "\n")
 
     def run():
-        return ingest_available(records_from_lines(stream_lines(spark, str(src)), layout, rules_for("us_fl")), sink, ledger_path)
+        ingest_available(records_from_lines(stream_lines(spark, str(src)), layout, rules_for("us_fl")), sink, ledger_path)
+        return spark.read.parquet(sink).count()
 
     land("a", 3)
     assert run() == 3
     land("b", 2)
-    assert run() == 2
-    assert run() == 0
+    assert run() == 5
+    assert run() == 5
     out = spark.read.parquet(sink)
     assert out.count() == 5 and out.filter("_route = 'invalid'").count() == 2
     assert {r.source_name for r in out.collect()} == {"a", "b"}
