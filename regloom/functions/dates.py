@@ -27,8 +27,9 @@ DIRECTIVES = {
     "S": r"[0-5]\d|\d",
     "f": r"\d{1,6}",
 }
+# The date_format letters that print what strftime prints.
+PRINTED = {"d": "dd", "m": "MM", "Y": "yyyy", "y": "yy", "b": "MMM", "B": "MMMM"}
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-FULL_MONTHS = "January February March April May June July August September October November December"
 BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 # Formats of the shipped rule sets, the file-time formats and the common others.
@@ -48,18 +49,28 @@ class DateFormat:
     """A strptime format taken apart: a Java pattern and its directives in order."""
 
     source: str
-    pattern: str
+    prefix: str
     tokens: tuple[tuple[str, str], ...]  # ("text", literal) or ("field", directive)
     groups: tuple[str, ...]
 
+    @property
+    def pattern(self) -> str:
+        return self.prefix + r"\z"
+
 
 def parse_format(fmt: str) -> DateFormat:
     tokens: list[tuple[str, str]] = []
     groups: list[str] = []
     pattern = ""
+
+    def text(literal: str) -> None:
+        if tokens and tokens[-1][0] == "text":
+            literal = tokens.pop()[1] + literal
+        tokens.append(("text", literal))
+
     for token in re.findall(r"%.|\s+|[^%\s]+|%$", fmt):
         if token == "%%":
-            tokens.append(("text", "%"))
+            text("%")
             pattern += "%"
         elif token.startswith("%"):
             name = token[1:]
@@ -71,14 +82,14 @@ def parse_format(fmt: str) -> DateFormat:
             tokens.append(("field", name))
             pattern += f"({DIRECTIVES[name]})"
         elif token.isspace():
-            tokens.append(("text", token))
+            text(token)
             pattern += BLANKS
         else:
-            tokens.append(("text", token))
+            text(token)
             pattern += re.sub(r"([\\.^$*+?(){}\[\]|])", r"\\\1", token)
     # Atomic: strptime takes the first way to match and only then looks whether
     # anything is left over; it never backtracks to use up the whole text.
-    return DateFormat(fmt, rf"(?i)\A(?>{pattern})\z", tuple(tokens), tuple(groups))
+    return DateFormat(fmt, rf"(?i)\A(?>{pattern})", tuple(tokens), tuple(groups))
 
 
 class _Parsed:
@@ -117,10 +128,36 @@ class _Parsed:
 
     def date(self) -> Column:
         """The date, or null when the text does not parse."""
+        if "Y" in self.fmt.groups and set(self.fmt.groups) <= {"Y", "m", "d"}:
+            return self._numeric_date()
         year = self.year()
         parsed = F.concat(year, F.lit("-"), self.month(), F.lit("-"), self.day()).try_cast("date")
         return F.when(self.c.rlike(self.fmt.pattern) & (year != "0000"), parsed)
 
+    def _numeric_date(self) -> Column:
+        """One replacement turns a match into ``year-month-day~rest``.  Any other
+        text becomes ``--~``, as then all groups are empty."""
+
+        def group(name: str) -> str:
+            return f"${self.fmt.groups.index(name) + 1}" if name in self.fmt.groups else "01"
+
+        rest = f"${len(self.fmt.groups) + 1}"
+        either = rf"{self.fmt.prefix}((?s:.*))\z|\A(?s:.*)\z"
+        iso = F.regexp_replace(self.c, either, f"{group('Y')}-{group('m')}-{group('d')}~{rest}")
+        parsed = F.replace(F.substring_index(iso, "~", 1), F.lit(" "), F.lit("")).try_cast("date")
+        used_up = F.instr(iso, "~") == F.char_length(iso)
+        return F.when(used_up & ~F.startswith(iso, F.lit("0000")), parsed)
+
+    def normalised(self) -> Column:
+        """The text printed back, or unchanged where it does not parse."""
+        parsed = self.date()
+        if set(self.fmt.groups) <= set(PRINTED):
+            pattern = ""
+            for kind, token in self.fmt.tokens:
+                pattern += PRINTED[token] if kind == "field" else "'" + token.replace("'", "''") + "'"
+            return F.coalesce(F.date_format(parsed, pattern), self.c)
+        return F.when(parsed.isNotNull(), self.rendered()).otherwise(self.c)
+
     def rendered(self) -> Column:
         parts = []
         for kind, token in self.fmt.tokens:
@@ -147,8 +184,7 @@ def to_lenient_date(c: Column, fmt: str) -> Column:
 def normalise_date(c: Column, fmt: str) -> Column:
     """Text printed back in its own format (zero-padded); unchanged where it does
     not parse, so that validation can route the row later."""
-    parsed = _Parsed(c, parse_format(fmt))
-    return F.when(parsed.date().isNotNull(), parsed.rendered()).otherwise(c)
+    return _Parsed(c, parse_format(fmt)).normalised()
 
 
 def date_struct(c: Column, date_format: str | None, python_date_format: str) -> Column:

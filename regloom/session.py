@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# hugeMethodLimit: a parse or mapping projection has close to a hundred output
+# codegen.maxFields, hugeMethodLimit: a parse or mapping projection has close to a hundred output
 # columns.  Past HotSpot's 8000-bytecode limit a fused method is never JIT
-# compiled, so such projections run faster as split methods.
+# compiled, so such projections run faster as split methods; below the field limit
+# they are not fused, and compiled for nothing, in the first place.
 # dataFrameDebugging: recording a call site for every column call doubles the time
 # it takes to build a wide plan.
 RECOMMENDED = {
@@ -18,6 +19,7 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.maxFields": "60",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

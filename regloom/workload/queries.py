@@ -36,7 +36,7 @@ FETCHED_AT, PARSED_AT, MAPPED_AT = "2024-10-07T05:00:00", "2024-10-07T06:00:00",
 def query(fn: Query) -> Query:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        for key in ("spark.sql.session.timeZone", "spark.sql.codegen.maxFields", "spark.sql.codegen.hugeMethodLimit"):
             spark.conf.set(key, RECOMMENDED[key])
         return fn(spark, sf_dir.rstrip("/"))
 
