@@ -37,7 +37,7 @@ def read_source(
         reader = reader.schema(schema)
     if kind == "csv":
         reader = reader.options(**{**CSV_OPTIONS, **options})
-        # A declared schema names the columns wanted; match them to the header.
+        # A declared schema has to agree with the header; Spark then refuses a file that differs.
         return reader.option("enforceSchema", "false").csv(paths) if schema is not None else reader.csv(paths)
     if kind == "json_lines":
         return reader.options(**options).json(paths)

@@ -502,3 +502,41 @@ def test_streaming_takes_each_file_once(spark, tmp_path):
 def test_as_timestamp_kinds(spark):
     assert one(spark, as_timestamp(F.lit("nope"), "text")) is None
     assert one(spark, as_timestamp(F.lit(0), "epoch")).replace(tzinfo=timezone.utc).timestamp() == 0
+
+
+def test_configuration_files(spark, tmp_path):
+    from regloom.functions.keys import check_jurisdiction, source_table, staging_table
+    from regloom.plans.layout import Layout, load_layout
+    from regloom.plans.rules import load_rules
+
+    rules = {"meta_data": {"file_name": "r", "version": "2", "extra": 1}, "rules": {"a": {"source_field": "x", "cdm_field": "name", "note": "n"}}}
+    (tmp_path / "rules.json").write_text(json.dumps(rules))
+    layout = {"meta_data": {"file_name": "l", "version": "3"}, "fields": [{"name": "x", "start": 1, "end": 4, "length": 4}]}
+    (tmp_path / "layout.json").write_text(json.dumps(layout, indent=2))
+    for session in (None, spark):
+        assert load_rules(str(tmp_path / "rules.json"), session).label == "r:2"
+        loaded = load_layout(str(tmp_path / "layout.json"), session)
+        assert loaded.parsed_by == "l_3" and loaded.fields[0].length == 4
+    with pytest.raises(ValueError):
+        Layout.from_dict({"fields": [{"name": "x", "start": 0, "end": 4}]})
+    assert check_jurisdiction("im") == "im"
+    with pytest.raises(ValueError):
+        check_jurisdiction("xx")
+    assert (source_table("im"), staging_table("im"), staging_table("im", False)) == ("src_im", "stg_im", "stg_im_invalid")
+
+
+def test_scratch_folder_follows_the_session(spark):
+    from regloom.session import broadcast_if_small, scratch_dir
+
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    small, large = spark.range(5), spark.range(50)
+    plan = large.join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in plan
+    plan = small.join(broadcast_if_small(large, 10), "id")._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in plan
+
+
+def test_split_keeps_its_filter_above_the_mapping(spark):
+    valid, _ = split_by_dates(company_rows(spark), ["incorporation_date"], formats=["%m%d%Y"])
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("__plain") and "Exchange" not in plan
