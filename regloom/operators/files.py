@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regloom.functions.keys import as_timestamp
+from regloom.plans.layout import read_config
 from regloom.session import broadcast_if_small
 
 # States of a queued task.
@@ -48,6 +49,41 @@ def files_diff(
     return joined.filter(is_new_or_changed(F.col("__found"), ts, F.col("__target"))).select(*source.columns)
 
 
+MANIFEST_SCHEMA = (
+    "ingest_config string, jurisdiction string, source_path string, target_path string, file_pattern string, "
+    "file_names string, periodicity string, content_type string, check_timestamp boolean"
+)
+
+
+def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Manifest frame of a JSON file ``{ingest_config: {jurisdiction, source_path, …}}``.
+
+    ``periodicity`` is daily and ``check_timestamp`` false unless given.  Transport
+    settings (secrets, download strategy) are of no use here and left out.
+    """
+    rows = []
+    for name, entry in read_config(path, spark).items():
+        missing = [k for k in ("jurisdiction", "source_path", "target_path") if not entry.get(k)]
+        if missing:
+            raise ValueError(f"manifest entry {name!r} lacks {', '.join(missing)}")
+        if bool(entry.get("file_pattern")) == bool(entry.get("file_names")):
+            raise ValueError(f"manifest entry {name!r}: give either file_pattern or file_names")
+        rows.append(
+            (
+                name,
+                entry["jurisdiction"],
+                entry["source_path"],
+                entry["target_path"],
+                entry.get("file_pattern"),
+                entry.get("file_names"),
+                entry.get("periodicity", "daily"),
+                entry.get("content_type"),
+                bool(entry.get("check_timestamp", False)),
+            )
+        )
+    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+
+
 def check_manifest(manifest: DataFrame) -> DataFrame:
     """Every entry names either a file pattern or file names; a bad entry stops
     the job."""

@@ -70,9 +70,14 @@ def ledger_transition(
 def ledger_upsert(
     ledger: DataFrame, added: DataFrame, keys: Sequence[str] = ("object_key",)
 ) -> DataFrame:
-    """Ledger with ``added`` rows put in; a row of the same key is replaced."""
-    both = ledger.withColumn("__new", F.lit(0)).unionByName(added.withColumn("__new", F.lit(1)))
+    """Ledger with ``added`` rows put in; a row of the same key is replaced.
+
+    Only the keys of the ledger are joined, so a small batch of additions is
+    broadcast and the ledger stays where it is.  Of equal keys within ``added`` the
+    largest row is taken.
+    """
     rest = [c for c in ledger.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.col("__new"))
-    merged = both.groupBy(*keys).agg(last.alias("__row"))
-    return merged.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*ledger.columns)
+    once = added.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__row"))
+    once = once.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
+    kept = ledger.join(once.select(*keys), list(keys), "left_anti").select(*ledger.columns)
+    return kept.unionByName(once)

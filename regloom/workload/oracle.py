@@ -336,6 +336,13 @@ ORACLE: dict[str, str] = {
         + obj(member("registry_type", "STATE_COUNTRY"))
         + " AS all_attributes"
     ),
+    "norm_previous_names": from_reg("COR_NUMBER AS company_number, PRINC2_NAME AS previous_name, COR_STATUS AS status", "WHERE PRINC2_NAME <> ''")
+    + " UNION ALL SELECT COR_NUMBER, COR_NAME, COR_STATUS FROM reg WHERE PRINC2_NAME <> ''",
+    "norm_agents": from_reg(
+        f"""COR_NUMBER AS company_number, RA_NAME AS officer_name, nullif(RA_CITY, '') AS street_address, {NONE} AS locality,
+        {NONE} AS region, {NONE} AS postal_code""",
+        "WHERE RA_NAME <> ''",
+    ),
     "meta_stamp": from_reg(
         f"""COR_NUMBER, CASE WHEN n_nationkey % 3 = 0 THEN concat('s', n_nationkey) ELSE concat(n_name, '.zip') END AS source_name,
         'sftp' AS fetched_by, strftime(TIMESTAMP '2024-10-07 05:00:00' + to_days(n_nationkey), '%Y-%m-%dT%H:%M:%S') AS fetched_at,

@@ -521,23 +521,45 @@ def cdm_full(spark, sf_dir):
     return schema_ops.encode_json(company_records(spark, sf_dir))
 
 
-@query
-def cdm_isle_of_man(spark, sf_dir):
+def isle_of_man_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines with lists of objects, mapped with the second rule set."""
-    rows = registry(spark, sf_dir, ["COR_NUMBER", "COR_NAME", "COR_STATUS", "RA_NAME", "RA_CITY", "STATE_COUNTRY", "REPORT_YEAR_1"])
+    wanted = ["COR_NUMBER", "COR_NAME", "COR_STATUS", "RA_NAME", "RA_CITY", "STATE_COUNTRY", "REPORT_YEAR_1", "PRINC2_NAME"]
+    rows = registry(spark, sf_dir, wanted)
+    agents = F.array(F.struct(F.col("RA_NAME").alias("Agent"), F.col("RA_CITY").alias("Address")))
+
+    def former(name: str) -> Column:
+        return F.struct(F.col(name).alias("Name"), F.col("COR_STATUS").alias("Status"))
+
     source = rows.select(
         F.col("COR_NUMBER").alias("Number"),
         F.col("COR_NAME").alias("Name"),
         F.concat(F.lit("3 Oct "), F.col("REPORT_YEAR_1")).alias("Date of Registration"),
-        F.when(F.col("RA_NAME") != "", F.array(F.struct(F.col("RA_NAME").alias("Agent"), F.col("RA_CITY").alias("Address")))).alias("Registered Agents"),
+        F.when(F.col("RA_NAME") != "", agents).alias("Registered Agents"),
+        F.when(F.col("PRINC2_NAME") != "", F.array(former("PRINC2_NAME"), former("COR_NAME"))).alias("Previous Names"),
         F.col("STATE_COUNTRY").alias("Registry Type"),
     )
     lines = source.select(F.to_json(F.struct("*")).alias("value"))
     parsed = lines.select(F.from_json("value", im.source_schema()).alias("v")).select("v.*")
-    records = schema_ops.encode_json(map_to_cdm(parsed, rules_for("im")))
+    return map_to_cdm(parsed, rules_for("im"))
+
+
+@query
+def cdm_isle_of_man(spark, sf_dir):
+    records = schema_ops.encode_json(isle_of_man_records(spark, sf_dir))
     return records.select("company_number", "name", "jurisdiction_code", "incorporation_date", "officers", "all_attributes")
 
 
+@query
+def norm_previous_names(spark, sf_dir):
+    return norm.previous_name_table(isle_of_man_records(spark, sf_dir))
+
+
+@query
+def norm_agents(spark, sf_dir):
+    """Officers given as a list, with their addresses."""
+    return norm.officer_address_table(isle_of_man_records(spark, sf_dir))
+
+
 # --- metadata, encoding, alignment ---
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regloom.functions.keys import as_timestamp, content_type, layout_key, raw_key, rules_key, target_key
 from regloom.jurisdictions import layout_for, rules_for
-from regloom.operators.files import files_diff, group_paths, plan_workload, size_range
+from regloom.operators.files import files_diff, group_paths, load_manifest, plan_workload, size_range
 from regloom.operators.ledger import ledger_filter, ledger_transition, ledger_upsert, new_items
 from regloom.operators.metadata import (
     backfill,
@@ -32,7 +32,7 @@ from regloom.sources.archives import expand_archives, list_members, read_archive
 from regloom.sources.inventory import file_inventory, filter_files, route_files
 from regloom.sources.readers import read_source
 from regloom.sources.writers import append_routes, bulk_projection, write_csv, write_routes
-from regloom.streaming.ingest import ingest_available, records_from_lines, stream_lines
+from regloom.streaming.ingest import ingest_available, records_from_lines, records_from_rows, stream_lines, stream_rows
 
 
 def one(spark, column):
@@ -540,3 +540,30 @@ def test_split_keeps_its_filter_above_the_mapping(spark):
     valid, _ = split_by_dates(company_rows(spark), ["incorporation_date"], formats=["%m%d%Y"])
     plan = valid._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("__plain") and "Exchange" not in plan
+
+
+def test_manifest_file(spark, tmp_path):
+    entries = {
+        "a": {"jurisdiction": "us_fl", "source_path": "doc", "target_path": "us_fl", "file_pattern": ".txt", "secret_name": "s"},
+        "b": {"jurisdiction": "im", "source_path": "d", "target_path": "t", "file_names": "x,y", "check_timestamp": True, "periodicity": "weekly"},
+    }
+    path = tmp_path / "manifest.json"
+    path.write_text(json.dumps(entries))
+    got = {r.ingest_config: r for r in load_manifest(spark, str(path)).collect()}
+    assert (got["a"].periodicity, got["a"].check_timestamp, got["a"].file_names) == ("daily", False, None)
+    assert (got["b"].periodicity, got["b"].check_timestamp) == ("weekly", True)
+    path.write_text(json.dumps({"a": {**entries["a"], "file_names": "x"}}))
+    with pytest.raises(ValueError, match="either"):
+        load_manifest(spark, str(path))
+
+
+def test_streaming_json_lines(spark, tmp_path):
+    from regloom.jurisdictions import im
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/im_2024.jsonl").write_text('{"Number":"1","Date of Incorporation":"3 Oct 2024"}\n{"Number":"2","Date of Incorporation":"31 Feb 2024"}\n')
+    stream = stream_rows(spark, str(tmp_path / "in"), "json_lines", im.source_schema(), glob="*.jsonl", max_files=1)
+    records = records_from_rows(stream, rules_for("im"), {"periodicity": "daily"})
+    ingest_available(records, str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = {r.company_number: (r._route, r.source_name, r.periodicity) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"1": ("valid", "im_2024", "daily"), "2": ("invalid", "im_2024", "daily")}
