@@ -1,6 +1,7 @@
 """Every registered query against its expected result, over whole tables."""
 
 import importlib.util
+import os
 from pathlib import Path
 
 import duckdb
@@ -10,7 +11,7 @@ spec = importlib.util.spec_from_file_location("entry", Path(__file__).resolve().
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 
-SF = "/root/testdata/sf0.01"
+SF = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
