@@ -8,10 +8,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# codegen.maxFields, hugeMethodLimit: a parse or mapping projection has close to a hundred output
-# columns.  Past HotSpot's 8000-bytecode limit a fused method is never JIT
-# compiled, so such projections run faster as split methods; below the field limit
-# they are not fused, and compiled for nothing, in the first place.
+# codegen.maxFields, hugeMethodLimit: a parse or mapping projection has close to a
+# hundred output columns.  Past HotSpot's 8000-bytecode limit a fused method is never
+# JIT compiled, so such projections run faster as split methods; with the lower field
+# limit they are not fused, and compiled for nothing, in the first place.
+# maxConcurrentOutputFileWriters: the two routes of a write stay open side by side,
+# instead of sorting all rows by route first.
 # dataFrameDebugging: recording a call site for every column call doubles the time
 # it takes to build a wide plan.
 RECOMMENDED = {
@@ -21,10 +23,20 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.maxFields": "60",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+# Those of them a running session can still take on.
+ADJUSTABLE = (
+    "spark.sql.session.timeZone",
+    "spark.sql.codegen.maxFields",
+    "spark.sql.codegen.hugeMethodLimit",
+    "spark.sql.maxConcurrentOutputFileWriters",
+)
+
+
 def build_session(app: str = "regloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

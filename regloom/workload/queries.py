@@ -22,7 +22,7 @@ from regloom.operators.parse import explode_lines, parse_fixed_width, render_fix
 from regloom.plans.compiler import map_to_cdm
 from regloom.plans.layout import Layout
 from regloom.plans.rules import MappingRules
-from regloom.session import RECOMMENDED, scratch_dir, spread
+from regloom.session import ADJUSTABLE, RECOMMENDED, scratch_dir, spread
 from regloom.sources import archives, inventory, readers, writers
 from regloom.streaming import ingest
 from regloom.workload.registry import columns, read_table, registry
@@ -36,7 +36,7 @@ FETCHED_AT, PARSED_AT, MAPPED_AT = "2024-10-07T05:00:00", "2024-10-07T06:00:00",
 def query(fn: Query) -> Query:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        for key in ("spark.sql.session.timeZone", "spark.sql.codegen.maxFields", "spark.sql.codegen.hugeMethodLimit"):
+        for key in ADJUSTABLE:
             spark.conf.set(key, RECOMMENDED[key])
         return fn(spark, sf_dir.rstrip("/"))
 
