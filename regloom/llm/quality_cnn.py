@@ -28,7 +28,7 @@ SAMPLE = 2000
 DIM, FILTERS, WIDTH, STEP, BLOCK = 8, 32, 8, 4, 512
 PAD = 256
 SLICE = 1 << 20
-EPOCHS, BATCH, RATE = 4, 32, 0.01
+STEPS, BATCH, RATE = 500, 32, 0.01
 
 Weights = dict[str, np.ndarray]
 
@@ -132,22 +132,20 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> Weights:
     size = {"embed": 0.5, "filters": 0.2, "bias": 0.0, "out": 0.1, "shift": 0.0}
     w = {k: (rng.standard_normal(s) * size[k]).astype(np.float32) for k, s in shape.items()}
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    codes, step = [padded(t) for t in texts], 0
-    total = EPOCHS * -(-len(texts) // BATCH)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(texts))
-        for i in range(0, len(order), BATCH):
-            chosen = order[i : i + BATCH]
-            g = {k: np.zeros_like(v) for k, v in w.items()}
-            for j in chosen:
-                gradients(codes[j], labels[j], w, g)
-            step += 1
-            rate = RATE * (1 - step / (total + 1))
-            for k in w:
-                grad = g[k] / len(chosen)
-                first[k] = 0.9 * first[k] + 0.1 * grad
-                second[k] = 0.99 * second[k] + 0.01 * grad * grad
-                w[k] -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+    codes, order = [padded(t) for t in texts], np.zeros(0, np.int64)
+    for step in range(1, STEPS + 1):
+        if len(order) < BATCH:
+            order = np.concatenate([order, rng.permutation(len(texts))])
+        chosen, order = order[:BATCH], order[BATCH:]
+        g = {k: np.zeros_like(v) for k, v in w.items()}
+        for j in chosen:
+            gradients(codes[j], labels[j], w, g)
+        rate = RATE * (1 - step / (STEPS + 1))
+        for k in w:
+            grad = g[k] / len(chosen)
+            first[k] = 0.9 * first[k] + 0.1 * grad
+            second[k] = 0.99 * second[k] + 0.01 * grad * grad
+            w[k] -= (rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
     return w
 
 
