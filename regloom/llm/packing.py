@@ -46,8 +46,6 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > self.cached:
-            self.known = {}
         new = list(words)
         for i in range(0, len(new), 10_000):
             part = new[i : i + 10_000]
@@ -66,11 +64,9 @@ class WordIds:
             part = words[i : i + 100_000]
             new = set(part) - self.known.keys()
             if new:
+                if len(self.known) + len(new) > self.cached:
+                    self.known, new = {}, set(part)
                 self.learn(new)
-                # A full memory was emptied: the other words of this part come back too.
-                new = set(part) - self.known.keys()
-                if new:
-                    self.learn(new)
             out.append(b"".join(map(self.known.__getitem__, part)))
         return b"".join(out)
 
