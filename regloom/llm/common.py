@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,28 +22,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` itself if its rows come from Parquet files, else a copy in the shared scratch folder."""
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return materialise(df, purpose)
+    return df
+
+
 def located(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as ``d`` (a struct of all its columns), with the address of each row: ``f`` (a hash of
     the file's path) and ``r`` (its row there).
 
     The address stays the same however often the frame is read, also after a lost executor.  A
-    frame that is not read from Parquet is written to the shared scratch folder first.
+    frame that is not read from Parquet is written first.
     """
-
-    def addressed(frame: DataFrame) -> DataFrame:
-        meta = frame.metadataColumn("_metadata")
-        return frame.select(
-            F.struct(*(frame[f"`{c.replace('`', '``')}`"] for c in frame.columns)).alias("d"),
-            F.xxhash64(meta["file_path"]).alias("f"),
-            meta["row_index"].alias("r"),
-        )
-
-    from pyspark.errors import AnalysisException
-
-    try:
-        return addressed(df)
-    except AnalysisException:
-        return addressed(materialise(df, purpose))
+    df = stored(df, purpose)
+    meta = df.metadataColumn("_metadata")
+    columns = [df[f"`{c.replace('`', '``')}`"] for c in df.columns]
+    return df.select(F.struct(*columns).alias("d"), F.xxhash64(meta["file_path"]).alias("f"), meta["row_index"].alias("r"))
 
 
 def without(rows: DataFrame, dropped: DataFrame, purpose: str) -> DataFrame:

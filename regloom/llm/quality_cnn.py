@@ -42,8 +42,7 @@ def padded(text: bytes) -> np.ndarray:
 
 
 def windows(codes: np.ndarray, w: Weights) -> np.ndarray:
-    """Embedded windows of a run of whole blocks."""
-    codes = np.concatenate([codes, np.full(WIDTH - STEP, PAD, codes.dtype)])
+    """Embedded windows, one every ``STEP`` bytes; the run has ``WIDTH - STEP`` bytes more than its windows begin in."""
     flat = w["embed"][codes].reshape(-1)
     view = np.lib.stride_tricks.as_strided(
         flat, ((len(codes) - WIDTH) // STEP + 1, WIDTH * DIM), (flat.itemsize * STEP * DIM, flat.itemsize)
@@ -51,12 +50,21 @@ def windows(codes: np.ndarray, w: Weights) -> np.ndarray:
     return np.ascontiguousarray(view)
 
 
-def block_peaks(codes: np.ndarray, w: Weights) -> np.ndarray:
-    """Largest answer of each filter in each block, ahead of the bias."""
+REACH = np.full(WIDTH - STEP, PAD, np.int16)
+
+
+def block_peaks(codes: np.ndarray, lasts: np.ndarray, w: Weights) -> np.ndarray:
+    """Largest answer of each filter in each block, ahead of the bias.
+
+    ``lasts`` numbers the last window of each text: padding alone, and reaching into the next text, it is left out.
+    """
     out = []
-    for i in range(0, len(codes), SLICE):
-        part = windows(codes[i : i + SLICE], w)
-        out.append((part @ w["filters"]).reshape(-1, BLOCK // STEP, FILTERS).max(axis=1))
+    codes = np.concatenate([codes, REACH])
+    for i in range(0, len(codes) - len(REACH), SLICE):
+        answers = windows(codes[i : i + SLICE + len(REACH)], w) @ w["filters"]
+        first = i // STEP
+        answers[lasts[(lasts >= first) & (lasts < first + len(answers))] - first] = -np.inf
+        out.append(answers.reshape(-1, BLOCK // STEP, FILTERS).max(axis=1))
     return np.concatenate(out)
 
 
@@ -81,7 +89,8 @@ def score_texts(texts: list[bytes], w: Weights) -> np.ndarray:
         codes.append(padded(text))
         held += len(codes[-1])
         if held >= SLICE or i == len(texts) - 1:
-            peaks = block_peaks(np.concatenate(codes), w)
+            lasts = np.cumsum([len(c) // STEP for c in codes]) - 1
+            peaks = block_peaks(np.concatenate(codes), lasts, w)
             at = 0
             for j, c in enumerate(codes):
                 n = len(c) // BLOCK
@@ -93,8 +102,11 @@ def score_texts(texts: list[bytes], w: Weights) -> np.ndarray:
 
 def gradients(text: np.ndarray, label: float, w: Weights, g: Weights) -> None:
     """Add one text's gradient of the log loss to ``g``."""
-    seen = windows(text, w)
-    answers = (seen @ w["filters"]).reshape(-1, BLOCK // STEP, FILTERS)
+    codes = np.concatenate([text, REACH])
+    seen = windows(codes, w)
+    answers = seen @ w["filters"]
+    answers[-1] = -np.inf
+    answers = answers.reshape(-1, BLOCK // STEP, FILTERS)
     place = answers.argmax(axis=1)
     peaks = np.take_along_axis(answers, place[:, None], axis=1)[:, 0]
     n = len(peaks)
@@ -118,7 +130,6 @@ def gradients(text: np.ndarray, label: float, w: Weights, g: Weights) -> None:
     sparse = np.zeros((len(hit), FILTERS), np.float32)
     np.add.at(sparse, (rows.reshape(-1), lane.reshape(-1)), d.reshape(-1))
     g["filters"] += seen[hit].T @ sparse
-    codes = np.concatenate([text, np.full(WIDTH - STEP, PAD, text.dtype)])
     at = hit[:, None] * STEP + np.arange(WIDTH)
     np.add.at(g["embed"], codes[at], (sparse @ w["filters"].T).reshape(len(hit), WIDTH, DIM))
 

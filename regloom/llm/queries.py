@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regloom.llm import decontaminate, exact_dedup, packing, quality_cnn, simhash_tiles
+from regloom.llm import (
+    debruijn,
+    decontaminate,
+    exact_dedup,
+    langid,
+    maxent_lm,
+    packing,
+    pii,
+    quality_cnn,
+    simhash_tiles,
+    warc_fixity,
+)
 from regloom.llm.common import table
 
 
@@ -28,10 +39,34 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_tiles.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_documents(spark, table(spark, sf_dir, "documents"))
+
+
+# The replica that op8 audits: every 97th page has lost its first character to a question mark.
+REPLICA = "CASE WHEN page_id % 97 = 5 AND length(html) > 0 THEN concat('?', substring(html, 2)) ELSE html END"
+
+
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_fixity.fixity(table(spark, sf_dir, "pages"), REPLICA)
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,7 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1,
     "op2_exact_dedup": op2,
     "op3_simhash": op3,
+    "op4_substring": op4,
+    "op5_pii": op5,
     "op6_pack": op6,
+    "op7_lm": op7,
+    "op8_warc": op8,
+    "op9_langid": op9,
     "op10_quality": op10,
 }
 
@@ -54,4 +94,33 @@ ORACLE = {
             SELECT *, first_value(doc_id) OVER g AS keep_id, row_number() OVER g AS place, count(*) OVER (PARTITION BY bare) AS group_size
             FROM plain WINDOW g AS (PARTITION BY bare ORDER BY n DESC, doc_id))
         SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(bare) AS text_sha256 FROM ranked""",
+    "op4_substring": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM split),
+        windows AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS gram FROM starts),
+        first AS (SELECT gram, min(doc_id) AS least FROM windows GROUP BY gram),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+            FROM windows JOIN first USING (gram) WHERE least < doc_id),
+        placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+            FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)""",
+    "op8_warc": r"""
+        WITH replicas AS (
+            SELECT *, CASE WHEN page_id % 97 = 5 AND length(html) > 0 THEN '?' || substr(html, 2) ELSE html END AS other FROM pages),
+        records AS (
+            SELECT page_id,
+                   array_to_string(['WARC/1.1', 'WARC-Type: resource', 'WARC-Record-ID: <urn:page:' || page_id || '>',
+                       'WARC-Target-URI: ' || url, 'WARC-Date: 1970-01-01T00:00:00Z', 'Content-Type: text/html',
+                       'Content-Length: ' || strlen(html), '', ''], chr(13) || chr(10)) AS head,
+                   html || chr(13) || chr(10) || chr(13) || chr(10) AS own,
+                   other || chr(13) || chr(10) || chr(13) || chr(10) AS theirs
+            FROM replicas)
+        SELECT page_id, strlen(head || own) AS length, sha256(head || own) AS sha256,
+               CASE WHEN own = theirs THEN 'intact' ELSE 'damaged' END AS status, sha256(head || theirs) AS replica_sha256
+        FROM records""",
 }
