@@ -12,6 +12,7 @@ result.  Equal sizes are packed by doc_id, start and checksum.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,14 +29,16 @@ from regloom.session import materialise
 LENGTH = 4096
 END = 2
 GROUP = 4096  # pieces in a group, on average
-CACHED = 400_000  # words whose ids a worker remembers
+CACHED = 800_000  # words whose ids a worker remembers
+STOP = re.compile(rb"(?<=[a-z0-9])[.,](?=[ \n])")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class WordIds:
     """Ids of white-space separated words, remembered as little-endian unsigned 32-bit bytes.
 
-    The tokenizer splits at white space before it merges, so a text's ids are its words' ids in order.
+    The tokenizer lower-cases and splits at white space and between letters and signs before it merges, so a
+    text's ids are its words' ids in order, in lower case, with a comma or full stop that ends a word on its own.
     """
 
     def __init__(self, path: str, cached: int = CACHED):
@@ -47,27 +50,29 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         new = list(words)
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            coded = self.encoder.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            owner = np.array([-1 if w is None else w for w in coded.word_ids], np.int64)
-            bounds = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
-            held = ids.tobytes()
-            for word, a, b in zip(part, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        for i in range(0, len(new), 256):
+            part = [w.decode() for w in new[i : i + 256]]
+            coded = self.encoder.encode(" ".join(part), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(w) + 1 for w in part])
+            bounds = np.searchsorted([a for a, _ in coded.offsets], starts) * 4
+            held = np.array(coded.ids, "<u4").tobytes()
+            for word, a, b in zip(new[i : i + 256], bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 self.known[word] = held[a:b]
 
     def of(self, text: bytes) -> bytes:
-        words = text.split()
+        # A special token's name is one in lower case only, so texts with anything like one stay as they are.
+        words = (text if b"<|" in text else STOP.sub(rb" \g<0>", text.lower())).split()
         out = []
         for i in range(0, len(words), 100_000):
             part = words[i : i + 100_000]
-            new = set(part) - self.known.keys()
-            if new:
+            ids = list(map(self.known.get, part))
+            if None in ids:
+                new = {w for w, x in zip(part, ids, strict=True) if x is None}
                 if len(self.known) + len(new) > self.cached:
                     self.known, new = {}, set(part)
                 self.learn(new)
-            out.append(b"".join(map(self.known.__getitem__, part)))
+                ids = map(self.known.__getitem__, part)
+            out.append(b"".join(ids))
         return b"".join(out)
 
 
