@@ -4,9 +4,10 @@ Edges are windows of ``K`` consecutive words.  Each is keyed by the least hash a
 consecutive windows mostly share a key and travel as one row: their minimizer, document, position, and a hash each.
 Equal windows meet under their minimizer, and each occurrence in a later document learns the coordinates of the first one.
 Occurrences that a task sees twice itself are settled there, so a passage found in a third of all documents costs a reducer
-a row per task rather than one per document.  Runs of edges with one source and distance are nonbranching paths; a
-path is compacted from its runs, joined to the texts at both of its coordinates, and counts once its words' digests at
-source and target agree.  Should hashes ever collide, the whole is done again with wider ones.
+a row per task rather than one per document; an edge that comes again in its own document travels once.  Runs of edges
+with one source and distance are nonbranching paths; a path is compacted from its runs, joined to the texts at both
+of its coordinates, and counts once its words' digests at source and target agree.  Should hashes ever collide,
+the whole is done again with wider ones.
 
 A word goes if a window covers it whose words also start in a document with a smaller doc_id.
 
@@ -31,7 +32,7 @@ from regloom.llm.common import slices, utf8
 from regloom.session import materialise
 
 K = 13
-M = 4
+M = 5
 SLICE = 4 << 20  # bytes of text that are hashed together
 EDGES = "m long, doc long, at long, marks {}"
 RUNS = "doc long, at long, n long, src long, src_at long"
@@ -134,15 +135,18 @@ def edges(seed: int, wide: bool):
         source = np.empty(len(order), np.int64)
         source[order] = np.repeat(order[head], lengths_of(head, len(order)))
         settled = doc > doc[source]
+        # Of equal windows of one text the first stands for all; the text is searched for the others at the end.
+        again = np.zeros(len(order), bool)
+        again[order[1:]] = same & (owner[order][1:] == owner[order][:-1])
         columns: list[list[np.ndarray]] = [[], [], [], []]
         lens = []
-        i = np.flatnonzero(~settled)
+        i = np.flatnonzero(~settled & ~again)
         if len(i):
             begin = starts_of((np.diff(i) != 1) | (np.diff(owner[i]) != 0) | (least[i][1:] != least[i][:-1]))
             for c, v in zip(columns, (least[i[begin]].view(np.int64), doc[i[begin]], at[i[begin]], marks[i].view(np.int64).astype(kind)), strict=True):
                 c.append(v)
             lens.append(lengths_of(begin, len(i)))
-        i = np.flatnonzero(settled)
+        i = np.flatnonzero(settled & ~again)
         if len(i):
             s = source[i]
             begin = starts_of((np.diff(i) != 1) | (np.diff(owner[i]) != 0) | (np.diff(s) != 1) | (np.diff(owner[s]) != 0))
@@ -252,6 +256,19 @@ def paths(docs: DataFrame, seed: int, wide: bool) -> DataFrame:
     return ends.select("doc", "at", (F.col("stop") - F.col("at")).alias("n"), "src", (F.col("at") - F.col("distance")).alias("src_at"))
 
 
+def kept(words: list[bytes], goes: list[tuple[int, int]]) -> np.ndarray:
+    """Which words stay when the windows of the given runs go, and all windows equal to one of them."""
+    window = np.zeros(len(words) - K + 1, bool)
+    for p, n in goes:
+        window[p : p + n] = True
+    marks = hashed_windows([b" ".join(words)], 42)[3]
+    window |= np.isin(marks, marks[window])
+    edge = np.zeros(len(words) + 1, np.int64)
+    edge[:-K] += window
+    edge[K:] -= window
+    return np.cumsum(edge[:-1]) == 0
+
+
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its counts and digest (``at`` null), and per asked range its words' digest."""
     for batch in batches:
@@ -259,18 +276,17 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = batch["spans"].to_pylist()
         for doc_id, text, check, asked in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]), batch["check"].to_pylist(), spans, strict=True):
             words = text.split()
-            keep = None
+            goes = []
             for span in asked or ():
                 p, n = span["at"] & 0xFFFFFFFF, span["n"] + K - 1
                 mark = hashlib.blake2b(b" ".join(words[p : p + n]), digest_size=16).digest()
                 for column, value in zip(out, (doc_id, check << 32 | p, span["n"], None, None, mark), strict=True):
                     column.append(value)
                 if span["goes"]:
-                    if keep is None:
-                        keep = np.ones(len(words), bool)
-                    keep[p : p + n] = False
+                    goes.append((p, span["n"]))
             gone = 0
-            if keep is not None:
+            if goes:
+                keep = kept(words, goes)
                 gone = int(len(words) - keep.sum())
                 words = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
             sha = hashlib.sha256(b" ".join(words)).digest()

@@ -34,6 +34,7 @@ def texts():
         (4, None), (5, ""), (6, " \n\t"), (7, "One"), (8, "one two"), (9, "é Ünï code \x1c x y"), (10, LONG),
         (11, LONG[:-9] + "ending"), (12, prose(50, 4) + " " + PASSAGE + " " + prose(40, 5)), (13, PASSAGE + " " + prose(20, 6)),
         (14, prose(9, 7) + " " + PASSAGE), (15, base.upper()), (16, prose(79, 3) + " changed"), (-17, prose(30, 8) + " " + PASSAGE),
+        (19, "nt " * 40 + prose(20, 30)), (20, prose(5, 31) + " nt" * 30), (21, (prose(15, 32) + " ") * 3), (22, (prose(15, 32) + " ") * 5),
         (18, "mail a.b@c.de, 1.2.3.4 and 300.1.1.1 or +49 (30) 1234-567 now"),
     ]
 
