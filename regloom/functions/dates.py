@@ -7,7 +7,7 @@ expression when the plan is built.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -198,15 +198,75 @@ def date_struct(c: Column, date_format: str | None, python_date_format: str) ->
 def parses(value: Column, fmt: Column, formats: Sequence[str] = KNOWN_FORMATS) -> Column:
     """Does ``value`` parse under the format its own row names?
 
-    ``formats`` are the formats known when the plan is built.  A row that names
-    another one stops the job rather than being misjudged.
+    ``formats`` are the formats known when the plan is built, each one compiled;
+    any other is compiled from the row (``date_by_row``).
     """
     result = None
     for known in dict.fromkeys(formats):
         ok = to_lenient_date(value, known).isNotNull()
         result = F.when(fmt == known, ok) if result is None else result.when(fmt == known, ok)
-    unknown = F.raise_error(F.concat(F.lit("date format not declared in formats=: "), fmt)).cast("boolean")
-    return result.otherwise(unknown)
+    other = date_by_row(value, fmt).isNotNull()
+    return result.otherwise(other) if result is not None else other
+
+
+# Directives of row-named formats beyond those a plan-time format may have; they do not set the date.
+LOOSE = {
+    "a": "mon|tue|wed|thu|fri|sat|sun",
+    "A": "monday|tuesday|wednesday|thursday|friday|saturday|sunday",
+    "p": "am|pm",
+    "I": r"1[0-2]|0[1-9]|[1-9]",
+    "j": r"36[0-6]|3[0-5]\d|[1-2]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9]",
+    "z": r"[+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|(?-i:Z)",
+}
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def date_by_row(value: Column, fmt: Column) -> Column:
+    """Date of ``value`` under the strptime format in ``fmt``; null where it does not parse or the format is none.
+
+    The format is turned into a pattern with one named group per directive, text being quoted.  A directive that is
+    unknown or repeated makes a bad format, which nothing parses under, as in Python.
+    """
+    known = {**DIRECTIVES, **LOOSE}
+    # %% stands for itself; it is set aside so that what follows it is not read as a directive.
+    plain = F.replace(fmt, F.lit("%%"), F.lit("\x00"))
+
+    def pattern_of(plain: Column) -> Column:
+        asked = F.regexp_extract_all(plain, F.lit("(?s)%(.?)"), F.lit(1))
+        good = (F.size(F.array_distinct(asked)) == F.size(asked)) & F.forall(asked, lambda x: x.isin(*known))
+        quoted = F.regexp_replace(plain, r"([\\.^$*+?(){}\[\]|])", r"\\$1")
+        spaced = F.regexp_replace(quoted, BLANKS, F.lit(BLANKS.replace("\\", "\\\\")))
+        choices = F.array(*(F.struct(F.lit(f"%{x}").alias("a"), F.lit(f"(?<{_GROUPS[x]}>{c})").alias("b")) for x, c in known.items()))
+        named = F.aggregate(choices, spaced, lambda text, x: F.replace(text, x["a"], x["b"]))
+        # Directives that are not there become empty groups, so that every name can be asked for.
+        absent = F.array_join(F.transform(F.array_except(F.array(*map(F.lit, "YymbBd")), asked), lambda x: F.concat(F.lit("(?<g"), x, F.lit(">)"))), "")
+        return F.when(good, F.concat(F.lit(r"(?i)\A(?>"), F.replace(named, F.lit("\x00"), F.lit("%")), F.lit(")"), absent, F.lit(r"\z")))
+
+    def fields_of(pattern: Column) -> Column:
+        printed = F.regexp_replace(value, pattern, F.lit("${gY}~${gy}~${gm}~${gb}${gB}~${gd}"))
+        return F.when(F.rlike(value, pattern), F.split(printed, "~"))
+
+    def date_of(parts: Column) -> Column:
+        year, short, month, name, day = (F.get(parts, F.lit(i)) for i in range(5))
+        named = F.lpad(((F.instr(F.lit(MONTHS), F.lower(F.substring(name, 1, 3))) + 2) / 3).cast("int").cast("string"), 2, "0")
+        century = F.when(short >= "69", F.lit("19")).otherwise(F.lit("20"))
+        text = F.concat_ws(
+            "-",
+            F.when(year != "", year).when(short != "", F.concat(century, short)).otherwise("1900"),
+            F.when(month != "", F.lpad(month, 2, "0")).when(name != "", named).otherwise("01"),
+            F.when(day != "", F.lpad(F.trim(day), 2, "0")).otherwise("01"),
+        )
+        return F.when(parts.isNotNull() & (year != "0000"), text.try_cast("date"))
+
+    return let(plain, lambda p: let(pattern_of(p), lambda q: let(fields_of(q), date_of)))
+
+
+# Group names, which are letters and digits only.
+_GROUPS = {letter: f"g{letter}" for letter in (*DIRECTIVES, *LOOSE)}
 
 
 # A zone offset as strptime's %z accepts it.

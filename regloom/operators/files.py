@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from regloom.functions.keys import as_timestamp
 from regloom.plans.layout import read_config
-from regloom.session import broadcast_if_small
 
 # States of a queued task.
 STATUSES = ("NEW", "PREPARING", "PROCESSING", "PROCESSED", "ERROR")
@@ -103,7 +102,7 @@ def _wanted(name: Column) -> Column:
 def manifest_files(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
     """Listed files each manifest entry asks for: those in its source path whose
     name ends with the pattern or is one of the names."""
-    entries = broadcast_if_small(check_manifest(manifest))
+    entries = check_manifest(manifest)
     joined = inventory.join(entries, inventory["path"] == entries["source_path"])
     return joined.filter(_wanted(F.col("name")))
 
@@ -117,10 +116,13 @@ def plan_workload(
     ``inventory`` and ``landed`` have ``(path, name, timestamp)``.
     """
     wanted = manifest_files(manifest, inventory).withColumn("ts", as_timestamp(F.col("timestamp"), kind))
-    entries = broadcast_if_small(
-        check_manifest(manifest).select("ingest_config", "target_path", "file_pattern", "file_names")
-    )
-    here = landed.join(entries, F.startswith(landed["path"], F.col("target_path"))).filter(_wanted(F.col("name")))
+    entries = check_manifest(manifest).select("ingest_config", "target_path", "file_pattern", "file_names")
+    entries = entries.withColumn("target_path", F.rtrim("target_path", F.lit("/")))
+    # A landed file lies under each folder its path passes through, so the join is on equal paths.
+    folders = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(folders)), lambda n: F.array_join(F.slice(folders, F.lit(1), n), "/"))
+    under = landed.withColumn("target_path", F.explode(above))
+    here = under.join(entries, "target_path").filter(_wanted(F.col("name")))
     known = latest_target(here.withColumn("ts", as_timestamp(F.col("timestamp"), kind)), ["ingest_config", "name"])
     known = known.select("ingest_config", "name", F.col("ts").alias("__target"), F.lit(True).alias("__found"))
     joined = wanted.join(known, ["ingest_config", "name"], "left")
@@ -139,7 +141,7 @@ def plan_workload(
 def group_paths(
     files: DataFrame, keys: tuple[str, ...] = ("object_key", "target"), path: str = "path", max_paths: int = 10_000
 ) -> DataFrame:
-    """Paths per task and table, as ``(keys, part, paths)``.
+    """Paths per task and table, as ``(keys, part, paths)``: the grain is a part of a group.
 
     A load job takes a list of paths, but one task may own most files: a group is
     cut by path hash into parts of about ``max_paths``, so no array and no reduce
@@ -150,7 +152,7 @@ def group_paths(
     # Only groups above the limit need cutting, and there are few of those.
     large = sizes.filter(F.col("__n") > max_paths)
     parts = large.select(*keys, F.ceil(F.col("__n") / max_paths).cast("int").alias("__parts"))
-    sized = files.join(broadcast_if_small(parts), list(keys), "left")
+    sized = files.join(parts, list(keys), "left")
     part = F.pmod(F.xxhash64(path), F.coalesce("__parts", F.lit(1))).cast("int")
     salted = sized.withColumn("part", part)
     return salted.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(path)).alias("paths"))

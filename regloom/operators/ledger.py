@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,10 +12,10 @@ def ledger_filter(
     ledger: DataFrame,
     prefix: str | None = None,
     status: str | None = None,
-    limit: int | None = 99,
+    limit: int | None = None,
     order_by: Sequence[str] = ("object_key",),
 ) -> DataFrame:
-    """Tasks by key prefix and status, the first ``limit`` in a stated order."""
+    """Tasks by key prefix and status; with ``limit`` the first of them in a stated order."""
     if prefix:
         ledger = ledger.filter(F.startswith("object_key", F.lit(prefix)))
     if status:
@@ -35,36 +35,51 @@ def ledger_transition(
     keys: Sequence[str] = ("object_key",),
     match_timestamp: bool = False,
 ) -> DataFrame:
-    """Apply status changes where their guards hold.
+    """Apply status changes where their guards hold: one row per task, whatever the changes.
 
-    ``changes`` has the keys, ``to_status``, and optionally ``from_status`` and
-    ``timestamp``; one change per key.  A change with a ``from_status`` applies
-    only to a task in that state; with ``match_timestamp`` the times must be equal
-    too and stay, otherwise the time is set along with the status.  ``applied``
-    is null for tasks without a change.
+    ``changes`` has the keys, ``to_status``, and optionally ``from_status``, ``timestamp`` and ``seq``.  Several
+    changes of a task are applied one after the other, by ``seq``, then time, then states; each sees the state the one
+    before has left.  A change with a ``from_status`` applies only to a task in that state; with
+    ``match_timestamp`` the times must be equal too and stay, otherwise the time is set along with the
+    status.  ``applied`` tells whether any change took, and is null for tasks without a change.
     """
     have = set(changes.columns)
-    packed = changes.select(
-        *keys,
-        F.struct(
-            F.col("to_status"),
-            (F.col("from_status") if "from_status" in have else F.lit(None).cast("string")).alias("from_status"),
-            (F.col("timestamp") if "timestamp" in have else F.lit(None)).alias("at"),
-        ).alias("__change"),
+
+    def given(name: str, kind: str) -> Column:
+        return F.col(name) if name in have else F.lit(None).cast(kind)
+
+    kinds = dict(ledger.dtypes)
+    time = kinds.get("timestamp", "string")
+    change = F.struct(
+        given("seq", "long").alias("seq"),
+        given("timestamp", time).cast(time).alias("at"),
+        F.col("to_status"),
+        given("from_status", "string").alias("from_status"),
     )
-    joined = ledger.join(packed, list(keys), "left")
-    asked = F.col("__change").isNotNull()
-    wanted = F.col("__change.from_status")
-    holds = wanted.isNull() | F.coalesce(F.col("status") == wanted, F.lit(False))
-    if match_timestamp:
-        holds = holds & F.coalesce(F.col("timestamp") == F.col("__change.at"), F.lit(False))
-    applied = F.when(asked, holds)
-    takes = F.coalesce(applied, F.lit(False))
-    updated = {"status": F.when(takes, F.col("__change.to_status")).otherwise(F.col("status"))}
-    if "timestamp" in have and not match_timestamp:
-        updated["timestamp"] = F.when(takes, F.col("__change.at")).otherwise(F.col("timestamp"))
+    asked = changes.groupBy(*keys).agg(F.sort_array(F.collect_list(change)).alias("__changes"))
+    joined = ledger.join(asked, list(keys), "left")
+    moves = "timestamp" in have and not match_timestamp
+    stamp = F.col("timestamp") if "timestamp" in kinds else F.lit(None).cast(time)
+    start = F.struct(F.col("status"), stamp.alias("timestamp"), F.lit(False).alias("applied"))
+
+    def step(state: Column, c: Column) -> Column:
+        wanted = c["from_status"]
+        holds = wanted.isNull() | F.coalesce(state["status"] == wanted, F.lit(False))
+        if match_timestamp:
+            holds = holds & F.coalesce(state["timestamp"] == c["at"], F.lit(False))
+        return F.struct(
+            F.when(holds, c["to_status"]).otherwise(state["status"]).alias("status"),
+            (F.when(holds, c["at"]).otherwise(state["timestamp"]) if moves else state["timestamp"]).alias("timestamp"),
+            (state["applied"] | holds).alias("applied"),
+        )
+
+    ended = F.when(F.col("__changes").isNotNull(), F.aggregate("__changes", start, step))
+    done = joined.withColumn("__end", ended)
+    updated = {"status": F.when(F.col("__end").isNotNull(), F.col("__end.status")).otherwise(F.col("status"))}
+    if moves:
+        updated["timestamp"] = F.when(F.col("__end").isNotNull(), F.col("__end.timestamp")).otherwise(F.col("timestamp"))
     columns = [updated[c].alias(c) if c in updated else F.col(c) for c in ledger.columns]
-    return joined.select(*columns, applied.alias("applied"))
+    return done.select(*columns, F.col("__end.applied").alias("applied"))
 
 
 def ledger_upsert(

@@ -13,7 +13,6 @@ from regloom.functions.keys import source_table
 from regloom.functions.text import base_name
 from regloom.plans.layout import Layout
 from regloom.plans.rules import MappingRules
-from regloom.session import broadcast_if_small
 
 # The metadata stamped on a record, in order.
 METADATA_FIELDS = (
@@ -63,7 +62,7 @@ def mapping_labels(rules: MappingRules, mapped_by: str, mapped_at: str) -> dict[
 def join_file_metadata(rows: DataFrame, files: DataFrame, on: str = "path", alias: str = "_file") -> DataFrame:
     """Each row with its file's metadata as one struct column ``alias``."""
     packed = files.select(F.col(on), F.struct(*[c for c in files.columns if c != on]).alias(alias))
-    return rows.join(broadcast_if_small(packed), on, "left")
+    return rows.join(packed, on, "left")
 
 
 def is_metadata_set(columns: Iterable[str], metadata: Mapping | None) -> bool:

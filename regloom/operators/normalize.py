@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regloom.functions.dates import KNOWN_FORMATS, to_lenient_date
+from regloom.functions.dates import KNOWN_FORMATS, date_by_row, let, to_lenient_date
 from regloom.functions.text import non_empty
+from regloom.session import materialise
 
 OFFICER = ("name", "position", "street_address", "city", "state", "zip5", "zip4")
 ADDRESS = ("street_address_1", "street_address_2", "locality", "region", "zip5", "zip4")
@@ -79,9 +80,12 @@ def grouped_records(df: DataFrame, name: str, names: Sequence[str]) -> Column:
     return _no_records(names)
 
 
+def _records(names: Sequence[str]) -> str:
+    return f"array<{_text_schema(('label', *names))}>"
+
+
 def _no_records(names: Sequence[str]) -> Column:
-    columns = ",".join(f"`{n}`:string" for n in ("label", *names))
-    return F.lit(None).cast(f"array<struct<{columns}>>")
+    return F.lit(None).cast(_records(names))
 
 
 def listed_records(df: DataFrame, name: str, names: Sequence[str]) -> Column:
@@ -112,15 +116,18 @@ def first_date(df: DataFrame, name: str, formats: Sequence[str] = KNOWN_FORMATS)
         if not dated:
             return F.lit(None).cast("date")
         entry = F.coalesce(*[c.getField(n) for n in dated])
-        value, fmt = entry.getField("value"), entry.getField("python_date_format")
     else:
         parsed = F.from_json(c.cast("string"), "map<string,struct<value:string,python_date_format:string>>")
         entry = F.get(F.map_values(parsed), F.lit(0))
+
+    def date_of(entry: Column) -> Column:
         value, fmt = entry.getField("value"), entry.getField("python_date_format")
-    found = F.lit(None).cast("date")
-    for known in formats:
-        found = F.when(fmt == known, to_lenient_date(value, known)).otherwise(found)
-    return found
+        found = F.when(F.lit(False), F.lit(None).cast("date"))
+        for known in formats:
+            found = found.when(fmt == known, to_lenient_date(value, known))
+        return found.otherwise(date_by_row(value, fmt))
+
+    return let(entry, date_of)
 
 
 def _one_row_each(df: DataFrame, records: Column, alias: str) -> DataFrame:
@@ -182,18 +189,29 @@ def officer_address_table(df: DataFrame) -> DataFrame:
     return rows.filter(F.coalesce("street_address", "locality", "region", "postal_code").isNotNull())
 
 
-def address_table(df: DataFrame, name: str) -> DataFrame:
-    """``mailing_address`` or ``headquarters_address`` as rows."""
-    exploded = _one_row_each(df, grouped_records(df, name, ADDRESS), "a")
+def address_tables(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The addresses of several columns as rows, with the column's name as ``source``: one pass over the records."""
+
+    def tagged(name: str) -> Column:
+        found = F.coalesce(grouped_records(df, name, ADDRESS), F.array().cast(_records(ADDRESS)))
+        return F.transform(found, lambda a: F.struct(F.lit(name).alias("source"), a.alias("a")))
+
+    exploded = _one_row_each(df, F.concat(*map(tagged, names)), "s")
     return exploded.select(
         "company_number",
-        join_street(F.col("a.street_address_1"), F.col("a.street_address_2")).alias("street_address"),
-        F.col("a.locality").alias("locality"),
-        F.col("a.region").alias("region"),
-        join_zip(F.col("a.zip5"), F.col("a.zip4")).alias("postal_code"),
+        F.col("s.source").alias("source"),
+        join_street(F.col("s.a.street_address_1"), F.col("s.a.street_address_2")).alias("street_address"),
+        F.col("s.a.locality").alias("locality"),
+        F.col("s.a.region").alias("region"),
+        join_zip(F.col("s.a.zip5"), F.col("s.a.zip4")).alias("postal_code"),
     )
 
 
+def address_table(df: DataFrame, name: str) -> DataFrame:
+    """``mailing_address`` or ``headquarters_address`` as rows."""
+    return address_tables(df, [name]).drop("source")
+
+
 def identifier_table(df: DataFrame) -> DataFrame:
     uid = attribute_record(df, "company_identifiers", ("uid",)).getField("uid")
     code = attribute_record(df, "all_attributes", ("identifier_system_code",)).getField("identifier_system_code")
@@ -219,7 +237,9 @@ def previous_name_table(df: DataFrame) -> DataFrame:
 
 
 def normalize_company(df: DataFrame, formats: Sequence[str] = KNOWN_FORMATS) -> dict[str, DataFrame]:
-    """All tables by name."""
+    """All tables by name.  The records are written to the scratch folder when this is called, so they are parsed and
+    mapped once and each table reads only the columns it is made of."""
+    df = materialise(df, "records")
     return {
         "company": company_table(df, formats),
         "officer": officer_table(df),

@@ -16,15 +16,16 @@ CHUNK_ROWS = 2_500
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
-    """Adds a global 0-based row number in ``order_by`` order.
+    """Adds a global 0-based row number in ``order_by`` order, or as the rows are stored if there is none.
 
     A window without partition keys would pull every row into one task.  Here the
     rows are range-sorted once and materialised; a row's number is its place in
     its own partition plus the rows of the partitions before it.  Ties are broken
-    by a per-row id, so one hot key is still cut into several ranges.
+    by a per-row id, so one hot key is still cut into several ranges.  The numbered rows
+    are written to the scratch folder when this is called.
     """
     tie, part, place = "__tie", "__part", "__place"
-    ordered = df.withColumn(tie, F.monotonically_increasing_id()).orderBy(*order_by, tie).drop(tie)
+    ordered = df.withColumn(tie, F.monotonically_increasing_id()).orderBy(*order_by, tie).drop(tie) if order_by else df
     # Sorted partitions keep their order when the id is taken; its upper bits are
     # the partition, its lower 33 bits the place inside it.
     row_id = F.monotonically_increasing_id()
@@ -54,19 +55,21 @@ def with_chunk_index(
     return numbered.withColumn(name, F.floor(F.col("__row") / size).cast("long")).drop("__row")
 
 
+# Places an approximate percentile may be off by, as a share of all rows: one in its accuracy.
+ACCURACY = 10_000
+
+
 def _leading_rows(df: DataFrame, column: str, n: int) -> DataFrame:
-    """Rows that are sure to hold the first ``n`` by ``column``: those up to an
-    estimated quantile, if counting shows that they suffice, else all rows."""
+    """Rows that are sure to hold the first ``n`` by ``column``: those up to a percentile that lies beyond them by twice
+    the error it may have.  Text has no percentile; there all rows are kept."""
     if not isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType)):
         return df
-    total = df.count()
-    if total <= 4 * n:
-        return df
-    cut = df.agg(F.percentile_approx(column, min(1.0, 2.0 * n / total), 10_000)).head()[0]
-    if cut is None:
-        return df
-    leading = df.filter(F.col(column).isNull() | (F.col(column) <= F.lit(cut)))
-    return leading if leading.count() >= n else df
+    total = F.count(column)
+    share = df.agg(total.alias("n"), F.percentile_approx(column, [i / ACCURACY for i in range(0, ACCURACY + 1, 10)], ACCURACY).alias("cuts"))
+    place = F.least(F.ceil((F.lit(float(n)) / F.col("n") + 2 / ACCURACY) * (ACCURACY / 10)), F.lit(ACCURACY // 10)).cast("int")
+    # A scalar subquery, so that nothing runs while the plan is built; it is null only if the whole column is.
+    cut = share.select(F.get("cuts", place)).scalar()
+    return df.filter(F.col(column).isNull() | (F.col(column) <= cut))
 
 
 def head_samples(

@@ -30,23 +30,57 @@ def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
-def append_evolving(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Append to a table, creating it if absent (at ``path`` if given).  Columns only the frame has are
-    added to the table, columns only the table has are written as null.  Errors
+def append_evolving(
+    df: DataFrame, table: str, path: str | None = None, schema: T.StructType | None = None,
+    partition_by: Sequence[str] = (), fmt: str = "parquet",
+) -> None:
+    """Append to a table, creating it if absent (at ``path`` if given, with the types of ``schema`` for the columns it
+    names).  Columns only the frame has are added to the table, columns only the table has are written as null; names
+    are compared as the session does.  In a partitioned table the partitions the frame holds are replaced.  Errors
     surface to the caller; nothing is marked done on failure."""
     spark = df.sparkSession
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+
+    def key(name: str) -> str:
+        return name if exact else name.lower()
+
     encoded = encode_json(df)
     if not spark.catalog.tableExists(table):
-        (encoded.write if path is None else encoded.write.option("path", path)).saveAsTable(table)
+        kinds = {key(f.name): f.dataType for f in schema.fields} if schema is not None else {}
+        typed = [
+            F.col(f"`{f.name}`").try_cast(kinds.get(key(f.name), f.dataType)).alias(f.name) for f in encoded.schema.fields
+        ]
+        writer = encoded.select(*typed).write.format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        (writer if path is None else writer.option("path", path)).saveAsTable(table)
         return
-    known = {f.name for f in spark.table(table).schema.fields}
-    new = [f for f in encoded.schema.fields if f.name not in known]
+    known = {key(f.name) for f in spark.table(table).schema.fields}
+    new = [f for f in encoded.schema.fields if key(f.name) not in known]
     if new:
         added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    have = {key(f.name): f.name for f in encoded.schema.fields}
     target = spark.table(table).schema
-    aligned = add_missing_columns(encoded, target).select(*[f"`{f.name}`" for f in target.fields])
-    aligned.write.insertInto(table)
+    aligned = encoded.select(
+        *[
+            F.col(f"`{have[key(f.name)]}`").try_cast(f.dataType).alias(f.name)
+            if key(f.name) in have
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in target.fields
+        ]
+    )
+    if partition_by:
+        # insertInto takes no options; the setting is put back whatever happens.
+        name = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(name)
+        spark.conf.set(name, "dynamic")
+        try:
+            aligned.write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(name, before)
+    else:
+        aligned.write.insertInto(table)
 
 
 def append_quarantine(invalid: DataFrame, table: str) -> bool:

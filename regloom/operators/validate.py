@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regloom.functions.dates import KNOWN_FORMATS, parses
+from regloom.functions.dates import KNOWN_FORMATS, let, parses
 from regloom.functions.text import non_empty
-from regloom.session import keep_above
 
 ROUTE = "_route"
 ENTRY = "struct<value:string,python_date_format:string>"
@@ -78,15 +77,20 @@ def is_date_valid(
     c = F.col(f"`{name}`")
     kind = df.schema[name].dataType
     if isinstance(kind, T.StructType):
-        entries = _struct_entries(c, kind, format_name, no_data_ok, formats)
-        if mode == "first":
-            decided = F.coalesce(*[F.when(present, valid) for present, valid in entries])
-        else:
-            seen, every = F.lit(False), F.lit(True)
-            for present, valid in entries:
-                seen, every = seen | present, every & (~present | valid)
-            decided = seen & every
-        return F.when(c.isNull(), F.lit(no_data_ok)).otherwise(F.coalesce(decided, F.lit(no_data_ok)))
+
+        def judged_struct(c: Column) -> Column:
+            entries = _struct_entries(c, kind, format_name, no_data_ok, formats)
+            if mode == "first":
+                decided = F.coalesce(*[F.when(present, valid) for present, valid in entries])
+            else:
+                seen, every = F.lit(False), F.lit(True)
+                for present, valid in entries:
+                    seen, every = seen | present, every & (~present | valid)
+                decided = seen & every
+            return F.when(c.isNull(), F.lit(no_data_ok)).otherwise(F.coalesce(decided, F.lit(no_data_ok)))
+
+        # Named once: a filter pushed below the mapping copies the column's expression once, not once per test.
+        return let(c, judged_struct)
     if isinstance(kind, T.StringType):
         array, empty = _text_entries(c, format_name, mode == "first"), c == ""
     elif isinstance(kind, T.MapType):
@@ -129,12 +133,10 @@ def with_route(df: DataFrame, date_fields: Sequence[str], no_data_ok: bool = Tru
 def split_by_dates(
     df: DataFrame, date_fields: Sequence[str], no_data_ok: bool = True, **options
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows).  To write both, prefer ``write_routes``:
-    it computes the rows once."""
-    routed = with_route(df, date_fields, no_data_ok, **options)
-    routed = routed.withColumn(ROUTE, keep_above(F.col(ROUTE)))
-    valid = routed.filter(F.col(ROUTE) == "valid").drop(ROUTE)
-    return valid, routed.filter(F.col(ROUTE) == "invalid").drop(ROUTE)
+    """(valid rows, quarantined rows), as plain filters on the date columns, so that further filters and
+    pruning reach the scan.  To write both, prefer ``write_routes``: it computes the rows once."""
+    ok = rows_valid(df, date_fields, no_data_ok=no_data_ok, **options)
+    return df.filter(ok), df.filter(~ok)
 
 
 def route_counts(routed: DataFrame) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # codegen.maxFields, hugeMethodLimit: a parse or mapping projection has close to a
 # hundred output columns.  Past HotSpot's 8000-bytecode limit a fused method is never
@@ -71,28 +70,5 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than cores, dealt out to all cores.
-
-    For narrow rows ahead of heavy per-row work (rendering, parsing, hashing).  A
-    scan that already has enough splits is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after checking the row count; past the bound the
-    plain join (sort-merge with skew handling) is left in place."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def keep_above(c: Column) -> Column:
-    """The same value, but a filter on it stays above the projection that makes it.
-
-    A filter on a deterministic column is pushed down by copying the column's whole
-    expression, and for mapped records that expression is the parse and the mapping.
-    The id is never negative, so the value does not change.
-    """
-    return F.when(F.monotonically_increasing_id() >= 0, c)
+    """Rows dealt out to all cores, ahead of heavy per-row work on narrow rows (rendering, parsing, hashing)."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

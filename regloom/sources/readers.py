@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,10 +12,59 @@ from pyspark.sql import types as T
 
 from regloom.functions.keys import content_type
 from regloom.operators.parse import explode_lines
-from regloom.session import broadcast_if_small, materialise
+from regloom.session import materialise
 
-# Doubled quotes, as written by most CSV tools and expected by warehouses.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# Doubled quotes, as written by most CSV tools and expected by warehouses.  A cell may hold line breaks, so a
+# record is read across lines; a source known to have one record per line can say multiLine=false and
+# have its files split between tasks.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+CORRUPT = "_corrupt_record"
+
+
+def _paths(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str], **options) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``paths`` by the column names of their first line.
+
+    One row per file reaches the driver, as many as Spark's own listing holds.  The byte order mark some
+    tools write is not part of a name.
+    """
+    reader = spark.read.options(**{k: v for k, v in options.items() if k in ("recursiveFileLookup", "pathGlobFilter")})
+    lines = reader.text(_paths(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("id"),
+    )
+    first = lines.where("block = 0").groupBy("path").agg(F.min_by("value", "id").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for row in first.collect():
+        line = row["line"].removeprefix("\ufeff")
+        cells = next(csv.reader([line], delimiter=options.get("sep", ",")), [])
+        found[tuple(cells)].append(row["path"])
+    return {k: sorted(v) for k, v in sorted(found.items())}
+
+
+def _read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None, options: dict) -> DataFrame:
+    """CSV files of any header, columns matched by name; a column a file lacks is null."""
+    headers = file_headers(spark, paths, **options) if options["header"] == "true" else {}
+    if len(headers) <= 1:
+        reader = spark.read.options(**options)
+        if schema is None:
+            return reader.csv(_paths(paths))
+        names = next(iter(headers), tuple(schema.names))
+        if names == tuple(schema.names):
+            return reader.option("enforceSchema", "false").schema(schema).csv(_paths(paths))
+    found = None
+    for names, files in headers.items():
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        part = spark.read.options(**options).schema(text).csv(files)
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    if schema is None:
+        return found
+    missing = [f.name for f in schema.fields if f.name not in found.columns]
+    padded = found.select("*", *[F.lit(None).cast("string").alias(n) for n in missing])
+    return padded.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_source(
@@ -26,24 +77,35 @@ def read_source(
 ) -> DataFrame:
     """Read csv, json_lines, json or parquet, by short name or MIME type.
 
-    CSV columns stay text (no inference).  Compression follows the file
-    extension; bzip2 files are split between tasks.
+    CSV columns stay text (no inference) and are matched by name, file by file.  JSON lines
+    with a declared schema keep what cannot be read in ``_corrupt_record`` if the schema has it, and
+    otherwise stop at it.  Compression follows the file extension.
     """
     kind = content_type(fmt)
-    reader = spark.read
     if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
+        options = {"recursiveFileLookup": "true", **options}
     if kind == "csv":
-        reader = reader.options(**{**CSV_OPTIONS, **options})
-        # A declared schema has to agree with the header; Spark then refuses a file that differs.
-        return reader.option("enforceSchema", "false").csv(paths) if schema is not None else reader.csv(paths)
+        return _read_csv(spark, paths, schema, {**CSV_OPTIONS, **options})
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if kind == "json_lines":
-        return reader.options(**options).json(paths)
+        kept = schema is None or CORRUPT in schema.names
+        bad = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT} if kept else {"mode": "FAILFAST"}
+        return reader.options(**{**bad, **options}).json(paths)
     if kind == "json":
         return reader.options(**{"multiLine": "true", **options}).json(paths)
-    return reader.options(**options).parquet(*([paths] if isinstance(paths, str) else paths))
+    return reader.options(**options).parquet(*_paths(paths))
+
+
+def read_json_lines(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, **options
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine): the lines that are records, and those that are not as ``(path, value)``."""
+    marked = T.StructType([*(f for f in schema.fields if f.name != CORRUPT), T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.options(**options).text(_paths(paths)).select("value", F.col("_metadata.file_path").alias("path"))
+    # Parsed from the text: Spark does not let a scan be asked for its broken records alone.
+    parsed = lines.where(F.btrim("value") != "").withColumn("v", F.from_json("value", marked, {"columnNameOfCorruptRecord": CORRUPT}))
+    broken = F.col(f"v.{CORRUPT}").isNotNull()
+    return parsed.where(~broken).select("v.*").drop(CORRUPT), parsed.where(broken).select("path", "value")
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], with_path: bool = False) -> DataFrame:
@@ -54,24 +116,21 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], with_path: bool
     return explode_lines(lines.select("value", F.col("_metadata.file_path").alias("path")), keep=["path"])
 
 
-def read_numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines with ``path`` and their 0-based ``row_index`` within the file.
+def write_numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines with ``path`` and their 0-based ``row_index`` within the file, at the boundaries of ``read_lines``.
 
-    A line's place inside its split follows from the id its scan task gives it, so
-    nothing is sorted: only one count per split is aggregated and summed up along
-    the file.  The scan is materialised first, because a second scan could be cut
-    into other splits.
+    A line's place inside its split follows from the id its scan task gives it, so nothing is sorted: only one count per
+    split is aggregated and summed up along the file.  The scan is written to the scratch
+    folder when this is called, because a second scan could be cut into other splits.
     """
-    scanned = spark.read.text(paths).select(
-        F.make_valid_utf8("value").alias("value"),
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
+    scanned = spark.read.text(_paths(paths)).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
     )
-    fixed = materialise(scanned, "lines")
+    broken = explode_lines(scanned, keep=["path", "block"])
+    fixed = materialise(broken.withColumn("id", F.monotonically_increasing_id()), "lines")
     blocks = fixed.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("n").over(earlier), F.lit(0))
     offsets = blocks.select("path", "block", "first", offset.alias("offset"))
-    joined = fixed.join(broadcast_if_small(offsets, 1_000_000), ["path", "block"])
+    joined = fixed.join(offsets, ["path", "block"])
     return joined.select("value", "path", (F.col("offset") + F.col("id") - F.col("first")).alias("row_index"))

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regloom.operators.schema import append_evolving, encode_json
 from regloom.operators.validate import ROUTE
 from regloom.plans.model import CDM, target_model
 
 
+RUN = "_run"
+
+
 def write_csv(
     df: DataFrame, path: str, compression: str | None = None, max_rows: int | None = None, mode: str = "errorifexists"
 ) -> None:
@@ -27,27 +31,34 @@ def write_csv(
     writer.csv(path)
 
 
-def write_routes(routed: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> dict[str, int]:
-    """Write valid and quarantined rows in one pass, a folder each
-    (``_route=valid``, ``_route=invalid``), and return the row counts taken in
-    that same pass."""
+def write_routes(routed: DataFrame, path: str, run: str, fmt: str = "parquet") -> dict[str, int]:
+    """Write valid and quarantined rows of one run in one pass, a folder each
+    (``_run=…/_route=valid``, ``_run=…/_route=invalid``), and return the row counts
+    taken in that same pass.  Repeating a run replaces what it had written."""
     counts = Observation()
     observed = encode_json(routed).observe(
         counts,
         F.count_if(F.col(ROUTE) == "valid").alias("valid"),
         F.count_if(F.col(ROUTE) == "invalid").alias("invalid"),
     )
-    observed.write.mode(mode).partitionBy(ROUTE).format(fmt).save(path)
+    observed.write.mode("overwrite").partitionBy(ROUTE).format(fmt).save(f"{path}/{RUN}={run}")
     return dict(counts.get)
 
 
-def append_routes(spark: SparkSession, path: str, valid_table: str, invalid_table: str) -> None:
-    """Load the folders of ``write_routes`` into their tables."""
-    staged = spark.read.parquet(path)
-    for route, table in (("valid", valid_table), ("invalid", invalid_table)):
+def append_routes(
+    spark: SparkSession, path: str, run: str, valid_table: str, invalid_table: str, schema: T.StructType | None = None,
+    locations: tuple[str | None, str | None] = (None, None),
+) -> None:
+    """Load the folders of one run of ``write_routes`` into their tables, partitioned by run.
+
+    Loading a run again replaces its partition, so a repeated or interrupted load leaves each row once.
+    ``schema`` gives the types of a new table's columns, as ``lake_schema`` has its timestamps.
+    """
+    staged = spark.read.parquet(f"{path}/{RUN}={run}").withColumn(RUN, F.lit(run))
+    for route, table, location in (("valid", valid_table, locations[0]), ("invalid", invalid_table, locations[1])):
         part = staged.filter(F.col(ROUTE) == route).drop(ROUTE)
         if not part.isEmpty():
-            append_evolving(part, table)
+            append_evolving(part, table, path=location, schema=schema, partition_by=[RUN])
 
 
 def bulk_projection(df: DataFrame, model=CDM, extracted_at: Column | None = None) -> DataFrame:

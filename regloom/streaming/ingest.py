@@ -15,7 +15,7 @@ from regloom.operators.validate import ROUTE, with_route
 from regloom.plans.compiler import map_to_cdm
 from regloom.plans.layout import Layout
 from regloom.plans.rules import MappingRules
-from regloom.sources.readers import CSV_OPTIONS
+from regloom.sources.readers import CORRUPT, CSV_OPTIONS
 
 
 def stream_lines(spark: SparkSession, path: str, glob: str = "*.txt", max_files: int | None = None) -> DataFrame:
@@ -29,13 +29,22 @@ def stream_lines(spark: SparkSession, path: str, glob: str = "*.txt", max_files:
 def stream_rows(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType, glob: str | None = None, max_files: int | None = None
 ) -> DataFrame:
-    """New rows of CSV or JSON-lines files with the ``path`` of their file."""
+    """New rows of CSV or JSON-lines files with the ``path`` of their file.
+
+    A JSON line that is no record comes as ``_corrupt_record``; a CSV file whose header is not the schema's stops the
+    stream, as a stream's files are not known when it is planned.
+    """
+    if fmt != "csv":
+        schema = T.StructType([*(f for f in schema.fields if f.name != CORRUPT), T.StructField(CORRUPT, T.StringType())])
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.options(**CSV_OPTIONS).csv(path) if fmt == "csv" else reader.json(path)
+    if fmt == "csv":
+        rows = reader.options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    else:
+        rows = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
     return rows.select("*", F.col("_metadata.file_path").alias("path"))
 
 
@@ -50,10 +59,16 @@ def records_from_lines(
 def records_from_rows(
     rows: DataFrame, rules: MappingRules, metadata: Mapping[str, Column | str | None] | None = None
 ) -> DataFrame:
-    columns = [c for c in rows.columns if c != "path"]
+    """Routed records; lines that are no record go to quarantine with their text and path."""
+    broken = CORRUPT in rows.columns
+    columns = [c for c in rows.columns if c not in ("path", CORRUPT)]
     stamps = {"source_name": stem(F.col("path")), **(metadata or {})}
-    records = map_to_cdm(rows, rules, stamps, source_columns=columns)
-    return encode_json(with_route(records, rules.date_fields(), formats=rules.date_formats()))
+    records = map_to_cdm(rows, rules, stamps, source_columns=columns, keep=[CORRUPT, "path"] if broken else [])
+    routed = with_route(records, rules.date_fields(), formats=rules.date_formats())
+    if broken:
+        bad = F.col(CORRUPT).isNotNull()
+        routed = routed.withColumn(ROUTE, F.when(bad, F.lit("invalid")).otherwise(F.col(ROUTE)))
+    return encode_json(routed)
 
 
 def ingest_available(stream: DataFrame, sink: str, checkpoint: str, partition_by: tuple[str, ...] = (ROUTE,)) -> None:

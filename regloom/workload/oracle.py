@@ -147,7 +147,7 @@ def from_reg(select: str, rest: str = "") -> str:
 
 
 SHARED = ["company_number", "name", "jurisdiction_code", "current_status", "company_type", "incorporation_date"]
-SPLIT = ["company_number", "name", "incorporation_date"]
+SPLIT = list(FULL)
 
 # --- texts ---
 
@@ -184,6 +184,7 @@ ORDER_DATE = f"try_cast(concat(year(o_orderdate), '-', lpad(concat('', month(o_o
 ORDER_MONTH = "['Jan','FEB','mar','Apr','May','Jun','Jul','Aug','Sep','oct','Nov','Dec'][month(o_orderdate)]"
 VALID_STATE = f"""CASE WHEN COR_NUMBER LIKE '%00' THEN 'missing' WHEN COR_NUMBER LIKE '%01' THEN 'bad'
     WHEN COR_NUMBER LIKE '%02' THEN 'bad' WHEN COR_NUMBER LIKE '%03' THEN 'missing' WHEN COR_NUMBER LIKE '%04' THEN 'bad'
+    WHEN COR_NUMBER LIKE '%05' THEN 'good' WHEN COR_NUMBER LIKE '%06' THEN 'bad' WHEN COR_NUMBER LIKE '%07' THEN 'bad'
     WHEN {mdy_date()} IS NOT NULL THEN 'good' ELSE 'bad' END"""
 
 
@@ -216,6 +217,11 @@ def address_rows(prefix: str, kind: str) -> str:
         FROM reg WHERE concat({prefix}_ADD_1, {prefix}_ADD_2, {prefix}_CITY, {prefix}_STATE) <> ''"""
 
 
+CUSTOMER_TEXTS = """SELECT c_custkey, concat('', c_custkey) AS id, concat(c_name, CASE c_custkey % 4 WHEN 0 THEN concat(chr(10), 'line')
+    WHEN 1 THEN ', "quoted"' WHEN 2 THEN concat(chr(13), chr(10), '"') ELSE '' END) AS note, c_mktsegment AS segment FROM customer"""
+STAMPS = ["fetched_at", "parsed_at", "cdm_mapped_at"]
+ISLE = ["company_number", "name", "jurisdiction_code", "incorporation_date", "officers", "all_attributes", "previous_names"]
+
 ORACLE: dict[str, str] = {
     "fw_parse": from_reg(f"*, {REG_HASH} AS hash"),
     "fw_chunk": from_reg(
@@ -240,14 +246,27 @@ ORACLE: dict[str, str] = {
         FROM events, (SELECT unnest(['csv', 'json_lines', 'parquet']) AS fmt)""",
     "zip_expand": f"""WITH lines AS (SELECT concat('c', conv_id, '_t', turn) AS source_name, string_split(text, chr(10)) AS parts FROM conversations),
         kept AS (SELECT source_name, CASE WHEN parts[-1] = '' THEN parts[:-2] ELSE parts END AS parts FROM lines)
-        SELECT source_name, unnest(parts) AS value FROM kept""",
-    "file_inventory": "SELECT DISTINCT concat('event_type=', event_type, '/day=', strftime(ts, '%Y-%m-%d')) AS path FROM events",
+        SELECT concat('conv/', source_name, '.txt') AS member, source_name, unnest(parts) AS value FROM kept""",
+    "file_inventory": """SELECT DISTINCT concat('event_type=', event_type, '/day=', strftime(ts, '%Y-%m-%d')) AS path,
+        true AS key_ok, true AS name_ok, true AS time_ok FROM events""",
+    "csv_multiline": f"SELECT id, note, segment, how FROM ({CUSTOMER_TEXTS}), (SELECT unnest(['table', 'stream']) AS how)",
+    "csv_mixed_headers": f"SELECT id, note, CASE WHEN c_custkey % 2 = 0 THEN segment END AS segment FROM ({CUSTOMER_TEXTS})",
+    "jsonl_corrupt": """WITH lines AS (SELECT o_orderkey % 10 = 3 AS bad, concat('O', o_orderkey) AS id, o_orderstatus AS status,
+        concat('{"id":"O', o_orderkey, '","status":"', o_orderstatus, '"}')[:12] AS cut FROM orders)
+        SELECT CASE WHEN bad THEN concat(p, CASE WHEN p = '' THEN 'quarantine' ELSE 'invalid' END)
+            ELSE concat(p, CASE WHEN p = '' THEN 'row' ELSE 'valid' END) END AS kind,
+        CASE WHEN NOT bad THEN id END AS id, CASE WHEN NOT bad THEN status END AS status, CASE WHEN bad THEN cut END AS value, true AS has_path
+        FROM lines, (SELECT unnest(['', 'stream ']) AS p)""",
+    "fw_chunk_file": from_reg(
+        """COR_PRINC_CITY AS city, CASE WHEN part = 0 THEN COR_NUMBER ELSE 'second line' END AS value,
+        CAST(floor((2 * (row_number() OVER (PARTITION BY COR_PRINC_CITY, part ORDER BY COR_NUMBER) - 1) + part) / 100) AS BIGINT) AS chunk_index""",
+        ", (SELECT unnest([0, 1]) AS part)",
+    ),
+    "csv_chunks": """WITH c AS (SELECT floor((row_number() OVER () - 1) / 100) AS file FROM customer),
+        f AS (SELECT count(*) AS rows FROM c GROUP BY file) SELECT rows, count(*) AS files FROM f GROUP BY rows""",
     "file_route": f"""SELECT key, CASE WHEN key LIKE '%_invalid.csv.bz2' THEN 'invalid' ELSE 'valid' END AS route
         FROM ({EVENT_FILE}) WHERE key LIKE '%.csv.bz2'""",
-    "bulk_projection": from_reg(
-        pick(["company_number", "name", "jurisdiction_code", "all_attributes", "source_name", "source_timestamp"])
-        + ", TIMESTAMP '2024-10-08 00:00:00' AS extracted_at"
-    ),
+    "bulk_projection": from_reg(pick(FULL) + ", TIMESTAMP '2024-10-08 00:00:00' AS extracted_at"),
     "evolve_append": """SELECT n_nationkey, n_name, CAST(NULL AS BIGINT) AS c_custkey, CAST(NULL AS VARCHAR) AS c_mktsegment FROM nation
         UNION ALL SELECT c_nationkey, NULL, c_custkey, c_mktsegment FROM customer""",
     "rules_key": """SELECT n_nationkey, concat('cdm_mapping_rules/', lower(n_name), '/',
@@ -330,7 +349,10 @@ ORACLE: dict[str, str] = {
     ),
     "cdm_full": from_reg(pick(FULL)),
     "cdm_isle_of_man": from_reg(
-        """COR_NUMBER AS company_number, COR_NAME AS name, 'im' AS jurisdiction_code,
+        ", ".join(f"{NONE} AS {n}" for n in FULL if n not in ISLE)
+        + """, COR_NUMBER AS company_number, COR_NAME AS name, 'im' AS jurisdiction_code,
+        CASE WHEN PRINC2_NAME <> '' THEN concat('[{"Name":"', PRINC2_NAME, '","Status":"', COR_STATUS, '"},{"Name":"', COR_NAME,
+            '","Status":"', COR_STATUS, '"}]') END AS previous_names,
         concat('{"date_of_registration":{"value":"03 Oct ', REPORT_YEAR_1, '","format":"DD Mon YYYY","python_date_format":"%d %b %Y"}}') AS incorporation_date,
         CASE WHEN RA_NAME <> '' THEN concat('[{"Agent":"', RA_NAME, '","Address":"', RA_CITY, '"}]') END AS officers, """
         + obj(member("registry_type", "STATE_COUNTRY"))
@@ -361,7 +383,12 @@ ORACLE: dict[str, str] = {
     "split_valid": from_reg(pick(SPLIT), f"WHERE {VALID}"),
     "split_invalid": from_reg(pick(SPLIT), f"WHERE NOT {VALID}"),
     "route_counts": from_reg(f"CASE WHEN {VALID} THEN 'stg_us_fl' ELSE 'stg_us_fl_invalid' END AS table, count(*) AS rows", "GROUP BY 1"),
-    "route_write": from_reg(f"COR_NUMBER AS company_number, {REG_HASH} AS hash, CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route"),
+    "route_write": from_reg(pick(FULL) + f", CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route"),
+    "load_routes": from_reg(
+        ", ".join(f"CAST({FULL[n]} AS TIMESTAMP) AS {n}" if n in STAMPS else f"{FULL[n]} AS {n}" for n in FULL)
+        + f", CASE WHEN COR_PRINC_STATE = 'FL' THEN 'r1' ELSE 'r2' END AS run, CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route"
+    ),
+    "source_append": from_reg(f"*, {REG_HASH} AS hash, CASE WHEN COR_PRINC_STATE <> 'FL' THEN 'second' END AS load"),
     "files_diff": "SELECT concat('o', o_orderkey, '.txt') AS name FROM orders WHERE o_orderstatus = 'F'",
     "files_diff_ts": """SELECT concat('o', o_orderkey, '.txt') AS name FROM orders
         WHERE o_orderstatus = 'F' OR o_orderkey % 10 = 7 OR o_orderkey % 4 = 1""",
@@ -372,21 +399,24 @@ ORACLE: dict[str, str] = {
         CASE WHEN check_timestamp THEN c_custkey * 1000 ELSE 0 END AS timestamp, 'NEW' AS status, ingest_config FROM wanted
         WHERE c_acctbal >= 5000 OR (check_timestamp AND c_custkey % 2 = 1)""",
     "group_paths": """SELECT event_type AS object_key, CASE WHEN value < 1 THEN 'stg_us_fl_invalid' ELSE 'stg_us_fl' END AS target,
-        count(*) AS n_paths, min(concat('lake/', lpad(concat('', event_id), 12, '0'))) AS first_path,
-        max(concat('lake/', lpad(concat('', event_id), 12, '0'))) AS last_path, true AS bounded FROM events GROUP BY 1, 2""",
+        true AS bounded, true AS ordered, concat('lake/', lpad(concat('', event_id), 12, '0')) AS path FROM events""",
     "size_minmax": """WITH s AS (SELECT l_orderkey * 7 % 100003 AS size FROM lineitem)
         SELECT min(size) FILTER (size <> 0) AS min_size, max(size) FILTER (size <> 0) AS max_size FROM s""",
     "ledger_filter": f"""SELECT object_key, status, timestamp FROM ({TASKS}) WHERE starts_with(object_key, 'click/') AND status = 'PREPARING'
         ORDER BY object_key LIMIT 99""",
     "ledger_new": f"SELECT object_key, status FROM ({TASKS}) WHERE status IS NULL OR status = 'NEW'",
     "ledger_transition": f"""WITH t AS (SELECT *, event_type <> 'error' AS asked,
-        event_type <> 'error' AND (event_id % 3 = 0 OR coalesce(status = 'NEW', false)) AS takes FROM ({TASKS}))
-        SELECT object_key, CASE WHEN takes THEN CASE WHEN event_id % 2 = 0 THEN 'PREPARING' ELSE 'ERROR' END ELSE status END AS status,
-        CASE WHEN takes THEN '2024-10-07T00:00:00' ELSE timestamp END AS timestamp, CASE WHEN asked THEN takes END AS applied FROM t""",
+        event_type <> 'error' AND (event_id % 3 = 0 OR coalesce(status = 'NEW', false)) AS takes,
+        event_type <> 'error' AND event_id % 6 = 0 AS again FROM ({TASKS}))
+        SELECT object_key, CASE WHEN again THEN 'PROCESSED' WHEN takes THEN CASE WHEN event_id % 2 = 0 THEN 'PREPARING' ELSE 'ERROR' END
+            ELSE status END AS status,
+        CASE WHEN again THEN '2024-10-08T00:00:00' WHEN takes THEN '2024-10-07T00:00:00' ELSE timestamp END AS timestamp,
+        CASE WHEN asked THEN takes END AS applied FROM t""",
     "ledger_upsert": f"""SELECT object_key, coalesce(status, 'NEW') AS status, timestamp FROM ({TASKS})
         UNION ALL SELECT concat('nation/', n_name), 'NEW', '' FROM nation""",
     "head_samples": """WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
-        SELECT o_orderkey, CAST(s AS BIGINT) AS sample FROM r, (SELECT unnest([1000, 2000, 5000]) AS s) WHERE n <= s""",
+        SELECT o_orderkey, CAST(s AS BIGINT) AS sample FROM r, (SELECT unnest([1000, 2000, 5000, 10000, 20000, 50000, 100000,
+            200000, 500000, 1000000]) AS s) WHERE n <= s""",
     "norm_company": from_reg(
         f"""COR_NUMBER AS company_number, COR_NAME AS name, 'us_fl' AS jurisdiction_code, COR_STATUS AS current_status,
         COR_FILING_TYPE AS company_type, {mdy_date()} AS incorporation_date, CAST(NULL AS DATE) AS dissolution_date,
@@ -407,7 +437,6 @@ ORACLE: dict[str, str] = {
     ),
     "share_view": from_reg(pick(SHARED), "WHERE COR_FILING_TYPE = 'FLAL'"),
     "stream_ingest": from_reg(
-        f"""COR_NUMBER AS company_number, COR_NAME AS name, {REG_HASH} AS hash, 'us_fl_fixed_width_field_def_0.1' AS parsed_by,
-        CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route"""
+        pick([n for n in FULL if n != "source_name"]) + f", CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route"
     ),
 }

@@ -22,7 +22,8 @@ from regloom.operators.parse import explode_lines, parse_fixed_width, render_fix
 from regloom.plans.compiler import map_to_cdm
 from regloom.plans.layout import Layout
 from regloom.plans.rules import MappingRules
-from regloom.session import ADJUSTABLE, RECOMMENDED, scratch_dir, spread
+from regloom.plans.model import lake_schema
+from regloom.session import ADJUSTABLE, RECOMMENDED, scratch_dir
 from regloom.sources import archives, inventory, readers, writers
 from regloom.streaming import ingest
 from regloom.workload.registry import columns, read_table, registry
@@ -123,7 +124,7 @@ DIRTY_LAYOUT = Layout.from_dict(
         "fields": [
             {"name": "head", "start": 1, "end": 12},
             {"name": "body", "start": 13, "end": 60},
-            {"name": "rest", "start": 61, "end": 100_000_000},
+            {"name": "rest", "start": 61, "end": 2**31 - 1},
         ]
     }
 )
@@ -132,7 +133,7 @@ DIRTY_LAYOUT = Layout.from_dict(
 @query
 def fw_dirty(spark, sf_dir):
     """Document lines with quotes, tabs, no-break blanks and non-ASCII text."""
-    docs = spread(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     dirty = lines.selectExpr(
         "doc_id",
@@ -150,7 +151,7 @@ def row_hash_registry(spark, sf_dir):
 @query
 def row_hash_documents(spark, sf_dir):
     """Hash over whole texts, with line breaks and both kinds of quotes."""
-    docs = spread(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
     fields = docs.selectExpr("doc_id", "concat(lang, chr(39), source) AS origin", "replace(text, 'ion', chr(39)) AS body")
     return fields.select("doc_id", row_hash(["origin", "body"]).alias("hash"))
 
@@ -192,6 +193,84 @@ def csv_roundtrip(spark, sf_dir):
     return readers.read_source(spark, path, "csv")
 
 
+def customer_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a cell that holds line breaks, quotes and commas."""
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "concat('', c_custkey) AS id",
+        """concat(c_name, CASE c_custkey % 4 WHEN 0 THEN '\\nline' WHEN 1 THEN ', "quoted"' WHEN 2 THEN '\\r\\n"' ELSE '' END) AS note""",
+        "c_mktsegment AS segment",
+    )
+
+
+@query
+def csv_multiline(spark, sf_dir):
+    """Cells with line breaks through the sink and back, as a table and as a stream."""
+    path, sink, ledger = (scratch_dir(spark, p) for p in ("notes", "notes-sink", "notes-ledger"))
+    rows = customer_texts(spark, sf_dir)
+    writers.write_csv(rows, path)
+    ingest.ingest_available(ingest.stream_rows(spark, path, "csv", rows.schema, glob="*.csv"), sink, ledger)
+    read = readers.read_source(spark, path, "csv").withColumn("how", F.lit("table"))
+    return read.unionByName(spark.read.parquet(sink).drop("path").withColumn("how", F.lit("stream")))
+
+
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """Two folders whose files have their columns in another order, one of them without the last."""
+    path, rows = scratch_dir(spark, "mixed"), customer_texts(spark, sf_dir)
+    writers.write_csv(rows.filter("id % 2 = 0"), f"{path}/a")
+    writers.write_csv(rows.filter("id % 2 = 1").select("note", "id"), f"{path}/b")
+    return readers.read_source(spark, path, "csv", recursive=True)
+
+
+@query
+def jsonl_corrupt(spark, sf_dir):
+    """JSON lines, every tenth of them cut short: records go on, the others to quarantine with text and path."""
+    from pyspark.sql import types as T
+
+    path = scratch_dir(spark, "broken")
+    orders = read_table(spark, sf_dir, "orders").selectExpr("concat('O', o_orderkey) AS id", "o_orderstatus AS status", "o_orderkey")
+    line = F.to_json(F.struct("id", "status"))
+    broken = F.when(F.col("o_orderkey") % 10 == 3, F.left(line, F.lit(12))).otherwise(line)
+    orders.select(broken.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "status")])
+    good, bad = readers.read_json_lines(spark, path, schema)
+    sink, ledger = (scratch_dir(spark, p) for p in ("broken-sink", "broken-ledger"))
+    rules = rules_of(number=copied("id", "company_number"), state=copied("status", "current_status"))
+    stream = ingest.stream_rows(spark, path, "json_lines", schema, glob="*.txt")
+    ingest.ingest_available(ingest.records_from_rows(stream, rules), sink, ledger)
+    streamed = spark.read.parquet(sink).select(
+        F.concat(F.lit("stream "), F.col(validate.ROUTE)).alias("kind"),
+        F.col("company_number").alias("id"), F.col("current_status").alias("status"), F.col(readers.CORRUPT).alias("value"),
+        F.col("path").isNotNull().alias("has_path"),
+    )
+    none = F.lit(None).cast("string")
+    rows = good.select(F.lit("row").alias("kind"), "id", "status", none.alias("value"), F.lit(True).alias("has_path"))
+    kept = bad.select(F.lit("quarantine").alias("kind"), none.alias("id"), none.alias("status"), "value", F.col("path").isNotNull().alias("has_path"))
+    return rows.unionByName(kept).unionByName(streamed)
+
+
+@query
+def fw_chunk_file(spark, sf_dir):
+    """Lines numbered by their place in their file and cut into chunks of 100; one file a city."""
+    path = scratch_dir(spark, "cities")
+    rows = registry(spark, sf_dir, ["COR_NUMBER", "COR_PRINC_CITY"])
+    placed = rows.repartition("COR_PRINC_CITY").sortWithinPartitions("COR_PRINC_CITY", "COR_NUMBER")
+    placed.selectExpr("COR_PRINC_CITY AS city", "concat(COR_NUMBER, chr(11), 'second line') AS value").write.partitionBy("city").text(path)
+    numbered = readers.write_numbered_lines(spark, path)
+    city = F.url_decode(F.regexp_extract("path", "city=([^/]*)/", 1))
+    return numbered.select(city.alias("city"), "value", F.floor(F.col("row_index") / 100).cast("long").alias("chunk_index"))
+
+
+@query
+def csv_chunks(spark, sf_dir):
+    """A sink that cuts files of 100 rows: how many rows the files hold."""
+    path = scratch_dir(spark, "chunks")
+    rows = read_table(spark, sf_dir, "customer").selectExpr("concat('', c_custkey) AS c_custkey", "c_name")
+    writers.write_csv(rows.coalesce(1), path, max_rows=100)
+    read = readers.read_source(spark, path, "csv").select("*", F.col("_metadata.file_path").alias("file"))
+    return read.groupBy("file").agg(F.count("*").alias("rows")).groupBy("rows").agg(F.count("*").alias("files"))
+
+
 @query
 def jsonl_scan(spark, sf_dir):
     path = scratch_dir(spark, "turns")
@@ -237,7 +316,7 @@ def zip_expand(spark, sf_dir):
             yield pd.DataFrame({"archive": [f"batch{n}.zip"], "content": [buffer.getvalue()]})
 
     packed = turns.select("conv_id", "turn", "text").mapInPandas(pack, "archive string, content binary")
-    return archives.expand_archives(packed).select("source_name", "value")
+    return archives.expand_archives(packed).select("member", "source_name", "value")
 
 
 @query
@@ -247,7 +326,13 @@ def file_inventory(spark, sf_dir):
     events = read_table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     events.write.partitionBy("event_type", "day").parquet(path)
     listed = inventory.file_inventory(spark, path, prefix="event_type=", suffixes=[".parquet"])
-    return listed.filter("size > 0").select("path").distinct()
+    # Names, sizes and times differ from run to run; what every file has of them is compared.
+    return listed.filter("size > 0").select(
+        "path",
+        (F.col("key") == F.concat_ws("/", "path", "name")).alias("key_ok"),
+        F.col("name").rlike("^part-.*[.]parquet$").alias("name_ok"),
+        (F.col("timestamp") > F.lit("2020-01-01").cast("timestamp")).alias("time_ok"),
+    ).distinct()
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,7 +355,7 @@ def file_route(spark, sf_dir):
 def bulk_projection(spark, sf_dir):
     at = F.lit("2024-10-08 00:00:00").cast("timestamp_ntz")
     rows = writers.bulk_projection(company_records(spark, sf_dir), extracted_at=at)
-    return rows.select("company_number", "name", "jurisdiction_code", "all_attributes", "source_name", "source_timestamp", "extracted_at")
+    return rows
 
 
 @query
@@ -373,6 +458,9 @@ def date_valid(spark, sf_dir):
             WHEN COR_NUMBER LIKE '%02' THEN '{"file_date":"foo"}'
             WHEN COR_NUMBER LIKE '%03' THEN '{"file_date":{}}'
             WHEN COR_NUMBER LIKE '%04' THEN '{"file_date":{"value":"01012020"}}'
+            WHEN COR_NUMBER LIKE '%05' THEN '{"file_date":{"value":"2020.02.28","python_date_format":"%Y.%m.%d"}}'
+            WHEN COR_NUMBER LIKE '%06' THEN '{"file_date":{"value":"2020.02.30","python_date_format":"%Y.%m.%d"}}'
+            WHEN COR_NUMBER LIKE '%07' THEN '{"file_date":{"value":"2020.02.28","python_date_format":"%Q.%m.%d"}}'
             ELSE concat('{"file_date":{"value":"', COR_FILE_DATE, '","python_date_format":"%m%d%Y"}}') END AS d""",
     )
     return rows.select(
@@ -546,7 +634,7 @@ def isle_of_man_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cdm_isle_of_man(spark, sf_dir):
     records = schema_ops.encode_json(isle_of_man_records(spark, sf_dir))
-    return records.select("company_number", "name", "jurisdiction_code", "incorporation_date", "officers", "all_attributes")
+    return records
 
 
 @query
@@ -620,14 +708,14 @@ def meta_backfill(spark, sf_dir):
 def split_valid(spark, sf_dir):
     rules = rules_for("us_fl")
     valid, _ = validate.split_by_dates(company_records(spark, sf_dir), rules.date_fields(), formats=rules.date_formats())
-    return schema_ops.encode_json(valid.select("company_number", "name", "incorporation_date"))
+    return schema_ops.encode_json(valid)
 
 
 @query
 def split_invalid(spark, sf_dir):
     rules = rules_for("us_fl")
     _, invalid = validate.split_by_dates(company_records(spark, sf_dir), rules.date_fields(), formats=rules.date_formats())
-    return schema_ops.encode_json(invalid.select("company_number", "name", "incorporation_date"))
+    return schema_ops.encode_json(invalid)
 
 
 @query
@@ -642,9 +730,49 @@ def route_counts(spark, sf_dir):
 def route_write(spark, sf_dir):
     """Both routes written in one pass, then read from their folders."""
     path = scratch_dir(spark, "routes")
-    writers.write_routes(routed_records(spark, sf_dir), path)
-    written = spark.read.parquet(path)
-    return written.select("company_number", "hash", F.col(validate.ROUTE).alias("route"))
+    writers.write_routes(routed_records(spark, sf_dir), path, "first")
+    written = spark.read.parquet(f"{path}/{writers.RUN}=first")
+    return written.withColumnRenamed(validate.ROUTE, "route")
+
+
+@query
+def load_routes(spark, sf_dir):
+    """Two runs loaded into the two tables, and the first run written and loaded once more."""
+    import uuid
+
+    staged, mark, layout, rules = scratch_dir(spark, "staged"), uuid.uuid4().hex, layout_for("us_fl"), rules_for("us_fl")
+    tables = [f"stg_{mark}", f"stg_{mark}_invalid"]
+    places = tuple(scratch_dir(spark, "stg") for _ in tables)
+    rows = registry(spark, sf_dir)
+    for run, state in (("r1", "FL"), ("r2", "GA"), ("r1", "FL")):
+        lines = render_fixed_width(rows.filter(F.col("COR_PRINC_STATE") == state), layout)
+        records = map_to_cdm(parse_fixed_width(lines, layout), rules, company_metadata())
+        routed = validate.with_route(records, rules.date_fields(), formats=rules.date_formats())
+        writers.write_routes(routed, staged, run)
+        writers.append_routes(spark, staged, run, *tables, schema=lake_schema(), locations=places)
+    stamps = [f.name for f in lake_schema().fields if f.dataType.typeName() == "timestamp"]
+    found = None
+    for table, route in zip(tables, ("valid", "invalid"), strict=True):
+        part = spark.table(table).withColumn("route", F.lit(route)).withColumnRenamed(writers.RUN, "run")
+        part = part.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query
+def source_append(spark, sf_dir):
+    """Parsed rows appended to a source table in two loads, the second with a column of another case and a new one."""
+    import uuid
+
+    table, layout = f"src_{uuid.uuid4().hex}", layout_for("us_fl")
+    rows = registry(spark, sf_dir)
+    for i, state in enumerate(("FL", "GA")):
+        lines = render_fixed_width(rows.filter(F.col("COR_PRINC_STATE") == state), layout)
+        parsed = parse_fixed_width(lines, layout)
+        if i:
+            parsed = parsed.withColumnRenamed("COR_NAME", "cor_name").withColumn("load", F.lit("second"))
+        schema_ops.append_evolving(parsed, table, path=scratch_dir(spark, "source") if not i else None)
+    return spark.table(table)
 
 
 # --- file sets and the ledger ---
@@ -711,24 +839,24 @@ def workload_scan(spark, sf_dir):
     landed = customer_files(spark, sf_dir, "raw").filter("c_acctbal < 5000").selectExpr(
         "concat(path, '/2024/01/01') AS path", "name", "CASE WHEN c_custkey % 2 = 0 THEN timestamp ELSE timestamp + 5 END AS timestamp"
     )
+    # Every file also lies under raw/10, raw/20, …, which no entry's target is, though raw/1 and raw/2 are.
+    elsewhere = customer_files(spark, sf_dir, "raw").selectExpr("concat(path, '0/2024') AS path", "name", "timestamp")
+    landed = landed.unionByName(elsewhere)
     return file_ops.plan_workload(manifest(spark, sf_dir), listed, landed, kind="epoch")
 
 
 @query
 def group_paths(spark, sf_dir):
-    """Paths per task and table.  Large groups are cut into parts of about 500;
-    shown are the parts summed up again."""
+    """Paths per task and table.  Large groups are cut into parts of about 500; shown is every path of every part."""
     events = read_table(spark, sf_dir, "events").selectExpr(
         "event_type AS object_key",
         "CASE WHEN value < 1 THEN 'stg_us_fl_invalid' ELSE 'stg_us_fl' END AS target",
         "concat('lake/', lpad(event_id, 12, '0')) AS path",
     )
     grouped_paths = file_ops.group_paths(events, max_paths=500)
-    return grouped_paths.groupBy("object_key", "target").agg(
-        F.sum(F.size("paths")).alias("n_paths"),
-        F.min(F.array_min("paths")).alias("first_path"),
-        F.max(F.array_max("paths")).alias("last_path"),
-        (F.max(F.size("paths")) <= 1000).alias("bounded"),
+    ordered = F.col("paths") == F.sort_array("paths")
+    return grouped_paths.select(
+        "object_key", "target", (F.size("paths") <= 1000).alias("bounded"), ordered.alias("ordered"), F.explode("paths").alias("path")
     )
 
 
@@ -765,8 +893,12 @@ def ledger_transition(spark, sf_dir):
         "CASE WHEN event_id % 2 = 0 THEN 'PREPARING' ELSE 'ERROR' END AS to_status",
         "CASE WHEN event_id % 3 <> 0 THEN 'NEW' END AS from_status",
         "'2024-10-07T00:00:00' AS timestamp",
-    ).filter("object_key NOT LIKE 'error/%'")
-    return ledger_ops.ledger_transition(tasks(spark, sf_dir).drop("event_id"), changes)
+    ).filter("object_key NOT LIKE 'error/%'").withColumn("seq", F.lit(1).cast("long"))
+    # A third of the tasks is asked a second time, for the state the first change may have left.
+    again = changes.filter("from_status IS NULL").selectExpr(
+        "object_key", "'PROCESSED' AS to_status", "'PREPARING' AS from_status", "'2024-10-08T00:00:00' AS timestamp", "2L AS seq"
+    )
+    return ledger_ops.ledger_transition(tasks(spark, sf_dir).drop("event_id"), changes.unionByName(again))
 
 
 @query
@@ -780,7 +912,7 @@ def ledger_upsert(spark, sf_dir):
 def head_samples(spark, sf_dir):
     """Prefix samples of the orders, by key: which samples an order is part of."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    samples = row_ops.head_samples(orders, ["o_orderdate", "o_orderkey"], (1000, 2000, 5000))
+    samples = row_ops.head_samples(orders, ["o_orderdate", "o_orderkey"])
     found = None
     for size, rows in samples.items():
         part = rows.select("o_orderkey", F.lit(size).cast("long").alias("sample"))
@@ -811,8 +943,8 @@ def norm_officer_address(spark, sf_dir):
 @query
 def norm_address(spark, sf_dir):
     records = schema_ops.encode_json(company_records(spark, sf_dir))
-    mail = norm.address_table(records, "mailing_address").withColumn("kind", F.lit("mailing"))
-    return mail.unionByName(norm.address_table(records, "headquarters_address").withColumn("kind", F.lit("headquarters")))
+    found = norm.address_tables(records, ["mailing_address", "headquarters_address"])
+    return found.withColumn("source", F.replace("source", F.lit("_address"), F.lit(""))).withColumnRenamed("source", "kind")
 
 
 @query
@@ -856,4 +988,5 @@ def stream_ingest(spark, sf_dir):
         stream = ingest.stream_lines(spark, source)
         ingest.ingest_available(ingest.records_from_lines(stream, layout, rules, stamps), sink, ledger)
     out = spark.read.parquet(sink)
-    return out.select("company_number", "name", "hash", "parsed_by", F.col(validate.ROUTE).alias("route"))
+    # Part files are named by the writer.
+    return out.drop("source_name").withColumnRenamed(validate.ROUTE, "route")

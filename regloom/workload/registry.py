@@ -79,6 +79,22 @@ FILLED = {
     "PRINC2_NAME": blank_when(NO_SECOND, "concat('SECOND ', c_name)"),
     "PRINC2_ADD_1": blank_when(NO_SECOND, f"concat({text(f'{KEY} % 53 + 1')}, ' SIDE STREET')"),
     "PRINC3_NAME": blank_when(NO_THIRD, "concat('THIRD ', c_name)"),
+    "PRINC4_TITLE": blank_when(f"{KEY} % 13 <> 4", "'SEC'"),
+    "PRINC4_NAME_TYPE": blank_when(f"{KEY} % 13 <> 4", "'C'"),
+    "PRINC4_NAME": blank_when(f"{KEY} % 26 <> 4", "concat('FOURTH ', c_name)"),
+    "PRINC5_NAME": blank_when(f"{KEY} % 17 <> 5", f"concat('FIFTH O', {APOSTROPHE}, c_name)"),
+    "PRINC5_ZIP5": blank_when(f"{KEY} % 17 <> 5", padded(f"{KEY} % 70000", 5)),
+    "PRINC5_ZIP4": blank_when(f"{KEY} % 34 <> 5", "'0005'"),
+    "PRINC6_CITY": blank_when(f"{KEY} % 19 <> 6", "n_name"),
+    "PRINC6_STATE": blank_when(f"{KEY} % 19 <> 6", STATE),
+    "COR_MAIL_ZIP": blank_when(NO_MAIL, padded(f"{KEY} % 88888", 5)),
+    "COR_MAIL_COUNTRY": blank_when(NO_MAIL, "'US'"),
+    "LAST_TRX_DATE": blank_when(f"{KEY} % 3 = 0", f"concat({padded(MONTH, 2)}, {padded(DAY, 2)}, {text(YEAR)})"),
+    "HOUSE_FLAG_1": "'N'",
+    "REPORT_DATE_1": f"concat({padded(MONTH, 2)}, {padded(DAY, 2)}, {text(YEAR)})",
+    "REPORT_YEAR_2": blank_when(f"{KEY} % 2 = 0", text(f"2001 + {KEY} % 25")),
+    "HOUSE_FLAG_2": blank_when(f"{KEY} % 2 = 0", "'Y'"),
+    "REPORT_DATE_3": blank_when(f"{KEY} % 5 <> 1", "'01312024'"),
 }
 
 

@@ -9,7 +9,7 @@ from regloom.jurisdictions import layout_for
 from regloom.operators.parse import explode_lines, parse_fixed_width, render_fixed_width
 from regloom.operators.rows import with_chunk_index
 from regloom.plans.layout import Layout
-from regloom.sources.readers import read_lines, read_numbered_lines
+from regloom.sources.readers import read_lines, write_numbered_lines
 
 THREE = Layout.from_dict(
     {
@@ -157,10 +157,11 @@ def test_chunk_index_with_one_hot_key(spark):
 
 def test_numbered_lines(spark, tmp_path):
     for f in range(3):
-        (tmp_path / f"f{f}.txt").write_text("\n".join(f"{f}-{i}" for i in range(500)) + "\n")
+        # Every tenth line break is one that only str.splitlines() knows.
+        (tmp_path / f"f{f}.txt").write_text("".join(f"{f}-{i}" + ("\x0b" if i % 10 == 3 else "\n") for i in range(500)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
     try:
-        got = read_numbered_lines(spark, str(tmp_path)).collect()
+        got = write_numbered_lines(spark, str(tmp_path)).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert len(got) == 1500
