@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +47,18 @@ def build_session(app: str = "regloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package from where the driver has it.
+
+    For a package that is not installed; executors that have it installed, or are sent it, lose nothing.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing folder below the cluster's shared checkpoint folder.
 

@@ -420,7 +420,7 @@ def raw_key(spark, sf_dir):
 @query
 def date_norm(spark, sf_dir):
     rows = registry(spark, sf_dir, ["COR_NUMBER", "COR_FILE_DATE"])
-    rule = rules_for("us_fl").rules["file_date"]
+    rule = rules_for("us_fl").rules["cor_file_date"]
     entry = dates.date_struct(F.col("COR_FILE_DATE"), rule.date_format, rule.python_date_format)
     return rows.select(
         "COR_NUMBER",
