@@ -139,19 +139,19 @@ def test_split(spark):
 
 
 def test_keys(spark):
-    day = F.lit(datetime(2024, 10, 7))
-    assert one(spark, target_key("us_fl", day, "path/to/file.csv", index=0)) == "us_fl/2024/10/7/file_0.csv"
-    assert one(spark, target_key("us_fl", day, "path/to/file.csv", index=0, add_file_name_as_prefix=True)) == "us_fl/2024/10/7/file/file_0.csv"
-    assert one(spark, target_key("us_fl", day, "path/to/file.json", "json", 0)) == "us_fl/2024/10/7/file_0.json"
-    assert one(spark, target_key("us_fl", day, "a/b/abc.txt", "parquet")) == "us_fl/2024/10/7/abc.parquet"
-    assert one(spark, target_key("us_fl", day)) == "us_fl/2024/10/7/anon.csv"
-    assert one(spark, target_key("us_fl", day, "a/b.c.d", index=-1, suffix="invalid")) == "us_fl/2024/10/7/b_invalid.csv"
-    assert one(spark, target_key("us_fl", day, "a/b", filename="x.y")) == "us_fl/2024/10/7/x.csv"
-    assert one(spark, target_key("us_fl", None, "f.csv", index=1)).endswith("/f_1.csv")
-
-    assert one(spark, raw_key("test/path", "testfile.txt", F.lit("2023-10-01T00:00:00"), "iso")) == "test/path/2023/10/01/testfile.txt"
-    assert one(spark, raw_key("", "file.txt", F.lit("2021-12-25T00:00:00"), "text")) == "/2021/12/25/file.txt"
-    assert one(spark, raw_key("p", "f", F.lit(1609459300), "epoch")) == "p/2021/01/01/f"
+    day = F.lit(datetime(2031, 1, 9))
+    assert one(spark, target_key("im", day, "in/ships/anna.csv", index=12)) == "im/2031/1/9/anna_12.csv"
+    assert one(spark, target_key("im", day, "anna.csv.bz2", index=2, add_file_name_as_prefix=True)) == "im/2031/1/9/anna/anna_2.csv"
+    assert one(spark, target_key("im", day, "in/anna.jsonl", "json", 3)) == "im/2031/1/9/anna_3.json"
+    assert one(spark, target_key("im", day, "in/anna", "parquet")) == "im/2031/1/9/anna.parquet"
+    assert one(spark, target_key("im", day)) == "im/2031/1/9/anon.csv"
+    assert one(spark, target_key("im", day, "in/b.c.d", index=-1, suffix="invalid")) == "im/2031/1/9/b_invalid.csv"
+    assert one(spark, target_key("im", day, "in/b", filename="x.y")) == "im/2031/1/9/x.csv"
+    assert one(spark, target_key("im", None, "z.csv", index=1)).endswith("/z_1.csv")
+
+    assert one(spark, raw_key("landing/ships", "anna.txt", F.lit("2031-01-09T23:59:59"), "iso")) == "landing/ships/2031/01/09/anna.txt"
+    assert one(spark, raw_key("", "b.txt", F.lit("1999-11-30T00:00:01"), "text")) == "/1999/11/30/b.txt"
+    assert one(spark, raw_key("p", "f", F.lit(951782400), "epoch")) == "p/2000/02/29/f"
     now = F.lit(datetime(2020, 2, 3))
     assert one(spark, raw_key("p", "f", F.lit(0), "epoch", now)) == "p/2020/02/03/f"
     assert one(spark, raw_key("p", "f", F.lit(None).cast("string"), "iso", now)) == "p/2020/02/03/f"
