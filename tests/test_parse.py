@@ -32,6 +32,7 @@ SHIFTED = Layout.from_dict(
 )
 TWO = Layout.from_dict({"fields": [{"name": "a", "start": 1, "end": 5}, {"name": "b", "start": 6, "end": 10}]})
 
+# Lines, their cells and their hashes, as the hash must come out; THREE and SHIFTED are their layouts.
 GOLDEN = [
     (THREE, "L24000407310ABCD LLCXY", ("L24000407310", "ABCD LLC", "XY", "SPTscM6htn9_ScYpM6BpjU")),
     (THREE, "L24000407320APPLE INYX", ("L24000407320", "APPLE IN", "YX", "VLiUOCZssSq2-br5HPpPr0")),
