@@ -264,6 +264,10 @@ ORACLE: dict[str, str] = {
     ),
     "csv_chunks": """WITH c AS (SELECT floor((row_number() OVER () - 1) / 100) AS file FROM customer),
         f AS (SELECT count(*) AS rows FROM c GROUP BY file) SELECT rows, count(*) AS files FROM f GROUP BY rows""",
+    "fw_bad_bytes": """SELECT concat('e', event_id, ' ', event_type, CASE WHEN event_id % 3 = 0 THEN concat(chr(65533), 'é') ELSE '' END) AS value
+        FROM events""",
+    "file_names": f"""SELECT key, regexp_extract(key, '^(.*)/', 1) AS path, split_part(key, '/', -1) AS name FROM ({EVENT_FILE})
+        WHERE starts_with(key, 'us_fl/c') AND event_id % 8 = 1 AND event_id < 4000""",
     "file_route": f"""SELECT key, CASE WHEN key LIKE '%_invalid.csv.bz2' THEN 'invalid' ELSE 'valid' END AS route
         FROM ({EVENT_FILE}) WHERE key LIKE '%.csv.bz2'""",
     "bulk_projection": from_reg(pick(FULL) + ", TIMESTAMP '2024-10-08 00:00:00' AS extracted_at"),

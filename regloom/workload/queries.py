@@ -142,6 +142,16 @@ def fw_dirty(spark, sf_dir):
     return parse_fixed_width(explode_lines(dirty, keep=["doc_id"]), DIRTY_LAYOUT, add_hash=False, keep=["doc_id"])
 
 
+@query
+def fw_bad_bytes(spark, sf_dir):
+    """Lines with bytes that are no UTF-8, written to text files and read back."""
+    path = scratch_dir(spark, "bytes")
+    events = read_table(spark, sf_dir, "events").selectExpr("event_id", "CAST(concat('e', event_id, ' ', event_type) AS BINARY) AS line")
+    broken = events.selectExpr("CASE WHEN event_id % 3 = 0 THEN concat(line, X'FF', CAST('é' AS BINARY)) ELSE line END AS line")
+    broken.select(F.col("line").cast("string").alias("value")).write.text(path)
+    return readers.read_lines(spark, path)
+
+
 @query
 def row_hash_registry(spark, sf_dir):
     rows = registry(spark, sf_dir)
@@ -351,6 +361,14 @@ def file_route(spark, sf_dir):
     return inventory.route_files(event_files(spark, sf_dir)).select("key", F.col("_route").alias("route"))
 
 
+@query
+def file_names(spark, sf_dir):
+    """Listed files by prefix, suffix and exact names."""
+    names = [f"f{n}.csv" for n in range(1, 4000, 8)] + ["f2.csv.bz2", "nothing.csv"]
+    listed = event_files(spark, sf_dir).select("key", "path", "name")
+    return inventory.filter_files(listed, prefix="us_fl/c", suffixes=[".csv"], names=names)
+
+
 @query
 def bulk_projection(spark, sf_dir):
     at = F.lit("2024-10-08 00:00:00").cast("timestamp_ntz")
