@@ -9,6 +9,10 @@ with one source and distance are nonbranching paths; a path is compacted from it
 of its coordinates, and counts once its words' digests at source and target agree.  Should hashes ever collide,
 the whole is done again with wider ones.
 
+Words around a passage that many documents share have its minimizers too.  Minimizers that come again and again are
+therefore counted first; under the ``HOT`` most frequent ones each edge is keyed by its own 64-bit hash instead, which
+spreads them and keeps chance agreements away.  Which these are changes the cost only, never the result.
+
 A word goes if a window covers it whose words also start in a document with a smaller doc_id.
 
 Defined cases: null, empty and blank texts have no words; texts under ``K`` words have no window; a null id is smaller and
@@ -36,6 +40,8 @@ M = 5
 SLICE = 4 << 20  # bytes of text that are hashed together
 EDGES = "m long, doc long, at long, marks {}"
 RUNS = "doc long, at long, n long, src long, src_at long"
+HOT = 1 << 17  # minimizers whose edges are keyed one by one: a table of fixed size
+OFTEN = 512  # runs of edges that make a minimizer frequent
 PIECE = 1 << 20  # words of a text that are hashed together
 
 
@@ -119,7 +125,42 @@ def hashed_windows(texts: list[bytes], seed: int) -> tuple[np.ndarray, ...]:
     return owner[whole], place[whole], least[whole], marks
 
 
-def edges(seed: int, wide: bool):
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+    """Texts of about ``SLICE`` bytes together, by id, long ones in pieces that share their edges: ids, checksums of the
+    whole texts, first positions, and the words joined by one blank."""
+    for batch in batches:
+        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+        order = np.argsort(ids, kind="stable")
+        lists = list(utf8(batch["text"]))
+        for a, b in slices([len(lists[i]) for i in order], SLICE):
+            own, checks, first, texts = [], [], [], []
+            for i in order[a:b]:
+                words = lists[i].split()
+                check = zlib.crc32(lists[i]) & 0x7FFFFFFF
+                for p in range(0, max(1, len(words) - K + 1), PIECE):
+                    part = words[p : p + PIECE + K - 1]
+                    if len(part) >= K:
+                        own.append(ids[i])
+                        checks.append(check)
+                        first.append(p)
+                        texts.append(b" ".join(part))
+            if texts:
+                yield np.array(own, np.int64), np.array(checks, np.int64), np.array(first, np.int64), texts
+
+
+def repeated(seed: int):
+    """Minimizers that begin several runs of edges in a slice, and how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, texts in sliced(batches):
+            owner, _, least, _ = hashed_windows(texts, seed)
+            m, n = np.unique(least[starts_of((np.diff(owner) != 0) | (least[1:] != least[:-1]))], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(m[n > 1].view(np.int64)), pa.array(n[n > 1])], ["m", "n"])
+
+    return run
+
+
+def edges(seed: int, wide: bool, hot: np.ndarray):
     """Rows (m, doc, at, marks) of runs of windows that share a minimizer; ``at`` is the first window's position,
     with a checksum of the text above.  A run settled within the slice has -1 - at, and its source and length as marks."""
     kind = np.dtype("i8") if wide else np.dtype("i4")
@@ -142,8 +183,17 @@ def edges(seed: int, wide: bool):
         lens = []
         i = np.flatnonzero(~settled & ~again)
         if len(i):
-            begin = starts_of((np.diff(i) != 1) | (np.diff(owner[i]) != 0) | (least[i][1:] != least[i][:-1]))
-            for c, v in zip(columns, (least[i[begin]].view(np.int64), doc[i[begin]], at[i[begin]], marks[i].view(np.int64).astype(kind)), strict=True):
+            key = least[i]
+            begin = starts_of((np.diff(i) != 1) | (np.diff(owner[i]) != 0) | (key[1:] != key[:-1]))
+            if len(hot):
+                # Every edge under a frequent minimizer is a run of its own, under its own hash.
+                n = lengths_of(begin, len(i))
+                often = np.repeat(hot[np.minimum(np.searchsorted(hot, key[begin]), len(hot) - 1)] == key[begin], n)
+                first_of = np.zeros(len(i), bool)
+                first_of[begin] = True
+                begin = np.flatnonzero(first_of | often)
+                key = np.where(often, marks[i], key)
+            for c, v in zip(columns, (key[begin].view(np.int64), doc[i[begin]], at[i[begin]], marks[i].view(np.int64).astype(kind)), strict=True):
                 c.append(v)
             lens.append(lengths_of(begin, len(i)))
         i = np.flatnonzero(settled & ~again)
@@ -166,26 +216,10 @@ def edges(seed: int, wide: bool):
         return pa.RecordBatch.from_arrays([*(pa.array(c) for c in flat[:3]), held], ["m", "doc", "at", "marks"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            order = np.argsort(ids, kind="stable")
-            lists = list(utf8(batch["text"]))
-            for a, b in slices([len(lists[i]) for i in order], SLICE):
-                own, checks, first, texts = [], [], [], []
-                for i in order[a:b]:
-                    words = lists[i].split()
-                    check = zlib.crc32(lists[i]) & 0x7FFFFFFF
-                    for p in range(0, max(1, len(words) - K + 1), PIECE):
-                        part = words[p : p + PIECE + K - 1]
-                        if len(part) >= K:
-                            own.append(ids[i])
-                            checks.append(check)
-                            first.append(p)
-                            texts.append(b" ".join(part))
-                if texts:
-                    out = of_slice(np.array(own, np.int64), np.array(checks, np.int64), np.array(first, np.int64), texts)
-                    for k in range(0, len(out), 50_000):
-                        yield out.slice(k, 50_000)
+        for part in sliced(batches):
+            out = of_slice(*part)
+            for k in range(0, len(out), 50_000):
+                yield out.slice(k, 50_000)
 
     return run
 
@@ -244,7 +278,9 @@ def runs_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def paths(docs: DataFrame, seed: int, wide: bool) -> DataFrame:
     """Compacted paths (doc, at, n, src, src_at): maximal runs of repeated edges with one source and distance."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = texts.mapInArrow(edges(seed, wide), EDGES.format("array<long>" if wide else "array<int>"))
+    often = texts.mapInArrow(repeated(seed), "m long, n long").groupBy("m").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
+    hot = np.sort(often.orderBy(F.desc("n"), "m").limit(HOT).toArrow()["m"].to_numpy().view(np.uint64))
+    found = texts.mapInArrow(edges(seed, wide, hot), EDGES.format("array<long>" if wide else "array<int>"))
     runs = found.repartition("m").sortWithinPartitions("m").mapInArrow(runs_in, RUNS)
     # A run goes on with the one that starts where it ends, here and at the source.
     ordered = Window.partitionBy("doc", "src", F.col("at") - F.col("src_at")).orderBy("at")

@@ -156,8 +156,10 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {200: 200, 201: 200, 202: 200}
 
 
-def test_substring(docs, monkeypatch):
+@pytest.mark.parametrize("often", [512, 2])
+def test_substring(docs, monkeypatch, often):
     monkeypatch.setattr(debruijn, "SLICE", 3000)
+    monkeypatch.setattr(debruijn, "OFTEN", often)
     first = {}
     for i, t in texts():
         w = split(t)
