@@ -72,7 +72,25 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="regloom-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+_made: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this driver has made so far, and return how many.
+
+    For the end of a job: frames that still read from them cannot be used any more.
+    """
+    paths, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    gone = 0
+    while _made:
+        path = paths(_made.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

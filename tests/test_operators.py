@@ -3,6 +3,7 @@ import json
 import re
 import zipfile
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -548,6 +549,15 @@ def test_scratch_folder_follows_the_session(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_folders_can_be_released(spark):
+    from regloom.session import materialise, release_scratch
+
+    kept = materialise(spark.range(5), "release")
+    folder = kept.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+    assert Path(folder).exists() and release_scratch(spark) > 0 and not Path(folder).exists()
+    assert release_scratch(spark) == 0
+
+
 def test_a_filter_on_a_split_reaches_the_scan(spark, tmp_path):
     company_rows(spark).write.parquet(str(tmp_path / "records"))
     valid, _ = split_by_dates(spark.read.parquet(str(tmp_path / "records")), ["incorporation_date"], formats=["%m%d%Y"])
