@@ -131,12 +131,20 @@ def with_route(df: DataFrame, date_fields: Sequence[str], no_data_ok: bool = Tru
 
 
 def split_by_dates(
-    df: DataFrame, date_fields: Sequence[str], no_data_ok: bool = True, **options
+    df: DataFrame, date_fields: Sequence[str], no_data_ok: bool = True, computed: bool = False, **options
 ) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows), as plain filters on the date columns, so that further filters and
-    pruning reach the scan.  To write both, prefer ``write_routes``: it computes the rows once."""
+    pruning reach the scan.  To write both, prefer ``write_routes``: it computes the rows once.
+
+    ``computed`` is for frames whose date columns a mapping has still to make.  A plain filter would be pushed
+    below the mapping with a copy of its date expressions; this one stays above it, and so do later filters.
+    """
     ok = rows_valid(df, date_fields, no_data_ok=no_data_ok, **options)
-    return df.filter(ok), df.filter(~ok)
+    if not computed:
+        return df.filter(ok), df.filter(~ok)
+    # The id is never negative, so the value does not change; but Spark moves no filter below it.
+    judged = df.withColumn(ROUTE, F.when(F.monotonically_increasing_id() >= 0, ok))
+    return judged.filter(F.col(ROUTE)).drop(ROUTE), judged.filter(~F.col(ROUTE)).drop(ROUTE)
 
 
 def route_counts(routed: DataFrame) -> DataFrame:

@@ -725,14 +725,14 @@ def meta_backfill(spark, sf_dir):
 @query
 def split_valid(spark, sf_dir):
     rules = rules_for("us_fl")
-    valid, _ = validate.split_by_dates(company_records(spark, sf_dir), rules.date_fields(), formats=rules.date_formats())
+    valid, _ = validate.split_by_dates(company_records(spark, sf_dir), rules.date_fields(), computed=True, formats=rules.date_formats())
     return schema_ops.encode_json(valid)
 
 
 @query
 def split_invalid(spark, sf_dir):
     rules = rules_for("us_fl")
-    _, invalid = validate.split_by_dates(company_records(spark, sf_dir), rules.date_fields(), formats=rules.date_formats())
+    _, invalid = validate.split_by_dates(company_records(spark, sf_dir), rules.date_fields(), computed=True, formats=rules.date_formats())
     return schema_ops.encode_json(invalid)
 
 

@@ -565,6 +565,14 @@ def test_a_filter_on_a_split_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(company_number,L0)" in plan and "Exchange" not in plan
 
 
+def test_a_split_of_mapped_rows_stays_above_the_mapping(spark):
+    rows = company_rows(spark)
+    valid, invalid = split_by_dates(rows, ["incorporation_date"], computed=True, formats=["%m%d%Y"])
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("__plain") and "Exchange" not in plan
+    assert valid.columns == rows.columns and (valid.count(), invalid.count()) == (3, 1)
+
+
 def test_building_a_plan_runs_no_job(spark):
     """Paths, workloads, samples ahead of their numbering, and splits are planned without an action."""
     from regloom.operators.rows import _leading_rows
