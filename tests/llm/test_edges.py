@@ -358,6 +358,58 @@ def test_warc_files(spark, tmp_path):
     assert [(r.seq, r.status) for r in found] == [(22, "damaged")] and found[0].offset <= at < found[0].offset + found[0].length
 
 
+def leaves(spark, *replicas):
+    """Leaves of archive "a" from records given as (name, length)."""
+    made = []
+    for records in replicas:
+        offsets = np.cumsum([0] + [n for _, n in records]).tolist()
+        rows = [("a", i, offsets[i], n, name) for i, (name, n) in enumerate(records)]
+        made.append(warc_fixity.tree(spark.createDataFrame(rows, warc_fixity.LEAF)))
+    return made
+
+
+def test_audit_of_lost_added_and_moved_records(spark):
+    own = [(f"r{i}", 10 + i % 7) for i in range(100)]
+    own[90] = own[91] = ("twin", 12)
+    found = lambda other: {(r.seq, r.status, r.replica_digest) for r in warc_fixity.audit(*leaves(spark, own, other)).collect()}
+    # One lost before two damaged ones side by side: all that follows the lost one has moved.
+    other = own[:5] + own[6:]
+    other[39], other[40] = ("x", own[40][1]), ("y", own[41][1])
+    moved = {(i, "moved", own[i][0]) for i in range(6, 100) if i not in (40, 41)}
+    assert found(other) == moved | {(5, "missing", None), (40, "damaged", "x"), (41, "damaged", "y")}
+    # One added; one damaged before it.
+    other = own[:60] + [("new", 11)] + own[60:]
+    other[3] = ("x", own[3][1])
+    assert found(other) == {(i, "moved", own[i][0]) for i in range(60, 100)} | {(60, "extra", "new"), (3, "damaged", "x")}
+    # One put elsewhere.
+    other = own[:20] + own[21:51] + [own[20]] + own[51:]
+    assert {(s, d) for s, k, d in found(other) if k == "moved"} >= {(20, "r20")} and all(k == "moved" and 20 <= s <= 50 for s, k, _ in found(other))
+    # Two records run together: those behind them stand where they stood.
+    other = own[:30] + [("both", own[30][1] + own[31][1])] + own[32:]
+    assert found(other) == {(30, "damaged", "both"), (31, "missing", None)}
+    # One of two twins lost.
+    assert found(own[:90] + own[91:]) == {(91, "missing", None)} | {(i, "moved", own[i][0]) for i in range(92, 100)}
+
+
+def test_warc_parse_finds_the_next_record():
+    blocks = [f"<p>{i}\r\n\r\nWARC/1.1</p>" * (i % 3) for i in range(12)]
+    records = [f"WARC/1.1\r\nWARC-Target-URI: u{i}\r\nContent-Length: {len(b)}\r\n\r\n{b}\r\n\r\n".encode() for i, b in enumerate(blocks)]
+    digests = [hashlib.sha256(r).hexdigest() for r in records]
+    for wrong in (b"Content-Length: 99999", b"Content-Length: x", b"Content-Length: 1", b"Content-Length: " + b"9" * 5000):
+        broken = [re.sub(rb"Content-Length: \d+", wrong, r) if i == 4 else r for i, r in enumerate(records)]
+        rows = list(warc_fixity.parse("f", b"".join(broken)))
+        assert [r[4] for r in rows if r[5] != "u4"] == digests[:4] + digests[5:] and [r[6] for r in rows] == blocks
+    for damaged in (records[4].replace(b"WARC/1.1\r", b"XARC/1.1\r"), records[4].replace(b"\r\n\r\n", b"\r\n\r.", 1)):
+        rows = list(warc_fixity.parse("f", b"".join([*records[:4], damaged, *records[5:]])))
+        assert [r[4] for r in rows[:4] + rows[5:]] == digests[:4] + digests[5:] and rows[4][3] == len(damaged)
+    # A length that reaches to the end of a later record's head.
+    at = len(records[4]) + records[5].index(b"\r\n\r\n") - records[4].index(b"\r\n\r\n") - 4
+    rows = list(warc_fixity.parse("f", b"".join([*records[:4], re.sub(rb"Length: \d+", b"Length: %d" % at, records[4]), *records[5:]])))
+    assert [r[4] for r in rows[5:]] == digests[5:] and len(rows) == 12
+    cut = list(warc_fixity.parse("f", b"".join(records)[:-3]))
+    assert len(cut) == 12 and sum(r[3] for r in cut) == len(b"".join(records)) - 3
+
+
 def test_languages(spark):
     words = {"en": "the and of that this with which from have".split(), "de": "der und die das nicht mit sich ein auf".split(), "fr": "le la les et que dans pour une est".split(), "es": "el los las y que en por una es".split(), "ja": "日本 語の 文章 です ます".split()}
     r = np.random.default_rng(8)
