@@ -61,15 +61,23 @@ ACCURACY = 10_000
 
 def _leading_rows(df: DataFrame, column: str, n: int) -> DataFrame:
     """Rows that are sure to hold the first ``n`` by ``column``: those up to a percentile that lies beyond them by twice
-    the error it may have.  Text has no percentile; there all rows are kept."""
-    if not isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+    the error it may have.  Text has no percentile; there all rows are kept.
+
+    Percentiles are taken over doubles.  Values that a double may round (longs, decimals, timestamps) are compared as doubles
+    too, where rounding keeps their order, so no row falls behind a cut that was rounded down.
+    """
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType)):
         return df
+    value = F.col(column)
+    if isinstance(kind, (T.LongType, T.DecimalType, T.TimestampType)):
+        value = value.cast("double")
     total = F.count(column)
-    share = df.agg(total.alias("n"), F.percentile_approx(column, [i / ACCURACY for i in range(0, ACCURACY + 1, 10)], ACCURACY).alias("cuts"))
+    share = df.agg(total.alias("n"), F.percentile_approx(value, [i / ACCURACY for i in range(0, ACCURACY + 1, 10)], ACCURACY).alias("cuts"))
     place = F.least(F.ceil((F.lit(float(n)) / F.col("n") + 2 / ACCURACY) * (ACCURACY / 10)), F.lit(ACCURACY // 10)).cast("int")
     # A scalar subquery, so that nothing runs while the plan is built; it is null only if the whole column is.
     cut = share.select(F.get("cuts", place)).scalar()
-    return df.filter(F.col(column).isNull() | (F.col(column) <= cut))
+    return df.filter(F.col(column).isNull() | (value <= cut))
 
 
 def head_samples(

@@ -492,6 +492,15 @@ def test_head_samples(spark):
     assert sample_path("a/b.csv", 1000) == "a/b_1000.csv"
 
 
+@pytest.mark.parametrize("kind", ["long", "decimal(38,0)", "timestamp"])
+def test_head_samples_with_a_hot_key_that_doubles_round(spark, kind):
+    hot = 2**57 + 10 if kind == "timestamp" else 2**60 + 100
+    key = f"CASE WHEN id < 10000 THEN id WHEN id < 25000 THEN {hot} ELSE {hot} + id END"
+    df = spark.range(0, 30000, numPartitions=6).selectExpr(f"timestamp_micros({key}) AS k" if kind == "timestamp" else f"CAST({key} AS {kind}) AS k", "id")
+    got = head_samples(df, ["k", "id"], (15000,))[15000].agg(F.count("*"), F.max("id")).head()
+    assert tuple(got) == (15000, 14999)
+
+
 def test_streaming_takes_each_file_once(spark, tmp_path):
     from regloom.operators.parse import render_fixed_width
 
