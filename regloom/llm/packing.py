@@ -30,7 +30,7 @@ LENGTH = 4096
 END = 2
 GROUP = 4096  # pieces in a group, on average
 CACHED = 800_000  # words whose ids a worker remembers
-STOP = re.compile(rb"(?<=[a-z0-9])[.,](?=[ \n])")
+STOP = re.compile(rb"(?<=[A-Za-z0-9])[.,](?=[ \n])")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -38,7 +38,8 @@ class WordIds:
     """Ids of white-space separated words, remembered as little-endian unsigned 32-bit bytes.
 
     The tokenizer lower-cases and splits at white space and between letters and signs before it merges, so a
-    text's ids are its words' ids in order, in lower case, with a comma or full stop that ends a word on its own.
+    text's ids are its words' ids in order, with a comma or full stop that ends a word on its own.  Words of ASCII alone are
+    remembered in lower case; others go to the tokenizer as they are, since it composes letters and marks before it lower-cases.
     """
 
     def __init__(self, path: str, cached: int = CACHED):
@@ -61,7 +62,12 @@ class WordIds:
 
     def of(self, text: bytes) -> bytes:
         # A special token's name is one in lower case only, so texts with anything like one stay as they are.
-        words = (text if b"<|" in text else STOP.sub(rb" \g<0>", text.lower())).split()
+        if b"<|" in text:
+            words = text.split()
+        elif text.isascii():
+            words = STOP.sub(rb" \g<0>", text.lower()).split()
+        else:
+            words = [w.lower() if w.isascii() else w for w in STOP.sub(rb" \g<0>", text).split()]
         out = []
         for i in range(0, len(words), 100_000):
             part = words[i : i + 100_000]

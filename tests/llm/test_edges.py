@@ -282,6 +282,15 @@ def test_words_are_encoded_as_in_their_text():
         assert np.frombuffer(words.of(text.encode()), "<u4").tolist() == encoder.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_that_only_compose_in_lower_case():
+    from tokenizers import Tokenizer
+
+    encoder, words = Tokenizer.from_file(tokenizer_path()), packing.WordIds(tokenizer_path())
+    marked = ["H\u0331arf", "J\u030cana", "T\u0308one", "W\u030aord", "Y\u030aear"]
+    for text in [*marked, "Plain H. " + ", ".join(marked) + ". END, É. x"]:
+        assert np.frombuffer(words.of(text.encode()), "<u4").tolist() == encoder.encode(text, add_special_tokens=False).ids
+
+
 def test_first_fit_decreasing():
     r = np.random.default_rng(2)
     sizes = sorted(r.integers(1, 100, 500).tolist(), reverse=True)
