@@ -3,7 +3,8 @@
 Texts are counted as hashed byte trigrams of their letters, lower-cased, each a share of the text's trigrams.  A softmax
 over families is fitted first; within each family a linear support vector machine is fitted for every pair of
 languages, and the language with most votes wins, then the one with the greater margin.  Fitting takes a bounded sample
-of labelled documents (``SAMPLE`` per language, by a hash of the id); every text is scored whole, in slices.
+of labelled documents (about ``SAMPLE`` per language, by a hash of the id, and twice as many at most where ids come again);
+texts are counted whole, in slices, in the sample as in scoring, and only the sample's shares leave the tasks.
 
 Defined cases: null texts and texts without a letter are `und` with score 0; documents with a null language do not
 teach; a language in no family of the table is a family of its own; with one language there is nothing to tell apart
@@ -18,14 +19,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regloom.llm.common import remainder, utf8
 
 FOLDS, HELD = 4, 2
 SAMPLE = 600
-TEACH_BYTES = 20_000  # of a sampled text, from its middle
 BUCKETS = 1 << 14
 SLICE = 1 << 20
 # Families of common languages, by ISO 639-1 code.
@@ -130,26 +130,44 @@ class Model:
         return self.langs[best], float(chance[f] * sure)
 
 
-def sample(docs: DataFrame, most: int = SAMPLE) -> list[tuple[bytes, str]]:
-    """About ``most`` documents of each language outside the held-out fold, by a hash of the id."""
+def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shares of whole texts, without those that are zero."""
+    for batch in batches:
+        found = [(np.flatnonzero(x).astype("<u2"), x) for x in map(shares, utf8(batch["text"]))]
+        buckets = pa.array([at.tobytes() for at, _ in found], pa.binary())
+        values = pa.array([x[at].astype("<f4").tobytes() for at, x in found], pa.binary())
+        columns = [*(batch[c] for c in ("doc_id", "lang", "draw", "tie")), buckets, values]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "draw", "tie", "buckets", "values"])
+
+
+def sample(docs: DataFrame, most: int = SAMPLE) -> list[tuple[np.ndarray, str]]:
+    """Shares and language of about ``most`` documents of each language outside the held-out fold, by a hash of the id."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     own = own.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != HELD))
     share = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not share:
         return []
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    bound = F.coalesce(*(F.when(F.col("lang") == k, F.lit(int((1 << 20) * most / n) + 1)) for k, n in share.items()))
-    middle = F.greatest(F.floor((F.length("text") - TEACH_BYTES) / 2), F.lit(0)) + 1
-    part = F.substring("text", middle.cast("int"), F.lit(TEACH_BYTES))
-    rows = own.where(draw < bound).select("doc_id", "lang", part.alias("text")).limit(2 * most * len(share)).collect()
-    return [(r["text"].encode(), r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"], r["text"]))]
+    least, top = -(1 << 63), (1 << 63) - 1
+    bound = F.coalesce(*(F.when(F.col("lang") == k, F.lit(min(top, least + (most << 64) // n))) for k, n in share.items()))
+    drawn = own.withColumn("draw", F.xxhash64("doc_id")).where(F.col("draw") <= bound).withColumn("tie", F.xxhash64("text"))
+    schema = "doc_id long, lang string, draw long, tie long, buckets binary, values binary"
+    taught = drawn.select("doc_id", "text", "lang", "draw", "tie").mapInArrow(teach, schema)
+    # Each language has a bound of its own, applied in every task before rows meet.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "tie"))
+    rows = taught.withColumn("place", place).where(F.col("place") <= 2 * most).collect()
+    out = []
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"], r["tie"])):
+        x = np.zeros(BUCKETS, np.float32)
+        x[np.frombuffer(r["buckets"], "<u2")] = np.frombuffer(r["values"], "<f4")
+        out.append((x, r["lang"]))
+    return out
 
 
 def fit(docs: DataFrame) -> Model | None:
     drawn = sample(docs)
     if not drawn:
         return None
-    return Model(np.stack([shares(t) for t, _ in drawn]), [code for _, code in drawn])
+    return Model(np.stack([x for x, _ in drawn]), [code for _, code in drawn])
 
 
 def predictor(model: Model | None):

@@ -435,6 +435,24 @@ def test_languages(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_languages_are_taught_by_whole_texts(spark):
+    words = {"en": "the and of that this with which from have", "de": "der und die das nicht mit sich ein auf"}
+    # What tells the languages apart stands far from the middle.
+    rows = [(i, f"{words[code]} {'zq ' * 8000}{words[code]}", code) for i, code in enumerate(["en", "de"] * 30)]
+    rows += [(i, words[code], None) for i, code in ((1000, "en"), (1001, "de"))]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert (got[1000], got[1001]) == ("en", "de")
+
+
+def test_languages_are_drawn_each_on_its_own(spark):
+    ids = spark.range(300).where(langid.remainder(F.col("id"), langid.FOLDS) != langid.HELD)
+    hot = ids.orderBy(F.xxhash64("id")).head().id
+    often = spark.range(0, 5000, 1, 1).select(F.lit(hot).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    few = ids.coalesce(1).select(F.col("id").alias("doc_id"), F.lit("ein text").alias("text"), F.lit("de").alias("lang"))
+    drawn = collections.Counter(code for _, code in langid.sample(often.unionByName(few)))
+    assert drawn == {"en": 2 * langid.SAMPLE, "de": ids.count()}
+
+
 def test_quality(spark, docs):
     rows = [(i, prose(30, i) if i % 2 else prose(30, i).upper().replace(" ", "!! ")) for i in range(200)]
     frame = spark.createDataFrame([*rows, (500, None), (501, ""), (None, "x"), (3, "A!! B!!")], "doc_id long, text string").withColumn("y", F.lit("y"))
