@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from regloom.workload import oracle
 from regloom.workload import queries as workload
@@ -51,3 +52,15 @@ def test_query(spark, duck, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_csv_chunks_are_written_by_many_tasks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(workload.writers, "write_csv", lambda df, path, max_rows, f=workload.writers.write_csv: (seen.append(df), f(df, path, max_rows=max_rows)))
+    files = {r.rows: r.files for r in workload.QUERIES["csv_chunks"](spark, "/root/testdata/sf0.01").collect()}
+    rows = spark.read.parquet("/root/testdata/sf0.01/customer.parquet").selectExpr("concat('', c_custkey) AS c_custkey", "c_name")
+    n = rows.count()
+    assert files == {100: n // 100} | ({n % 100: 1} if n % 100 else {})
+    (written,) = seen
+    tasks = [r["n"] for r in written.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(tasks) > 1 and sorted(written.collect()) == sorted(rows.collect())
