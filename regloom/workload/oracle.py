@@ -416,6 +416,14 @@ ORACLE: dict[str, str] = {
             ELSE status END AS status,
         CASE WHEN again THEN '2024-10-08T00:00:00' WHEN takes THEN '2024-10-07T00:00:00' ELSE timestamp END AS timestamp,
         CASE WHEN asked THEN takes END AS applied FROM t""",
+    "ledger_transition_hot": """WITH asked AS (
+            SELECT CASE WHEN event_id % 3 = 0 THEN 'busy' ELSE concat('t', event_id % 50) END AS object_key, event_id,
+            {'s': concat('S', event_id * 7 % 11 % 5), 'f': CASE WHEN event_id % 101 <> 7 THEN concat('S', event_id * 5 % 13 % 5) END,
+             'at': concat('at', event_id)} AS c FROM events),
+        done AS (
+            SELECT object_key, list_reduce(list_prepend({'s': 'S1', 'f': NULL, 'at': 'none'}, list(c ORDER BY event_id)),
+                lambda x, y: CASE WHEN y.f IS NULL OR y.f = x.s THEN y ELSE x END) AS e FROM asked GROUP BY object_key)
+        SELECT object_key, e.s AS status, e.at AS timestamp, e.at <> 'none' AS applied FROM done""",
     "ledger_upsert": f"""SELECT object_key, coalesce(status, 'NEW') AS status, timestamp FROM ({TASKS})
         UNION ALL SELECT concat('nation/', n_name), 'NEW', '' FROM nation""",
     "head_samples": """WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders)

@@ -922,6 +922,20 @@ def ledger_transition(spark, sf_dir):
     return ledger_ops.ledger_transition(tasks(spark, sf_dir).drop("event_id"), changes.unionByName(again))
 
 
+@query
+def ledger_transition_hot(spark, sf_dir):
+    """A third of all changes are for one task, each guarded by a state an earlier one may have left."""
+    asked = tasks(spark, sf_dir).selectExpr(
+        "CASE WHEN event_id % 3 = 0 THEN 'busy' ELSE concat('t', event_id % 50) END AS object_key",
+        "concat('S', event_id * 7 % 11 % 5) AS to_status",
+        "CASE WHEN event_id % 101 <> 7 THEN concat('S', event_id * 5 % 13 % 5) END AS from_status",
+        "concat('at', event_id) AS timestamp",
+        "event_id AS seq",
+    )
+    ledger = asked.select("object_key").distinct().selectExpr("object_key", "'S1' AS status", "'none' AS timestamp")
+    return ledger_ops.ledger_transition(ledger, asked)
+
+
 @query
 def ledger_upsert(spark, sf_dir):
     added = tasks(spark, sf_dir).filter("status IS NULL").selectExpr("object_key", "'NEW' AS status", "timestamp")

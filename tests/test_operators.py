@@ -1,5 +1,6 @@
 import bz2
 import json
+import random
 import re
 import zipfile
 from datetime import datetime, timezone
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from regloom.functions.keys import as_timestamp, content_type, layout_key, raw_key, rules_key, target_key
 from regloom.jurisdictions import layout_for, rules_for
+from regloom.operators import ledger as ledger_ops
 from regloom.operators.files import files_diff, group_paths, load_manifest, plan_workload, size_range
 from regloom.operators.ledger import ledger_filter, ledger_transition, ledger_upsert, new_items
 from regloom.operators.metadata import (
@@ -661,3 +663,30 @@ def test_streaming_json_lines(spark, tmp_path):
     ingest_available(records, str(tmp_path / "out"), str(tmp_path / "ck"))
     got = {r.company_number: (r._route, r.source_name, r.periodicity) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"1": ("valid", "im_2024", "daily"), "2": ("invalid", "im_2024", "daily")}
+
+
+@pytest.mark.parametrize("bits", [16, 2, 1])
+@pytest.mark.parametrize("match", [False, True])
+def test_a_key_with_most_changes_is_composed_in_parts(spark, monkeypatch, bits, match):
+    """Against changes applied one by one, with states no task is in, null states and times, and parts cut anywhere."""
+    monkeypatch.setattr(ledger_ops, "RUN_BITS", bits)
+    draw = random.Random(4)
+    states = ["A", "B", "C", "D", None]
+    changes = [
+        ("hot" if i % 3 else f"k{i % 7}", draw.choice(states), draw.choice(["A", "B", "C", "E", "A", None]), draw.choice(["t1", "t2", None]), i // 2)
+        for i in range(600)
+    ]
+    tasks = [("hot", "A", "t1"), ("k0", None, "t2"), ("k1", "B", None), ("k2", "Z", "t1"), ("k3", "E", "t2"), ("free", "A", "t1")]
+    schema = "object_key string, to_status string, from_status string, timestamp string, seq long"
+    got = ledger_transition(
+        spark.createDataFrame(tasks, "object_key string, status string, timestamp string"), spark.createDataFrame(changes, schema).repartition(5), match_timestamp=match
+    )
+    want = []
+    for key, status, at in tasks:
+        mine = sorted((c for c in changes if c[0] == key), key=lambda c: (c[4], c[3] or "", c[1] or "", c[2] or ""))
+        applied = False if mine else None
+        for _, to, frm, when, _ in mine:
+            if (frm is None or frm == status) and (not match or (when is not None and when == at)):
+                status, at, applied = to, at if match else when, True
+        want.append((key, status, at, applied))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
