@@ -77,6 +77,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 _made: list[str] = []
 
 
@@ -85,11 +91,10 @@ def release_scratch(spark: SparkSession) -> int:
 
     For the end of a job: frames that still read from them cannot be used any more.
     """
-    paths, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
     gone = 0
     while _made:
-        path = paths(_made.pop())
-        gone += path.getFileSystem(conf).delete(path, True)
+        files, place = file_system(spark, _made.pop())
+        gone += files.delete(place, True)
     return gone
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import json
+from urllib.parse import quote
+
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regloom.operators.schema import append_evolving, encode_json
+from regloom.operators.schema import append_evolving, clear_partition, encode_json
 from regloom.operators.validate import ROUTE
 from regloom.plans.model import CDM, target_model
+from regloom.session import file_system
 
 
 RUN = "_run"
@@ -45,20 +49,53 @@ def write_routes(routed: DataFrame, path: str, run: str, fmt: str = "parquet") -
     return dict(counts.get)
 
 
+# Loads that have begun: a folder each below the staged runs, gone when both tables have the run.
+OPEN = "_loads"
+INTENT = "run string, valid_table string, invalid_table string, valid_place string, invalid_place string, schema string"
+
+
+def open_loads(spark: SparkSession, path: str) -> list[Row]:
+    """The loads below ``path`` that were begun and not finished."""
+    files, place = file_system(spark, f"{path}/{OPEN}")
+    if not files.exists(place) or not files.listStatus(place):
+        return []
+    return spark.read.schema(INTENT).option("recursiveFileLookup", "true").json(f"{path}/{OPEN}").collect()
+
+
+def _load_run(spark: SparkSession, path: str, load: Row) -> None:
+    staged = spark.read.parquet(f"{path}/{RUN}={load['run']}").withColumn(RUN, F.lit(load["run"]))
+    schema = T.StructType.fromJson(json.loads(load["schema"])) if load["schema"] else None
+    for route in ("valid", "invalid"):
+        table, place = load[f"{route}_table"], load[f"{route}_place"]
+        part = staged.filter(F.col(ROUTE) == route).drop(ROUTE)
+        if not part.isEmpty():
+            append_evolving(part, table, path=place, schema=schema, partition_by=[RUN])
+        elif spark.catalog.tableExists(table):
+            # What an earlier version of the run had here is gone too.
+            clear_partition(spark, table, RUN, load["run"])
+
+
 def append_routes(
     spark: SparkSession, path: str, run: str, valid_table: str, invalid_table: str, schema: T.StructType | None = None,
     locations: tuple[str | None, str | None] = (None, None),
 ) -> None:
     """Load the folders of one run of ``write_routes`` into their tables, partitioned by run.
 
-    Loading a run again replaces its partition, so a repeated or interrupted load leaves each row once.
-    ``schema`` gives the types of a new table's columns, as ``lake_schema`` has its timestamps.
+    ``schema`` gives the types of a new table's columns, as ``lake_schema`` has its timestamps.  Loading a run again replaces its
+    partition, so a repeated load leaves each row once.  Both tables move together: the load is noted below ``path`` before
+    the first is written and the note is taken away after the second; a load that was interrupted in between
+    is finished, from its note, by the next one.
     """
-    staged = spark.read.parquet(f"{path}/{RUN}={run}").withColumn(RUN, F.lit(run))
-    for route, table, location in (("valid", valid_table, locations[0]), ("invalid", invalid_table, locations[1])):
-        part = staged.filter(F.col(ROUTE) == route).drop(ROUTE)
-        if not part.isEmpty():
-            append_evolving(part, table, path=location, schema=schema, partition_by=[RUN])
+    note = {
+        "run": run, "valid_table": valid_table, "invalid_table": invalid_table, "valid_place": locations[0],
+        "invalid_place": locations[1], "schema": schema.json() if schema is not None else None,
+    }
+    earlier = [load for load in open_loads(spark, path) if load["run"] != run]
+    spark.createDataFrame([tuple(note.values())], INTENT).coalesce(1).write.mode("overwrite").json(f"{path}/{OPEN}/run={quote(run, safe='')}")
+    for load in [*earlier, Row(**note)]:
+        _load_run(spark, path, load)
+        files, place = file_system(spark, f"{path}/{OPEN}/run={quote(load['run'], safe='')}")
+        files.delete(place, True)
 
 
 def bulk_projection(df: DataFrame, model=CDM, extracted_at: Column | None = None) -> DataFrame:

@@ -393,6 +393,16 @@ ORACLE: dict[str, str] = {
         + f", CASE WHEN COR_PRINC_STATE = 'FL' THEN 'r1' ELSE 'r2' END AS run, CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route"
     ),
     "source_append": from_reg(f"*, {REG_HASH} AS hash, CASE WHEN COR_PRINC_STATE <> 'FL' THEN 'second' END AS load"),
+    "evolve_types": """WITH o AS (
+            SELECT *, concat('o', o_orderkey) AS id, o_orderkey % 10 = 3 AS no_units, o_orderkey % 7 = 2 AS no_day FROM orders)
+        SELECT 'row' AS kind, concat('n', n_nationkey) AS id, concat('', n_nationkey) AS units, concat(n_regionkey, '.00') AS share, '2024-01-01' AS day,
+               'bigint,decimal(38,2),date' AS types, NULL AS text FROM nation
+        UNION ALL SELECT 'row', id,
+            CASE WHEN no_units THEN NULL WHEN o_orderkey % 10 = 4 THEN concat('90000', lpad(concat('', o_orderkey), 8, '0')) ELSE concat('', o_orderkey) END,
+            concat(o_orderkey, '.', lpad(concat('', o_custkey % 100), 2, '0')), CASE WHEN NOT no_day THEN strftime(o_orderdate, '%Y-%m-%d') END,
+            'bigint,decimal(38,2),date', NULL FROM o
+        UNION ALL SELECT 'cell units', id, NULL, NULL, NULL, 'bigint', concat(o_orderkey, ' units') FROM o WHERE no_units
+        UNION ALL SELECT 'cell day', id, NULL, NULL, NULL, 'date', 'soon' FROM o WHERE no_day""",
     "files_diff": "SELECT concat('o', o_orderkey, '.txt') AS name FROM orders WHERE o_orderstatus = 'F'",
     "files_diff_ts": """SELECT concat('o', o_orderkey, '.txt') AS name FROM orders
         WHERE o_orderstatus = 'F' OR o_orderkey % 10 = 7 OR o_orderkey % 4 = 1""",

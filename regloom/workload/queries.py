@@ -787,13 +787,44 @@ def source_append(spark, sf_dir):
 
     table, layout = f"src_{uuid.uuid4().hex}", layout_for("us_fl")
     rows = registry(spark, sf_dir)
-    for i, state in enumerate(("FL", "GA")):
+    # The second load comes twice, as after a crash; it leaves each row once.
+    for i, state in enumerate(("FL", "GA", "GA")):
         lines = render_fixed_width(rows.filter(F.col("COR_PRINC_STATE") == state), layout)
         parsed = parse_fixed_width(lines, layout)
         if i:
             parsed = parsed.withColumnRenamed("COR_NAME", "cor_name").withColumn("load", F.lit("second"))
-        schema_ops.append_evolving(parsed, table, path=scratch_dir(spark, "source") if not i else None)
-    return spark.table(table)
+        schema_ops.append_evolving(parsed, table, path=scratch_dir(spark, "source") if not i else None, load=state)
+    return spark.table(table).drop(schema_ops.LOAD)
+
+
+@query
+def evolve_types(spark, sf_dir):
+    """A second load whose texts widen two columns of the first, and have cells that fit no number or date."""
+    import uuid
+
+    table, path = f"types_{uuid.uuid4().hex}", scratch_dir(spark, "types")
+    nation = read_table(spark, sf_dir, "nation").selectExpr(
+        "concat('n', n_nationkey) AS id", "CAST(n_nationkey AS INT) AS units", "CAST(n_regionkey AS BIGINT) AS share", "DATE '2024-01-01' AS day"
+    )
+    orders = read_table(spark, sf_dir, "orders").selectExpr(
+        "concat('o', o_orderkey) AS id",
+        "CASE o_orderkey % 10 WHEN 3 THEN concat(o_orderkey, ' units') WHEN 4 THEN concat('90000', lpad(o_orderkey, 8, '0')) ELSE concat('', o_orderkey) END AS units",
+        "concat(o_orderkey, '.', lpad(o_custkey % 100, 2, '0')) AS share",
+        "CASE WHEN o_orderkey % 7 = 2 THEN 'soon' ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS day",
+    )
+    schema_ops.append_evolving(nation, table, path=path, load="first")
+    for _ in range(2):
+        schema_ops.append_evolving(orders, table, load="second")
+    none, text = F.lit(None).cast("string"), "string"
+    rows = spark.table(table).select(
+        F.lit("row").alias("kind"), "id", *[F.col(c).cast(text).alias(c) for c in ("units", "share", "day")],
+        F.lit(",".join(t for n, t in spark.table(table).dtypes if n in ("units", "share", "day"))).alias("types"), none.alias("text"),
+    )
+    cells = spark.table(schema_ops.CELLS.format(table)).select(
+        F.concat(F.lit("cell "), "column").alias("kind"), F.get_json_object("row", "$.id").alias("id"),
+        *[none.alias(c) for c in ("units", "share", "day")], F.col("type").alias("types"), "text",
+    )
+    return rows.unionByName(cells)
 
 
 # --- file sets and the ledger ---

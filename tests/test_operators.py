@@ -30,9 +30,11 @@ from regloom.operators.normalize import normalize_company, share_view
 from regloom.operators.parse import parse_fixed_width
 from regloom.operators.rows import head_samples, sample_path
 from regloom.operators.schema import add_missing_columns, append_evolving, append_quarantine, encode_json
+from regloom.operators.types import promoted
 from regloom.operators.validate import is_date_valid, route_counts, rows_valid, split_by_dates, with_route
 from regloom.plans.compiler import map_to_cdm
 from regloom.plans.model import CDM, CDM_FIELDS, lake_schema, timestamp_fields
+from regloom.sources import writers
 from regloom.sources.archives import expand_archives, list_members, read_archives
 from regloom.sources.inventory import file_inventory, filter_files, route_files
 from regloom.sources.readers import read_json_lines, read_source
@@ -690,3 +692,102 @@ def test_a_key_with_most_changes_is_composed_in_parts(spark, monkeypatch, bits,
                 status, at, applied = to, at if match else when, True
         want.append((key, status, at, applied))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+# --- loads that bring other types, and loads that are repeated ---
+
+
+def test_types_meet():
+    integer, long, text, double = T.IntegerType(), T.LongType(), T.StringType(), T.DoubleType()
+    assert promoted(integer, long) == long and promoted(T.DecimalType(10, 2), long) == T.DecimalType(21, 2)
+    assert promoted(long, double) == double and promoted(T.DecimalType(38, 0), T.DecimalType(38, 9)) == text
+    assert promoted(T.DateType(), T.TimestampType()) == T.TimestampType() == promoted(T.TimestampType(), T.DateType())
+    assert promoted(T.BooleanType(), integer) == text == promoted(T.DateType(), long)
+
+
+@pytest.mark.parametrize("external", [True, False])
+def test_a_load_widens_a_column_and_quarantines_a_cell(spark, tmp_path, external):
+    table = f"widened_{external}"
+    first = spark.createDataFrame([("a", 1, "x")], "id string, n int, note string")
+    append_evolving(first, table, path=str(tmp_path / "t") if external else None)
+    append_evolving(spark.createDataFrame([("b", "12 units"), ("c", "9000000000"), ("d", None), ("e", " 7 ")], "id string, n string"), table)
+    assert dict(spark.table(table).dtypes)["n"] == "bigint"
+    assert {(r.id, r.n, r.note) for r in spark.table(table).collect()} == {
+        ("a", 1, "x"), ("b", None, None), ("c", 9000000000, None), ("d", None, None), ("e", 7, None),
+    }
+    (cell,) = spark.table(f"{table}_cells").collect()
+    assert (cell.column, cell.type, cell.text, json.loads(cell.row)["id"]) == ("n", "bigint", "12 units", "b")
+    # A decimal, then a number too long for it, then another kind: nothing that was there changes.
+    append_evolving(spark.createDataFrame([("f", "0.125")], "id string, n string"), table)
+    assert dict(spark.table(table).dtypes)["n"] == "decimal(38,3)"
+    append_evolving(spark.createDataFrame([("g", True)], "id string, n boolean"), table)
+    got = {r.id: r.n for r in spark.table(table).collect()}
+    assert got == {"a": "1.000", "b": None, "c": "9000000000.000", "d": None, "e": "7.000", "f": "0.125", "g": "true"}
+
+
+def test_doubles_round_nothing(spark):
+    append_evolving(spark.createDataFrame([(2**53 + 1,)], "n long"), "rounded")
+    append_evolving(spark.createDataFrame([(0.5,)], "n double"), "rounded")
+    assert {r.n for r in spark.table("rounded").collect()} == {str(2**53 + 1), "0.5"}
+    append_evolving(spark.createDataFrame([(2**50,)], "n long"), "kept_double")
+    append_evolving(spark.createDataFrame([(0.5,)], "n double"), "kept_double")
+    assert {r.n for r in spark.table("kept_double").collect()} == {float(2**50), 0.5}
+
+
+def test_texts_and_dates_that_widen(spark):
+    append_evolving(spark.createDataFrame([(1.5,)], "v double").selectExpr("v", "DATE '2024-01-02' AS d", "TRUE AS b"), "texts")
+    append_evolving(spark.createDataFrame([("2.25", "2024-01-03 10:00:00", "false"), ("1.23456789012345678", "x", "maybe")], "v string, d string, b string"), "texts")
+    assert [t for _, t in spark.table("texts").dtypes] == ["double", "timestamp", "boolean"]
+    assert {(r.v, str(r.d), r.b) for r in spark.table("texts").collect()} == {
+        (1.5, "2024-01-02 00:00:00", True), (2.25, "2024-01-03 10:00:00", False), (None, "None", None),
+    }
+    assert {(r.column, r.text) for r in spark.table("texts_cells").collect()} == {("v", "1.23456789012345678"), ("d", "x"), ("b", "maybe")}
+
+
+def test_a_load_is_replaced_by_itself(spark):
+    for rows in ([("1",), ("x",)], [("1",), ("2",)], []):
+        append_evolving(spark.createDataFrame([(0,)], "n int"), "loaded", load="a")
+        append_evolving(spark.createDataFrame(rows, "n string"), "loaded", load="b'\\")
+        want = sorted([0] + [int(r[0]) if r[0] != "x" else -1 for r in rows])
+        assert sorted(-1 if r.n is None else r.n for r in spark.table("loaded").collect()) == want
+        assert spark.table("loaded_cells").count() == sum(r[0] == "x" for r in rows)
+    with pytest.raises(ValueError, match="partitioned"):
+        append_evolving(spark.createDataFrame([(0,)], "n int"), "loaded", partition_by=["n"])
+
+
+def test_an_interrupted_widening_is_settled(spark, monkeypatch):
+    append_evolving(spark.createDataFrame([(1,)], "n int"), "settled")
+    spark.sql("CREATE TABLE settled__next AS SELECT * FROM settled")  # stopped before the old table was dropped
+    append_evolving(spark.createDataFrame([(2,)], "n int"), "settled")
+    assert sorted(r.n for r in spark.table("settled").collect()) == [1, 2] and not spark.catalog.tableExists("settled__next")
+    spark.sql("ALTER TABLE settled RENAME TO settled__next")  # and after
+    append_evolving(spark.createDataFrame([(3,)], "n int"), "settled")
+    assert sorted(r.n for r in spark.table("settled").collect()) == [1, 2, 3]
+
+
+def test_a_load_stopped_between_its_tables_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path, tables = str(tmp_path / "staged"), ("half_valid", "half_invalid")
+    rules = rules_for("us_fl")
+    routed = with_route(company_rows(spark), rules.date_fields())
+    write_routes(routed, path, "r1")
+    real = writers.append_evolving
+
+    def stops(df, table, **options):
+        if table == "half_invalid":
+            raise RuntimeError("killed")
+        real(df, table, **options)
+
+    monkeypatch.setattr(writers, "append_evolving", stops)
+    with pytest.raises(RuntimeError):
+        append_routes(spark, path, "r1", *tables, schema=lake_schema())
+    assert [r.run for r in writers.open_loads(spark, path)] == ["r1"] and not spark.catalog.tableExists("half_invalid")
+    monkeypatch.setattr(writers, "append_evolving", real)
+    write_routes(routed, path, "r2")
+    append_routes(spark, path, "r2", *tables, schema=lake_schema())
+    assert writers.open_loads(spark, path) == []
+    for table, n in zip(tables, (3, 1), strict=True):
+        assert {r._run: r["count"] for r in spark.table(table).groupBy("_run").count().collect()} == {"r1": n, "r2": n}
+    # A run that is written again without rejected rows takes its old ones away.
+    write_routes(routed.withColumn("_route", F.lit("valid")), path, "r2")
+    append_routes(spark, path, "r2", *tables, schema=lake_schema())
+    assert [r._run for r in spark.table("half_invalid").collect()] == ["r1"] and spark.table("half_valid").count() == 7
