@@ -140,7 +140,7 @@ def test_near_duplicates(docs, percent):
     assert odd_sketch.near_duplicates(docs.where("doc_id = 12345")).collect() == []
 
 
-@pytest.mark.parametrize(("first", "block"), [(16, 256), (1, 8)])
+@pytest.mark.parametrize(("first", "block"), [(16, 512), (1, 8)])
 def test_large_buckets_lose_no_link(spark, monkeypatch, first, block):
     """Chains and groups of near copies around the threshold, in buckets that are cut into many blocks."""
     monkeypatch.setattr(odd_sketch, "FIRST", first)
@@ -163,6 +163,19 @@ def test_large_buckets_lose_no_link(spark, monkeypatch, first, block):
     assert bag(got) == bag(near_groups(rows, 85))
 
 
+def test_every_pair_is_tested_if_nothing_is_proposed(spark, monkeypatch):
+    """All links come from the second step, also those of pairs that share many buckets with the same nodes."""
+    monkeypatch.setattr(odd_sketch, "FIRST", 0)
+    monkeypatch.setattr(odd_sketch, "NEAREST", 0)
+    rows = []
+    for seed in range(40):
+        words = np.random.default_rng(seed).choice(VOCAB, 120)
+        for copy in range(seed % 4 + 1):
+            rows.append((seed * 10 + copy, " ".join(words) + f" end{copy}" * (copy + 1)))
+    got = odd_sketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag(got) == bag(near_groups(rows, 85))
+
+
 def test_sketches_estimate_high_similarities():
     rng = np.random.default_rng(7)
     most = odd_sketch.most_odd(85)
