@@ -13,11 +13,13 @@ from pyspark.sql import types as T
 from regloom.functions.keys import content_type
 from regloom.operators.parse import explode_lines
 from regloom.session import materialise
+from regloom.sources.records import read_csv_records
 
-# Doubled quotes, as written by most CSV tools and expected by warehouses.  A cell may hold line breaks, so a
-# record is read across lines; a source known to have one record per line can say multiLine=false and
-# have its files split between tasks.
+# Doubled quotes, as written by most CSV tools and expected by warehouses.  A cell may hold line breaks; streams
+# read such a file in one task.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
+# Options that block-wise reading does not know.
+WHOLE_FILES = ("multiLine", "lineSep", "encoding", "charset", "comment", "delimiter", "ignoreLeadingWhiteSpace", "unescapedQuoteHandling")
 CORRUPT = "_corrupt_record"
 
 
@@ -46,7 +48,7 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str], **options) ->
 
 
 def _read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None, options: dict) -> DataFrame:
-    """CSV files of any header, columns matched by name; a column a file lacks is null."""
+    """CSV files of any header by Spark's reader, columns matched by name; a column a file lacks is null."""
     headers = file_headers(spark, paths, **options) if options["header"] == "true" else {}
     if len(headers) <= 1:
         reader = spark.read.options(**options)
@@ -73,11 +75,14 @@ def read_source(
     fmt: str,
     schema: T.StructType | None = None,
     recursive: bool = False,
+    path_column: str | None = None,
     **options,
 ) -> DataFrame:
-    """Read csv, json_lines, json or parquet, by short name or MIME type.
+    """Read csv, json_lines, json or parquet, by short name or MIME type.  ``path_column`` adds the path of each row's file.
 
-    CSV columns stay text (no inference) and are matched by name, file by file.  JSON lines
+    CSV columns stay text (no inference) and are matched by name, file by file.  Files are cut into blocks although
+    their cells may hold line breaks, and scanned when this is called (``read_csv_records``).  With ``multiLine`` given, or
+    options of other dialects, Spark reads them: whole files in a task each with ``true``, a record a line with ``false``.  JSON lines
     with a declared schema keep what cannot be read in ``_corrupt_record`` if the schema has it, and
     otherwise stop at it.  Compression follows the file extension.
     """
@@ -85,7 +90,16 @@ def read_source(
     if recursive:
         options = {"recursiveFileLookup": "true", **options}
     if kind == "csv":
-        return _read_csv(spark, paths, schema, {**CSV_OPTIONS, **options})
+        given = {**CSV_OPTIONS, **options}
+        if given["escape"] == given["quote"] and len(given["quote"]) == 1 and len(given.get("sep", ",")) == 1 and not set(options) & set(WHOLE_FILES):
+            return read_csv_records(spark, _paths(paths), schema, given, path_column)
+        found = _read_csv(spark, paths, schema, given)
+        return found.select("*", F.input_file_name().alias(path_column)) if path_column else found
+    found = _read_other(spark, paths, kind, schema, options)
+    return found.select("*", F.col("_metadata.file_path").alias(path_column)) if path_column else found
+
+
+def _read_other(spark: SparkSession, paths: str | Sequence[str], kind: str, schema: T.StructType | None, options: dict) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind == "json_lines":
         kept = schema is None or CORRUPT in schema.names

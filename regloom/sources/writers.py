@@ -28,6 +28,8 @@ def write_csv(
     writer = encode_json(df).write.mode(mode).option("header", "true").option("escape", '"')
     # Keep an empty text apart from a null on the way back in.
     writer = writer.option("emptyValue", '""').option("lineSep", "\n")
+    # Blanks and line breaks at a cell's ends are part of it; Spark would leave them out.
+    writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     if compression:
         writer = writer.option("compression", compression)
     if max_rows is not None:

@@ -250,6 +250,9 @@ ORACLE: dict[str, str] = {
     "file_inventory": """SELECT DISTINCT concat('event_type=', event_type, '/day=', strftime(ts, '%Y-%m-%d')) AS path,
         true AS key_ok, true AS name_ok, true AS time_ok FROM events""",
     "csv_multiline": f"SELECT id, note, segment, how FROM ({CUSTOMER_TEXTS}), (SELECT unnest(['table', 'stream']) AS how)",
+    "csv_blocks": """SELECT concat(l_orderkey, '-', l_linenumber) AS id,
+        concat(l_returnflag, CASE l_orderkey % 5 WHEN 0 THEN ',"' WHEN 1 THEN repeat(chr(10), CAST(l_linenumber % 3 + 1 AS BIGINT))
+            WHEN 2 THEN concat('"', chr(13), chr(10), '"') ELSE '' END, l_linestatus) AS note, concat('', l_suppkey) AS supplier FROM lineitem""",
     "csv_mixed_headers": f"SELECT id, note, CASE WHEN c_custkey % 2 = 0 THEN segment END AS segment FROM ({CUSTOMER_TEXTS})",
     "jsonl_corrupt": """WITH lines AS (SELECT o_orderkey % 10 = 3 AS bad, concat('O', o_orderkey) AS id, o_orderstatus AS status,
         concat('{"id":"O', o_orderkey, '","status":"', o_orderstatus, '"}')[:12] AS cut FROM orders)

@@ -223,6 +223,27 @@ def csv_multiline(spark, sf_dir):
     return read.unionByName(spark.read.parquet(sink).drop("path").withColumn("how", F.lit("stream")))
 
 
+@query
+def csv_blocks(spark, sf_dir):
+    """One file with line breaks, quotes and separators in its cells, read by many tasks: each row, and whether there were."""
+    path = scratch_dir(spark, "one-file")
+    lines = read_table(spark, sf_dir, "lineitem").selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) AS id",
+        """concat(l_returnflag, CASE l_orderkey % 5 WHEN 0 THEN ',"' WHEN 1 THEN repeat('\\n', l_linenumber % 3 + 1) WHEN 2 THEN '"\\r\\n"' ELSE '' END,
+            l_linestatus) AS note""",
+        "concat('', l_suppkey) AS supplier",
+    )
+    writers.write_csv(lines.coalesce(1), path)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(32 << 10))
+    try:
+        read = readers.read_source(spark, path, "csv")
+    finally:
+        spark.conf.set(name, before)
+    return read
+
+
 @query
 def csv_mixed_headers(spark, sf_dir):
     """Two folders whose files have their columns in another order, one of them without the last."""
@@ -280,7 +301,7 @@ def csv_chunks(spark, sf_dir):
     chunked = row_ops.with_chunk_index(rows, 100)
     dealt = chunked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk_index").sortWithinPartitions("chunk_index")
     writers.write_csv(dealt.drop("chunk_index"), path, max_rows=100)
-    read = readers.read_source(spark, path, "csv").select("*", F.col("_metadata.file_path").alias("file"))
+    read = readers.read_source(spark, path, "csv", path_column="file")
     return read.groupBy("file").agg(F.count("*").alias("rows")).groupBy("rows").agg(F.count("*").alias("files"))
 
 
