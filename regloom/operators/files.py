@@ -92,19 +92,37 @@ def check_manifest(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("ingest_config", F.coalesce(checked.cast("string"), F.col("ingest_config")))
 
 
-def _wanted(name: Column) -> Column:
-    """Does a file name match its manifest entry?"""
-    by_pattern = F.endswith(name, F.col("file_pattern"))
-    by_names = F.array_contains(F.split("file_names", ","), name)
-    return F.coalesce(by_pattern, F.lit(False)) | F.coalesce(by_names, F.lit(False))
+# Parts the files of a folder are dealt into when they meet the manifest.
+PARTS = 16
+NAMED = -1
+
+
+def wanted_files(files: DataFrame, entries: DataFrame, folder: str, path: str = "path") -> DataFrame:
+    """Files with each manifest entry that asks for them: in the folder the entry names in column ``folder``, with a name that ends with
+    its pattern or is one of its names.
+
+    Joined on equal keys: the folder, and the end of the name at each length that some pattern has (few), or the whole
+    name.  The files of a folder are dealt into parts, each of which meets the entries, so a folder with a large share of all files
+    is spread.
+    """
+    size, key, tail, part = "__size", "__folder", "__tail", "__part"
+    names = F.transform(F.array_distinct(F.split("file_names", ",")), lambda n: F.struct(F.lit(NAMED).alias(size), n.alias(tail)))
+    pattern = F.array(F.struct(F.char_length("file_pattern").alias(size), F.col("file_pattern").alias(tail)))
+    asked = entries.withColumn("__ask", F.explode(F.when(F.coalesce("file_pattern", F.lit("")) != "", pattern).otherwise(names)))
+    asked = asked.select("*", "__ask.*", F.col(folder).alias(key)).drop("__ask")
+    asked = asked.withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    sizes = entries.agg(F.collect_set(F.char_length(F.nullif("file_pattern", F.lit("")))).alias("sizes")).scalar()
+    sized = files.withColumn("__sizes", F.array_append(sizes, F.lit(NAMED)))
+    sized = sized.withColumn(size, F.explode("__sizes")).drop("__sizes").where(F.col(size) <= F.char_length("name"))
+    ends = F.when(F.col(size) == NAMED, F.col("name")).otherwise(F.right("name", F.col(size)))
+    dealt = sized.withColumns({tail: ends, key: F.col(path), part: F.pmod(F.xxhash64("name"), F.lit(PARTS)).cast("int")})
+    return dealt.join(asked, [key, size, tail, part]).drop(key, size, tail, part)
 
 
 def manifest_files(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
     """Listed files each manifest entry asks for: those in its source path whose
     name ends with the pattern or is one of the names."""
-    entries = check_manifest(manifest)
-    joined = inventory.join(entries, inventory["path"] == entries["source_path"])
-    return joined.filter(_wanted(F.col("name")))
+    return wanted_files(inventory, check_manifest(manifest), "source_path")
 
 
 def plan_workload(
@@ -121,8 +139,8 @@ def plan_workload(
     # A landed file lies under each folder its path passes through, so the join is on equal paths.
     folders = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(folders)), lambda n: F.array_join(F.slice(folders, F.lit(1), n), "/"))
-    under = landed.withColumn("target_path", F.explode(above))
-    here = under.join(entries, "target_path").filter(_wanted(F.col("name")))
+    under = landed.withColumn("__under", F.explode(above))
+    here = wanted_files(under, entries, "target_path", "__under")
     known = latest_target(here.withColumn("ts", as_timestamp(F.col("timestamp"), kind)), ["ingest_config", "name"])
     known = known.select("ingest_config", "name", F.col("ts").alias("__target"), F.lit(True).alias("__found"))
     joined = wanted.join(known, ["ingest_config", "name"], "left")

@@ -81,14 +81,15 @@ def _leading_rows(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def head_samples(
-    df: DataFrame, order_by: Sequence[str], sizes: Sequence[int] = SAMPLE_SIZES
+    df: DataFrame, order_by: Sequence[str], sizes: Sequence[int] = SAMPLE_SIZES, keep_row: str | None = None
 ) -> dict[int, DataFrame]:
     """The first n rows for each size.  Rows are numbered once for all sizes, and
-    only the rows that can be among the first are sorted."""
+    only the rows that can be among the first are sorted.  ``keep_row`` names a column for their numbers."""
     if not sizes or min(sizes) < 1:
         raise ValueError("sample sizes must be positive")
     numbered = number_rows(_leading_rows(df, order_by[0], max(sizes)), order_by, "__row")
-    return {n: numbered.filter(F.col("__row") < n).drop("__row") for n in sizes}
+    heads = {n: numbered.filter(F.col("__row") < n) for n in sizes}
+    return {n: head.withColumnRenamed("__row", keep_row) if keep_row else head.drop("__row") for n, head in heads.items()}
 
 
 def sample_path(path: str, size: int) -> str:

@@ -332,8 +332,15 @@ def map_to_cdm(
     before mapping: a copy does not replace them, a literal does.  Metadata keys
     outside the model become extra columns.  ``keep`` columns pass through.
     """
-    model = target_model(model)
     columns = list(source_columns) if source_columns is not None else [c for c in df.columns if c not in keep]
+    return df.select(*cdm_columns(df, rules, metadata, model, columns), *[named(c) for c in keep])
+
+
+def cdm_columns(
+    df: DataFrame, rules: MappingRules, metadata: Mapping[str, Column | str | None] | None, model, columns: Sequence[str]
+) -> list[Column]:
+    """The columns of the target model, then further metadata, as expressions over the source ``columns`` of ``df``."""
+    model = target_model(model)
     compiled = compile_rules(columns, rules, model)
     cells = _Cells(df.select(*[named(c) for c in columns]).schema)
     gate = cells.any_present(columns)
@@ -351,7 +358,7 @@ def map_to_cdm(
             c = F.lit(None).cast("string")
         out.append(c.alias(name))
     extra = [v.alias(k) if v is not None else F.lit(None).cast("string").alias(k) for k, v in stamps.items() if k not in model]
-    return df.select(*out, *extra, *[named(c) for c in keep])
+    return [*out, *extra]
 
 
 def _sql_name(name: str) -> str:

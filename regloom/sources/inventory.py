@@ -21,18 +21,20 @@ def filter_files(
     files: DataFrame,
     prefix: str | None = None,
     suffixes: Sequence[str] | None = None,
-    names: Sequence[str] | None = None,
+    names: Sequence[str] | DataFrame | None = None,
     key: str = "key",
 ) -> DataFrame:
-    """Files by key prefix, any of some suffixes, and exact base names."""
+    """Files by key prefix, any of some suffixes, and exact base names.  Names may be a frame with a column
+    ``name``: any number of them, met by an equi-join."""
     c = F.col(key)
     if prefix:
         files = files.filter(F.startswith(c, F.lit(prefix)))
     if suffixes:
         files = files.filter(suffix_match(c, suffixes))
-    if names:
-        files = files.filter(base_name(c).isin(list(names)))
-    return files
+    if isinstance(names, DataFrame):
+        wanted = names.select(F.col("name").alias("__name"))
+        return files.withColumn("__name", base_name(c)).join(wanted, "__name", "left_semi").drop("__name")
+    return files.filter(base_name(c).isin(list(names))) if names else files
 
 
 def file_inventory(
@@ -40,7 +42,7 @@ def file_inventory(
     path: str,
     prefix: str | None = None,
     suffixes: Sequence[str] | None = None,
-    names: Sequence[str] | None = None,
+    names: Sequence[str] | DataFrame | None = None,
 ) -> DataFrame:
     """``(key, path, name, size, timestamp)`` of every file below ``path``.
 

@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regloom.operators.rows import SAMPLE_SIZES, head_samples, sample_path
 from regloom.operators.schema import append_evolving, clear_partition, encode_json
 from regloom.operators.validate import ROUTE
 from regloom.plans.model import CDM, target_model
-from regloom.session import file_system
+from regloom.session import file_system, scratch_dir
 
 
 RUN = "_run"
 
 
 def write_csv(
-    df: DataFrame, path: str, compression: str | None = None, max_rows: int | None = None, mode: str = "errorifexists"
-) -> None:
+    df: DataFrame, path: str, compression: str | None = None, max_rows: int | None = None, mode: str = "errorifexists",
+    partition_by: Sequence[str] = (),
+) -> None:
     """CSV with header; nested values (lists too) as JSON text.  ``max_rows``
     bounds the rows of one file."""
     if max_rows is not None and max_rows < 1:
@@ -34,7 +37,35 @@ def write_csv(
         writer = writer.option("compression", compression)
     if max_rows is not None:
         writer = writer.option("maxRecordsPerFile", max_rows)
-    writer.csv(path)
+    (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
+
+
+def write_samples(df: DataFrame, path: str, order_by: Sequence[str], sizes: Sequence[int] = SAMPLE_SIZES) -> list[str]:
+    """Files with the first n rows for each size, with a header each: ``orders.csv`` as ``orders_1000.csv`` and so on.
+
+    Rows are sorted once (``number_rows``, over those that can be among the first) and written once: a row's rank tells which
+    samples it is part of.  A sample is one file, written by one task, with as many rows as its size at most; what is there of that
+    name is replaced.  Without rows there are no files.
+    """
+    most, row, name = max(sizes), "__row", "__sample"
+    numbered = head_samples(df, order_by, [most], keep_row=row)[most]
+    part_of = F.filter(F.array(*[F.lit(n) for n in sorted(set(sizes))]), lambda n: n > F.col(row))
+    dealt = numbered.withColumn(name, F.explode(part_of)).repartition(len(sizes), name).sortWithinPartitions(name, row)
+    spark, made = df.sparkSession, scratch_dir(df.sparkSession, "samples")
+    write_csv(dealt.drop(row), made, partition_by=[name])
+    files, place = file_system(spark, made)
+    out = []
+    for n in sorted(set(sizes)):
+        found = files.globStatus(file_system(spark, f"{made}/{name}={n}/*.csv")[1])
+        if not found:
+            continue
+        out.append(sample_path(path, n))
+        target_files, target = file_system(spark, out[-1])
+        target_files.mkdirs(target.getParent())
+        target_files.delete(target, False)
+        if not target_files.rename(found[0].getPath(), target):
+            raise OSError(f"cannot move a sample to {out[-1]}")
+    return out
 
 
 def write_routes(routed: DataFrame, path: str, run: str, fmt: str = "parquet") -> dict[str, int]:

@@ -244,9 +244,11 @@ ORACLE: dict[str, str] = {
     "jsonl_scan": "SELECT conv_id, turn, role, text FROM conversations",
     "read_dispatch": """SELECT concat('', event_id) AS event_id, event_type, props, fmt
         FROM events, (SELECT unnest(['csv', 'json_lines', 'parquet']) AS fmt)""",
-    "zip_expand": f"""WITH lines AS (SELECT concat('c', conv_id, '_t', turn) AS source_name, string_split(text, chr(10)) AS parts FROM conversations),
-        kept AS (SELECT source_name, CASE WHEN parts[-1] = '' THEN parts[:-2] ELSE parts END AS parts FROM lines)
-        SELECT concat('conv/', source_name, '.txt') AS member, source_name, unnest(parts) AS value FROM kept""",
+    "zip_expand": f"""WITH lines AS (SELECT concat('batch', conv_id // 40, '.zip') AS archive, strlen(text) AS size,
+            concat('c', conv_id, '_t', turn) AS source_name, string_split(text, chr(10)) AS parts FROM conversations),
+        kept AS (SELECT archive, size, source_name, CASE WHEN parts[-1] = '' THEN parts[:-2] ELSE parts END AS parts FROM lines)
+        SELECT archive, concat('conv/', source_name, '.txt') AS member, size, concat('turns/conv/', source_name, '.txt') AS key,
+            source_name, unnest(parts) AS value FROM kept""",
     "file_inventory": """SELECT DISTINCT concat('event_type=', event_type, '/day=', strftime(ts, '%Y-%m-%d')) AS path,
         true AS key_ok, true AS name_ok, true AS time_ok FROM events""",
     "csv_multiline": f"SELECT id, note, segment, how FROM ({CUSTOMER_TEXTS}), (SELECT unnest(['table', 'stream']) AS how)",
@@ -270,7 +272,7 @@ ORACLE: dict[str, str] = {
     "fw_bad_bytes": """SELECT concat('e', event_id, ' ', event_type, CASE WHEN event_id % 3 = 0 THEN concat(chr(65533), 'é') ELSE '' END) AS value
         FROM events""",
     "file_names": f"""SELECT key, regexp_extract(key, '^(.*)/', 1) AS path, split_part(key, '/', -1) AS name FROM ({EVENT_FILE})
-        WHERE starts_with(key, 'us_fl/c') AND event_id % 8 = 1 AND event_id < 4000""",
+        WHERE starts_with(key, 'us_fl/c') AND event_id % 8 = 1""",
     "file_route": f"""SELECT key, CASE WHEN key LIKE '%_invalid.csv.bz2' THEN 'invalid' ELSE 'valid' END AS route
         FROM ({EVENT_FILE}) WHERE key LIKE '%.csv.bz2'""",
     "bulk_projection": from_reg(pick(FULL) + ", TIMESTAMP '2024-10-08 00:00:00' AS extracted_at"),
@@ -442,6 +444,18 @@ ORACLE: dict[str, str] = {
     "head_samples": """WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
         SELECT o_orderkey, CAST(s AS BIGINT) AS sample FROM r, (SELECT unnest([1000, 2000, 5000, 10000, 20000, 50000, 100000,
             200000, 500000, 1000000]) AS s) WHERE n <= s""",
+    "sample_files": """WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
+        SELECT concat('orders_', s, '.csv') AS file, concat('', o_orderkey) AS o_orderkey, o_orderpriority FROM r, (SELECT unnest([1000, 2000, 5000, 10000,
+            20000, 50000, 100000, 200000, 500000, 1000000]) AS s) WHERE n <= s""",
+    "rule_versions": REG + """, f AS (SELECT *, CAST(substring(COR_NUMBER, 2) AS BIGINT) % 3 = 0 AS im, CAST(substring(COR_NUMBER, 2) AS BIGINT) % 5 AS v FROM reg),
+        r AS (SELECT *, v <> 3 AS known, v <> 3 AND v <> 0 AS newer FROM f)
+        SELECT CASE WHEN known THEN 'record' ELSE 'quarantine' END AS route, CASE WHEN known THEN COR_NUMBER END AS company_number,
+            CASE WHEN known THEN COR_NAME END AS name, CASE WHEN NOT im AND known THEN 'us_fl' WHEN im AND newer THEN 'im' END AS jurisdiction_code,
+            CASE WHEN NOT im AND newer THEN COR_STATUS END AS current_status, CASE WHEN im AND newer THEN nullif(STATE_COUNTRY, '') END AS company_type,
+            CASE WHEN NOT im AND newer AND COR_FEI_NUMBER <> '' THEN concat('{"uid":"', COR_FEI_NUMBER, '"}') END AS company_identifiers,
+            CASE WHEN newer THEN 'mapping:2' WHEN known THEN 'mapping:1' WHEN im THEN 'cdm_mapping_rules/im/jsonlines/v9/cdm_mapping_im.json'
+                ELSE 'cdm_mapping_rules/us_fl/csv/v9/cdm_mapping_us_fl.json' END AS cdm_mapping_rules,
+            concat('in/', COR_NUMBER) AS path FROM r""",
     "norm_company": from_reg(
         f"""COR_NUMBER AS company_number, COR_NAME AS name, 'us_fl' AS jurisdiction_code, COR_STATUS AS current_status,
         COR_FILING_TYPE AS company_type, {mdy_date()} AS incorporation_date, CAST(NULL AS DATE) AS dissolution_date,
@@ -464,4 +478,8 @@ ORACLE: dict[str, str] = {
     "stream_ingest": from_reg(
         pick([n for n in FULL if n != "source_name"]) + f", CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route"
     ),
+    "stream_redelivered": from_reg(
+        pick(["company_number", "name", "hash"])
+        + f", CASE WHEN {VALID} THEN 'valid' ELSE 'invalid' END AS route, CAST(2 * (SELECT count(*) FROM reg WHERE COR_PRINC_STATE = 'FL') AS BIGINT) AS left_out"
+    ),
 }

@@ -21,9 +21,10 @@ from regloom.operators import validate
 from regloom.operators.parse import explode_lines, parse_fixed_width, render_fixed_width
 from regloom.plans.compiler import map_to_cdm
 from regloom.plans.layout import Layout
-from regloom.plans.rules import MappingRules
 from regloom.plans.model import lake_schema
-from regloom.session import ADJUSTABLE, RECOMMENDED, scratch_dir
+from regloom.plans.rules import MappingRules
+from regloom.plans.versions import load_rule_book, map_by_version, used_rules
+from regloom.session import ADJUSTABLE, RECOMMENDED, file_system, scratch_dir
 from regloom.sources import archives, inventory, readers, writers
 from regloom.streaming import ingest
 from regloom.workload.registry import columns, read_table, registry
@@ -333,24 +334,30 @@ def read_dispatch(spark, sf_dir):
 
 @query
 def zip_expand(spark, sf_dir):
-    """Turns packed into zip archives, one member each, and unpacked to lines."""
-    turns = read_table(spark, sf_dir, "conversations")
+    """Turns packed into zip files on disk, an archive for forty conversations, and read back: members with their lines."""
+    turns = read_table(spark, sf_dir, "conversations").selectExpr("conv_id div 40 AS batch", "conv_id", "turn", "text")
+    path = scratch_dir(spark, "zips")
+    folder = path.removeprefix("file:")
 
-    def pack(batches):
-        import io
+    def pack(rows):
+        import os
         import zipfile
 
         import pandas as pd
 
-        for n, batch in enumerate(batches):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
-                for conv, turn, text in zip(batch["conv_id"], batch["turn"], batch["text"]):
-                    z.writestr(f"conv/c{conv}_t{turn}.txt", text)
-            yield pd.DataFrame({"archive": [f"batch{n}.zip"], "content": [buffer.getvalue()]})
+        name = f"{folder}/turns/batch{rows['batch'].iloc[0]}.zip"
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        part = f"{name}.{os.getpid()}.part"
+        with zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED) as z:
+            for conv, turn, text in zip(rows["conv_id"], rows["turn"], rows["text"]):
+                z.writestr(f"conv/c{conv}_t{turn}.txt", text)
+        os.replace(part, name)  # a task that is run again replaces its own file
+        return pd.DataFrame({"n": [len(rows)]})
 
-    packed = turns.select("conv_id", "turn", "text").mapInPandas(pack, "archive string, content binary")
-    return archives.expand_archives(packed).select("member", "source_name", "value")
+    turns.groupBy("batch").applyInPandas(pack, "n long").agg(F.sum("n")).collect()
+    lines = archives.expand_archives(archives.read_archives(spark, path))
+    key = F.regexp_extract("key", "/(turns/.*)$", 1)
+    return lines.select(F.regexp_extract("archive", "([^/]*)$", 1).alias("archive"), "member", "size", key.alias("key"), "source_name", "value")
 
 
 @query
@@ -388,7 +395,8 @@ def file_route(spark, sf_dir):
 @query
 def file_names(spark, sf_dir):
     """Listed files by prefix, suffix and exact names."""
-    names = [f"f{n}.csv" for n in range(1, 4000, 8)] + ["f2.csv.bz2", "nothing.csv"]
+    events = read_table(spark, sf_dir, "events").where("event_id % 8 < 3")
+    names = events.selectExpr("CASE event_id % 8 WHEN 1 THEN concat('f', event_id, '.csv') WHEN 2 THEN concat('f', event_id, '.csv.bz2') ELSE 'nothing.csv' END AS name")
     listed = event_files(spark, sf_dir).select("key", "path", "name")
     return inventory.filter_files(listed, prefix="us_fl/c", suffixes=[".csv"], names=names)
 
@@ -679,6 +687,60 @@ def cdm_isle_of_man(spark, sf_dir):
     return records
 
 
+def versioned_rules() -> dict[str, dict]:
+    """Two versions of rules for either jurisdiction, by their keys."""
+
+    def book(version: str, **rules: dict) -> dict:
+        return {"meta_data": {"file_name": "mapping", "version": version}, "rules": rules}
+
+    number, name = copied("COR_NUMBER", "company_number"), copied("COR_NAME", "name")
+    fl = {"number": number, "name": name, "code": literal("us_fl", "jurisdiction_code")}
+    im_rules = {"number": copied("Number", "company_number"), "name": copied("Name", "name")}
+    parent = {"ids": holder("company_identifiers"), "uid": copied("COR_FEI_NUMBER", "uid", "company_identifiers")}
+    newer = {
+        "us_fl": book("2", **fl, status=copied("COR_STATUS", "current_status"), **parent),
+        "im": book("2", **im_rules, kind=copied("Registry Type", "company_type"), code=literal("im", "jurisdiction_code")),
+    }
+    older = {"us_fl": book("1", **fl), "im": book("1", **im_rules)}
+    folders = {"us_fl": "csv", "im": "jsonlines"}
+    return {
+        f"cdm_mapping_rules/{code}/{folders[code]}/{release}/cdm_mapping_{code}.json": rules
+        for release, found in (("v1", older), ("v2", newer), ("latest", newer))
+        for code, rules in found.items()
+    }
+
+
+@query
+def rule_versions(spark, sf_dir):
+    """Rows of both jurisdictions, each mapped with the rules of its file's version; files of an unknown version in quarantine."""
+    import json
+
+    root = scratch_dir(spark, "rule-files")
+    for key, rules in versioned_rules().items():
+        files, place = file_system(spark, f"{root}/{key}")
+        out = files.create(place, True)
+        out.write(bytearray(json.dumps(rules).encode()))
+        out.close()
+    book = load_rule_book(spark, root)
+    rows = registry(spark, sf_dir, ["COR_NUMBER", "COR_NAME", "COR_STATUS", "COR_FEI_NUMBER", "STATE_COUNTRY"])
+    number = "CAST(substring(COR_NUMBER, 2) AS BIGINT)"
+    files = rows.selectExpr(
+        "concat('in/', COR_NUMBER) AS path", f"CASE WHEN {number} % 3 = 0 THEN 'IM' ELSE 'us_fl' END AS jurisdiction",
+        f"CASE WHEN {number} % 3 = 0 THEN 'json_lines' ELSE 'csv' END AS content_type",
+        f"CASE {number} % 5 WHEN 0 THEN 'v1' WHEN 1 THEN 'v2' WHEN 2 THEN '' WHEN 3 THEN 'v9' END AS version",
+    ).select("path", keys.rules_key(F.col("jurisdiction"), F.col("content_type"), F.col("version")).alias("rules_key"))
+    other = f"{number} % 3 = 0"
+    source = rows.selectExpr(
+        "concat('in/', COR_NUMBER) AS path", *[f"CASE WHEN NOT {other} THEN {c} END AS {c}" for c in ("COR_NUMBER", "COR_NAME", "COR_STATUS", "COR_FEI_NUMBER")],
+        f"CASE WHEN {other} THEN COR_NUMBER END AS Number", f"CASE WHEN {other} THEN COR_NAME END AS Name", f"CASE WHEN {other} THEN STATE_COUNTRY END AS `Registry Type`",
+    )
+    model = ["company_number", "name", "jurisdiction_code", "current_status", "company_type", "company_identifiers", "cdm_mapping_rules"]
+    records, lost = map_by_version(source.join(files, "path"), used_rules(files, book), model=model, keep=["path"])
+    none = F.lit(None).cast("string")
+    quarantined = lost.select(F.lit("quarantine").alias("route"), *[(F.col("rules_key") if c == "cdm_mapping_rules" else none).alias(c) for c in model], "path")
+    return records.select(F.lit("record").alias("route"), *model, "path").unionByName(quarantined)
+
+
 @query
 def norm_previous_names(spark, sf_dir):
     return norm.previous_name_table(isle_of_man_records(spark, sf_dir))
@@ -1007,6 +1069,16 @@ def head_samples(spark, sf_dir):
     return found
 
 
+@query
+def sample_files(spark, sf_dir):
+    """Prefix samples of the orders as CSV files: every row of every file."""
+    path = scratch_dir(spark, "sample-files")
+    orders = read_table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderdate", "o_orderpriority")
+    writers.write_samples(orders, f"{path}/orders.csv", ["o_orderdate", "o_orderkey"])
+    read = readers.read_source(spark, path, "csv", path_column="path")
+    return read.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "o_orderkey", "o_orderpriority")
+
+
 # --- relational tables ---
 
 
@@ -1077,3 +1149,20 @@ def stream_ingest(spark, sf_dir):
     out = spark.read.parquet(sink)
     # Part files are named by the writer.
     return out.drop("source_name").withColumnRenamed(validate.ROUTE, "route")
+
+
+@query
+def stream_redelivered(spark, sf_dir):
+    """Files that come twice, in one run and in a later one, under other names: each row once, and how many were left out."""
+    layout, rules = layout_for("us_fl"), rules_for("us_fl")
+    source, sink, ledger = (scratch_dir(spark, p) for p in ("twice", "twice-sink", "twice-ledger"))
+    rows = registry(spark, sf_dir)
+    repeated = 0
+    for states in (["FL", "FL"], ["FL", "GA"]):
+        for state in states:
+            arrived = rows.filter(F.col("COR_PRINC_STATE") == state)
+            render_fixed_width(arrived, layout).write.mode("append").text(source)
+        records = ingest.records_from_lines(ingest.stream_lines(spark, source), layout, rules)
+        repeated += ingest.ingest_available(ingest.without_redelivered(records), sink, ledger)["repeated"]
+    out = spark.read.parquet(sink).withColumnRenamed(validate.ROUTE, "route")
+    return out.select("company_number", "name", "hash", "route", F.lit(repeated).cast("long").alias("left_out"))

@@ -1,4 +1,5 @@
 import bz2
+import csv
 import json
 import random
 import re
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from regloom.functions.keys import as_timestamp, content_type, layout_key, raw_key, rules_key, target_key
 from regloom.jurisdictions import layout_for, rules_for
 from regloom.operators import ledger as ledger_ops
-from regloom.operators.files import files_diff, group_paths, load_manifest, plan_workload, size_range
+from regloom.operators.files import files_diff, group_paths, load_manifest, manifest_files, plan_workload, size_range
 from regloom.operators.ledger import ledger_filter, ledger_transition, ledger_upsert, new_items
 from regloom.operators.metadata import (
     backfill,
@@ -34,12 +35,13 @@ from regloom.operators.types import promoted
 from regloom.operators.validate import is_date_valid, route_counts, rows_valid, split_by_dates, with_route
 from regloom.plans.compiler import map_to_cdm
 from regloom.plans.model import CDM, CDM_FIELDS, lake_schema, timestamp_fields
+from regloom.plans.versions import load_rule_book, map_by_version, used_rules
 from regloom.sources import writers
 from regloom.sources.archives import expand_archives, list_members, read_archives
 from regloom.sources.inventory import file_inventory, filter_files, route_files
 from regloom.sources.readers import read_json_lines, read_source
 from regloom.sources.writers import append_routes, bulk_projection, write_csv, write_routes
-from regloom.streaming.ingest import ingest_available, records_from_lines, records_from_rows, stream_lines, stream_rows
+from regloom.streaming.ingest import ingest_available, records_from_lines, records_from_rows, stream_lines, stream_rows, without_redelivered
 
 
 def one(spark, column):
@@ -392,6 +394,38 @@ def test_archives(spark, tmp_path):
     assert members["cor0.txt"] == ("cor0.txt", 7) and len(members) == 3
 
 
+def test_only_the_directory_and_own_members_of_an_archive_are_read(spark, tmp_path, monkeypatch):
+    """A file with a hole of 5 GB between its members: neither the listing nor a member's lines read through it."""
+    import struct
+
+    path = tmp_path / "with blank, large.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("first.txt", "one\ntwo\n")
+        z.writestr("dir/", "")
+        with z.open("far.txt", "w", force_zip64=True) as f:
+            f.write(b"three\n" * 1000)
+    # The same archive with its directory moved behind a hole, as a large member would push it.
+    data, hole = path.read_bytes(), 5 << 30
+    end = data.rindex(b"PK\x05\x06")
+    size, start = struct.unpack("<LL", data[end + 12 : end + 20])
+    with open(path, "wb") as f:
+        f.write(data[:start])
+        f.seek(start + hole)
+        f.write(data[start : start + size])
+        f.write(struct.pack("<4sQHHLLQQQQ", b"PK\x06\x06", 44, 45, 45, 0, 0, 3, 3, size, start + hole))
+        f.write(struct.pack("<4sLQL", b"PK\x06\x07", 0, start + hole + size, 1))
+        f.write(struct.pack("<4sHHHHLLH", b"PK\x05\x06", 0, 0, 3, 3, size, 0xFFFFFFFF, 0))
+    archives = read_archives(spark, str(tmp_path))
+    assert archives.columns == ["archive", "bytes"] and archives.first()["bytes"] > hole
+    members = list_members(archives)
+    assert {(r.member, r["size"], r.source_name) for r in members.collect()} == {("first.txt", 8, "first"), ("far.txt", 6000, "far")}
+    lines = expand_archives(archives).groupBy("member", "value", "key").count().collect()
+    assert {(r.member, r.value, r["count"], r.key.rsplit("/", 1)[1]) for r in lines} == {
+        ("first.txt", "one", 1, "first.txt"), ("first.txt", "two", 1, "first.txt"), ("far.txt", "three", 1000, "far.txt"),
+    }
+    path.unlink()
+
+
 def test_add_missing_and_evolving_append(spark):
     df = spark.createDataFrame([("1",)], "a string")
     wide = add_missing_columns(df, lake_schema())
@@ -791,3 +825,100 @@ def test_a_load_stopped_between_its_tables_is_finished_by_the_next(spark, tmp_pa
     write_routes(routed.withColumn("_route", F.lit("valid")), path, "r2")
     append_routes(spark, path, "r2", *tables, schema=lake_schema())
     assert [r._run for r in spark.table("half_invalid").collect()] == ["r1"] and spark.table("half_valid").count() == 7
+
+
+# --- manifests, samples, rule versions, redelivered rows ---
+
+
+def test_a_folder_with_most_files_is_spread(spark):
+    """Entries that overlap, names given twice, patterns longer than a name; a hot folder is dealt over the join's tasks."""
+    entries = spark.createDataFrame(
+        [
+            ("all", "j", "hot", "t", ".txt", None, "daily", False), ("some", "j", "hot", "t", "9.txt", None, "daily", False),
+            ("named", "j", "hot", "t", None, "f1.txt,f2.txt,f1.txt,no", "daily", False), ("long", "j", "cold", "t", "a-long-ending.txt", "", "daily", False),
+        ],
+        MANIFEST,
+    )
+    files = spark.range(0, 3000, numPartitions=4).selectExpr("IF(id % 3 < 2, 'hot', 'cold') AS path", "concat('f', id, IF(id % 5 = 0, '.zip', '.txt')) AS name", "id AS timestamp")
+    found = manifest_files(entries, files)
+    want = []
+    for r in files.collect():
+        for e in entries.collect():
+            if r.path == e.source_path and (r.name.endswith(e.file_pattern) if e.file_pattern else r.name in e.file_names.split(",")):
+                want.append((e.ingest_config, r.name))
+    assert sorted((r.ingest_config, r.name) for r in found.collect()) == sorted(want)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = manifest_files(entries, files).where("ingest_config = 'all'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(tasks) >= 5 and max(r["count"] for r in tasks) < sum(r["count"] for r in tasks) / 2
+
+
+def test_names_may_be_a_frame(spark):
+    files = spark.createDataFrame([("a/x.csv",), ("b/y.csv",), ("x.csv/z",)], "key string")
+    names = spark.createDataFrame([("x.csv",), ("x.csv",), ("w",)], "name string")
+    assert [r.key for r in filter_files(files, names=names).collect()] == ["a/x.csv"] == [r.key for r in filter_files(files, names=["x.csv"]).collect()]
+    assert filter_files(files, suffixes=[".csv"], names=names).columns == ["key"]
+
+
+def test_sample_files(spark, tmp_path):
+    rows = spark.range(0, 60, numPartitions=5).selectExpr("id", "59 - id AS k", "concat('line\\n \"', id, '\" ') AS note")
+    path = str(tmp_path / "out" / "rows.csv")
+    for _ in range(2):
+        made = writers.write_samples(rows, path, ["k"], (5, 20, 1000))
+    assert made == [path.replace(".csv", f"_{n}.csv") for n in (5, 20, 1000)]
+    for name, n in zip(made, (5, 20, 60), strict=True):
+        with open(name, newline="") as f:
+            got = list(csv.reader(f))
+        assert got == [["id", "k", "note"]] + [[str(59 - k), str(k), f'line\n "{59 - k}" '] for k in range(n)]
+    assert writers.write_samples(rows.where("id < 0"), str(tmp_path / "none.csv"), ["k"], (5,)) == []
+
+
+def test_rules_by_version(spark, tmp_path):
+    def rules(version, **own):
+        return {"meta_data": {"file_name": "m", "version": version}, "rules": {n: {"source_field": s, "cdm_field": n} for n, s in own.items()}}
+
+    for key, found in {"im/json/v1": rules("1", name="a"), "im/json/latest": rules("2", name="b", company_type="a"), "us_fl/csv/v1": rules("9", name="c")}.items():
+        folder = tmp_path / "cdm_mapping_rules" / key
+        folder.mkdir(parents=True)
+        (folder / f"cdm_mapping_{key.split('/')[0]}.json").write_text(json.dumps(found))
+    book = load_rule_book(spark, str(tmp_path))
+    files = spark.createDataFrame([("1", "IM", "json", "v1"), ("2", "im", "Json", None), ("3", "us_fl", "csv", "v1"), ("4", "im", "json", "v7"), ("5", None, "json", "v1")], "path string, j string, t string, v string")
+    files = files.select("path", rules_key(F.col("j"), F.col("t"), F.col("v")).alias("rules_key"))
+    rows = files.withColumns({"a": F.concat(F.lit("a"), "path"), "b": F.lit("b"), "c": F.struct(F.lit(1).alias("x"))})
+    used = used_rules(files, book)
+    assert set(used) == set(book) and len(book) == 3
+    records, lost = map_by_version(rows, used, {"fetched_by": "me"}, keep=["path"])
+    got = {r.path: (r.name, r.company_type, r.cdm_mapping_rules, r.fetched_by) for r in records.collect()}
+    assert got == {"1": ("a1", None, "m:1", "me"), "2": ("b", "a2", "m:2", "me"), "3": ('{"x":1}', None, "m:9", "me")}
+    assert {(r.path, r.rules_key, json.loads(r.row)["a"]) for r in lost.collect()} == {
+        ("4", "cdm_mapping_rules/im/json/v7/cdm_mapping_im.json", "a4"), ("5", None, "a5"),
+    }
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Scan") == rows._jdf.queryExecution().executedPlan().toString().count("Scan")
+    empty, all_lost = map_by_version(rows, {}, keep=["path"])
+    assert empty.count() == 0 and all_lost.count() == 5
+
+
+def test_redelivered_rows_are_left_out(spark, tmp_path):
+    source, sink, ledger_path = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    source.mkdir()
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("hash", "v")])
+
+    def land(name, *rows):
+        (source / name).write_text("".join(json.dumps(dict(zip(("hash", "v"), r))) + "\n" for r in rows))
+
+    def run():
+        rows = without_redelivered(stream_rows(spark, str(source), "json_lines", schema).drop("_corrupt_record"))
+        return ingest_available(rows, sink, ledger_path, partition_by=())
+
+    land("a.json", ("h1", "x"), ("h2", "y"), (None, "p"), (None, "q"))
+    assert run() == {"rows": 4, "repeated": 0}
+    land("b.json", ("h1", "x"), ("h2", "y"), ("h3", "z"), ("h3", "z"))
+    assert run() == {"rows": 4, "repeated": 3}
+    assert run()["repeated"] == 0
+    got = sorted((r.hash or "", r.v) for r in spark.read.schema(schema).parquet(sink).collect())
+    assert got == [("", "p"), ("", "q"), ("h1", "x"), ("h2", "y"), ("h3", "z")]
