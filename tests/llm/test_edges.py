@@ -318,21 +318,125 @@ def test_language_model(docs, spark):
     assert all(r.score < 0 for r in got)
 
 
-def test_language_model_is_a_distribution(monkeypatch):
-    """Over all words and one unknown, the probabilities after any context add up to one."""
-    counts = np.sort(np.random.default_rng(4).integers(1, 500, 300))[::-1]
-    words = np.arange(1, 301, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    head = maxent_lm.Head(words[:200], counts[:200], int(counts.sum()), 300)
-    weights = np.random.default_rng(5).standard_normal((maxent_lm.BUCKETS, maxent_lm.CLASSES)).astype(np.float32)
-    assert (head.find(words[:200]) >= 0).all() and (head.find(words[200:]) < 0).all()
-    assert (head.words[head.find(words[:200])] == words[:200]).all()
-    rows = maxent_lm.features(words[:3], np.array([3]))
-    chance = np.exp(maxent_lm.log_softmax(maxent_lm.logits(rows, weights, head.bias)))
-    at = head.find(words[:200])
-    inside = np.zeros(maxent_lm.CLASSES)
-    np.add.at(inside, head.band[at], 10 ** head.share[at])
-    inside[maxent_lm.REST] = ((counts[200:] + 1).sum() + 1) / head.rest_norm
-    assert np.allclose(inside, 1) and np.allclose((chance * inside).sum(axis=1), 1, atol=1e-4)
+def word_hash(word):
+    return xxhash.xxh64_intdigest(word, maxent_lm.SEED) or 1
+
+
+def tiny_model(spark):
+    """A model of a few texts, and the tokens it was taught."""
+    rows = [(i, prose(90, 50 + i % 5) + (" once" if i % 3 else "")) for i in range(30)] + [(100, ""), (101, "a\x1cb  É é\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts, known, counts, total, _ = maxent_lm.prepared(docs)
+    return rows, maxent_lm.fit(known, counts, total), {r.h & (2**64 - 1): r.c for r in counts.collect()}
+
+
+def test_language_model_against_brute_force(spark, monkeypatch):
+    """Counts by context, feature functions, softmaxes and shares once more in plain Python, over batches of any size."""
+    monkeypatch.setattr(maxent_lm, "LEAST_ROWS", 1 << 10)
+    rows, model, known = tiny_model(spark)
+
+    def split(text):
+        return [word_hash(w) for w in re.sub(b"[A-Z]", lambda m: m[0].lower(), text.encode()).split()] + [0]
+
+    def number(x):
+        return int(np.array([x % 2**64], np.uint64)[0])
+
+    def mix(x):
+        return int(maxent_lm.mixed(np.array([number(x)], np.uint64))[0])
+
+    def at(h):
+        return int(maxent_lm.leaf_of(np.array([h], np.uint64))[0])
+
+    bits = 64 - (model.rows.bit_length() - 1)
+
+    def contexts_of(tokens, i):
+        one, two = (tokens[i - 1] if i else 0), (tokens[i - 2] if i > 1 else 0)
+        first = mix(one + 1)
+        found = [first, mix(first ^ number(two * int(maxent_lm._C3))), mix(two + 0x51ED270B)]
+        top = at(tokens[i]) // 32
+        with_class = [mix(x ^ number((top + 1) * int(maxent_lm._C4))) >> (bits + 5) for x in found]
+        return [[x >> bits for x in found], [x + top * (model.rows // 32) for x in with_class]]
+
+    counted = collections.defaultdict(lambda: [0] * 32)
+    for i, text in rows:
+        if zlib.crc32(str(i).encode()) % 7 == 2:
+            continue
+        tokens = split(text)
+        for j, h in enumerate(tokens):
+            for softmax, where in enumerate(contexts_of(tokens, j)):
+                for kind, row in enumerate(where):
+                    counted[softmax, kind, row][at(h) % 32 if softmax else at(h) // 32] += 1
+    mass = [1] * 1024
+    for h, c in known.items():
+        mass[at(h)] += c + 1
+    top = [sum(mass[32 * k : 32 * k + 32]) for k in range(32)]
+
+    def chance(tokens, j):
+        leaf, total = at(tokens[j]), 0.0
+        earlier = [at(h) for h in tokens[: j - j % maxent_lm.SPAN]]
+        for softmax, where in enumerate(contexts_of(tokens, j)):
+            k = leaf // 32
+            shares = [m / top[k] for m in mass[32 * k : 32 * k + 32]] if softmax else [t / sum(top) for t in top]
+            past = collections.Counter(e % 32 for e in earlier if e // 32 == k) if softmax else collections.Counter(e // 32 for e in earlier)
+            logits = [np.log(s) for s in shares]
+            for kind in range(4):
+                counts = counted[softmax, kind, where[kind]] if kind < 3 else [past[v] for v in range(32)]
+                weight, smooth = model.weights[softmax, kind, int(np.log2(sum(counts) + 1))], float(maxent_lm.SMOOTH[kind])
+                logits = [z + weight * np.log((c + smooth * s) / (sum(counts) + smooth) / s) for z, c, s in zip(logits, counts, shares)]
+            chances = np.exp(np.array(logits) - max(logits))
+            total += np.log10(chances[leaf % 32 if softmax else leaf // 32] / chances.sum())
+        return total + np.log10((known.get(tokens[j], 0) + 1) / mass[leaf])
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    fresh = [(1000, "once upon " + prose(40, 52)), (1001, "q")]
+    tested = [(i, t) for i, t in rows[:8] + rows[-2:] + fresh]
+    for chunk in (1, 3, 256):
+        monkeypatch.setattr(maxent_lm, "CHUNK", chunk)
+        import pyarrow as pa
+
+        batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in tested], "held_out": [False] * len(tested), "text": [t for _, t in tested]})
+        (got,) = maxent_lm.score_batches(model)([batch])
+        for (_, text), n, score in zip(tested, got["n_tokens"].to_pylist(), got["model"].to_pylist(), strict=True):
+            tokens = split(text)
+            assert n == len(tokens) and abs(score - sum(chance(tokens, j) for j in range(len(tokens)))) < 2e-3 * n
+    monkeypatch.undo()
+    assert docs.count() == len(rows)
+
+
+def test_tokens_of_slices():
+    """Texts in a batch that is cut into slices, with nulls, blanks at either end and characters of several bytes."""
+    import pyarrow as pa
+
+    found = [None, " a\x0bÉ\x1c B c  ", "", "\n", LONG, "x" * 3000, "É\u00a0É", "end "] * 3
+    for most in (1, 100, 1 << 20):
+        got = []
+        for a, b in maxent_lm.slices([len((t or "").encode()) for t in found], most):
+            t = maxent_lm.encode(pa.array(found, pa.string()).slice(a, b - a))
+            ends = np.cumsum(t.n)
+            got += [t.hashes[t.index[e - n : e]].tolist() for e, n in zip(ends, t.n)]
+        assert got == [[word_hash(re.sub(b"[A-Z]", lambda m: m[0].lower(), w)) for w in (t or "").encode().split()] + [0] for t in found]
+
+
+def test_language_model_is_a_distribution(spark):
+    """Over all known words and an unknown one in each subclass, the probabilities after a context add up to one."""
+    _, model, known = tiny_model(spark)
+    model.prepare()
+    words = sorted(known)
+    places = {int(l) for l in maxent_lm.leaf_of(np.array(words, np.uint64))}
+    rng = np.random.default_rng(3)
+    unknown = {}
+    while len(unknown) < 1024:
+        h = rng.integers(1, 2**63, dtype=np.uint64)
+        if int(h) not in known:
+            unknown.setdefault(int(maxent_lm.leaf_of(np.array([h]))[0]), int(h))
+    assert len(places) > 100
+    total = 0.0
+    for h in [*words, *unknown.values()]:
+        index = np.array([0, 1, 2, 3])
+        t = maxent_lm.Tokens(np.array([words[5], words[9], words[5], h], np.uint64), index, np.array([4]))
+        leaf = int(maxent_lm.leaf_of(np.array([h], np.uint64))[0])
+        total += 10 ** maxent_lm.token_scores(t, model)[-1] * (known.get(h, 0) + 1) / model.mass[leaf]
+    assert abs(total - 1) < 1e-4
 
 
 def test_fixity(spark, tmp_path, monkeypatch):
