@@ -48,11 +48,11 @@ CODES[128:] = np.arange(128, 256)
 
 
 def trigrams(text: bytes) -> Iterator[np.ndarray]:
-    """Buckets of a text's trigrams, in slices; those of blanks alone are left out."""
-    for i in range(0, max(1, len(text)), SLICE):
-        data = CODES[np.frombuffer(b" " + text[i : i + SLICE + 2] + b" ", np.uint8)].astype(np.uint32)
-        if len(data) < 3:
-            continue
+    """Buckets of a text's trigrams, a blank before and after it included, each trigram in one slice; those of blanks
+    alone are left out."""
+    whole = np.frombuffer(b" " + text + b" ", np.uint8)
+    for i in range(0, len(whole) - 2, SLICE):
+        data = CODES[whole[i : i + SLICE + 2]].astype(np.uint32)
         code = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
         code = code[(data[1:-1] != 32)]
         yield ((code * np.uint32(2654435761)) >> np.uint32(32 - (BUCKETS.bit_length() - 1))).astype(np.int64)
@@ -140,13 +140,13 @@ def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "draw", "tie", "buckets", "values"])
 
 
-def sample(docs: DataFrame, most: int = SAMPLE) -> list[tuple[np.ndarray, str]]:
+def sample(docs: DataFrame, most: int = SAMPLE) -> tuple[np.ndarray, list[str]]:
     """Shares and language of about ``most`` documents of each language outside the held-out fold, by a hash of the id."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     own = own.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != HELD))
     share = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not share:
-        return []
+        return np.zeros((0, BUCKETS), np.float32), []
     least, top = -(1 << 63), (1 << 63) - 1
     bound = F.coalesce(*(F.when(F.col("lang") == k, F.lit(min(top, least + (most << 64) // n))) for k, n in share.items()))
     drawn = own.withColumn("draw", F.xxhash64("doc_id")).where(F.col("draw") <= bound).withColumn("tie", F.xxhash64("text"))
@@ -155,19 +155,16 @@ def sample(docs: DataFrame, most: int = SAMPLE) -> list[tuple[np.ndarray, str]]:
     # Each language has a bound of its own, applied in every task before rows meet.
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "tie"))
     rows = taught.withColumn("place", place).where(F.col("place") <= 2 * most).collect()
-    out = []
-    for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"], r["tie"])):
-        x = np.zeros(BUCKETS, np.float32)
-        x[np.frombuffer(r["buckets"], "<u2")] = np.frombuffer(r["values"], "<f4")
-        out.append((x, r["lang"]))
-    return out
+    rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["tie"]))
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for i, r in enumerate(rows):
+        x[i, np.frombuffer(r["buckets"], "<u2")] = np.frombuffer(r["values"], "<f4")
+    return x, [r["lang"] for r in rows]
 
 
 def fit(docs: DataFrame) -> Model | None:
-    drawn = sample(docs)
-    if not drawn:
-        return None
-    return Model(np.stack([x for x, _ in drawn]), [code for _, code in drawn])
+    x, langs = sample(docs)
+    return Model(x, langs) if langs else None
 
 
 def predictor(model: Model | None):

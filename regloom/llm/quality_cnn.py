@@ -3,11 +3,12 @@
 Each byte of a text is embedded; learned filters of ``WIDTH`` bytes slide over the whole text in steps of ``STEP``.
 A text is covered by overlapping chunks of two blocks of ``BLOCK`` bytes, each sharing a block with the next;
 every filter is max-pooled in each chunk.  The chunks' mean and maximum are combined into one probability.
-The network is fitted on a bounded sample of labelled rows (``SAMPLE`` per label, chosen by a hash of the id);
-every text is scored whole, in slices of ``SLICE`` bytes, so memory does not grow with a text.
+The network is fitted on a bounded sample of labelled documents (about ``SAMPLE`` per label, chosen by a hash of the id, and of those
+the first in the order of that hash that have ``SAMPLE_BYTES`` of text together); every text, in the sample too, is read whole, and
+scored in slices of ``SLICE`` bytes, so memory does not grow with a text.
 
 Defined cases: null and empty texts are scored as one block of padding; labels that are null or whose document is
-missing do not take part; without labels of both kinds every score is the share of label 1 (one half without any
+missing do not take part; of documents with the same id one teaches, the first by a hash of its text; without labels of both kinds every score is the share of label 1 (one half without any
 labels); rows with the same id are scored one by one; a null id is not held out; an empty table gives an
 empty result.
 """
@@ -25,6 +26,7 @@ from regloom.llm.common import remainder, utf8
 FOLDS, HELD = 5, 0
 THRESHOLD = 0.3
 SAMPLE = 2000
+SAMPLE_BYTES = 128 << 20
 DIM, FILTERS, WIDTH, STEP, BLOCK = 8, 32, 8, 4, 512
 PAD = 256
 SLICE = 1 << 20
@@ -160,20 +162,35 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> Weights:
     return w
 
 
-def sample(docs: DataFrame, labels: DataFrame, target: str, most: int = SAMPLE) -> list[tuple[bytes, int]]:
-    """About ``most`` labelled texts of each value of ``target`` outside the held-out fold, by a hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, target: str, most: int = SAMPLE, max_bytes: int = SAMPLE_BYTES) -> list[tuple[bytes, int]]:
+    """About ``most`` labelled texts of each value of ``target`` outside the held-out fold, by a hash of the id, and no more
+    than have ``max_bytes`` together (one at least)."""
     own = labels.where(F.col(target).isin(0, 1) & (remainder(F.col("doc_id"), FOLDS) != HELD))
-    own = own.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).alias("y")).distinct()
+    own = own.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("y")).distinct()
     share = {r["y"]: r["n"] for r in own.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not share:
         return []
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    bound = F.coalesce(*(F.when(F.col("y") == y, F.lit(int((1 << 20) * most / n) + 1)) for y, n in share.items()))
-    # At most about 2 * most ids are left: a bounded broadcast.
-    drawn = F.broadcast(own.where(draw < bound))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(drawn, "doc_id")
-    rows = texts.select("doc_id", "text", "y").limit(4 * most).collect()
-    return [((r["text"] or "").encode(), r["y"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["y"], r["text"] or ""))]
+    # All 64 bits of the hash are drawn from, with a bound for each label: close to ``most`` ids of each at any size.
+    least, top = -(1 << 63), (1 << 63) - 1
+    bound = F.coalesce(*(F.when(F.col("y") == y, F.lit(min(top, least + (most << 64) // n))) for y, n in share.items()))
+    drawn = own.withColumn("draw", F.xxhash64("doc_id")).where(F.col("draw") <= bound)
+    # About 2 * most rows are left: a bounded broadcast.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(drawn), "doc_id")
+    size, tie = F.coalesce(F.octet_length("text"), F.lit(0)), F.xxhash64("text")
+    one = texts.groupBy("doc_id", "y", "draw").agg(F.min(F.struct(tie.alias("tie"), size.alias("size"))).alias("t"))
+    # Only ids and sizes come to the driver, before any text does.
+    chosen, held = [], 0
+    for r in sorted(one.select("doc_id", "y", "draw", "t.*").collect(), key=lambda r: (r["draw"], r["doc_id"], r["y"])):
+        held += r["size"]
+        if held > max_bytes and chosen:
+            break
+        chosen.append((r["doc_id"], r["y"], r["tie"]))
+    if not chosen:
+        return []
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, y int, tie long"))
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tie.alias("tie"), "text").join(wanted, ["doc_id", "tie"])
+    rows = found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
+    return [((r["text"] or "").encode(), r["y"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["y"]))]
 
 
 def scorer(w: Weights):

@@ -548,12 +548,28 @@ def test_languages_are_taught_by_whole_texts(spark):
     assert (got[1000], got[1001]) == ("en", "de")
 
 
+def test_trigrams_do_not_depend_on_slices(monkeypatch):
+    text = ("Ein Satz, 7x é " + prose(300, 3)).encode()
+    data = b" " + bytes(langid.CODES[np.frombuffer(text, np.uint8)]) + b" "
+    grams = collections.Counter(data[i : i + 3] for i in range(len(data) - 2) if data[i + 1] != 32)
+
+    def counted():
+        return collections.Counter(np.concatenate([*langid.trigrams(text)]).tolist())
+
+    whole = counted()
+    assert sum(whole.values()) == sum(grams.values()) and len(whole) > len(grams) * 0.9
+    for size in (1, 2, 3, 50):
+        monkeypatch.setattr(langid, "SLICE", size)
+        assert counted() == whole
+    assert [len(x) for x in langid.trigrams(b"")] in ([], [0])
+
+
 def test_languages_are_drawn_each_on_its_own(spark):
     ids = spark.range(300).where(langid.remainder(F.col("id"), langid.FOLDS) != langid.HELD)
     hot = ids.orderBy(F.xxhash64("id")).head().id
     often = spark.range(0, 5000, 1, 1).select(F.lit(hot).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
     few = ids.coalesce(1).select(F.col("id").alias("doc_id"), F.lit("ein text").alias("text"), F.lit("de").alias("lang"))
-    drawn = collections.Counter(code for _, code in langid.sample(often.unionByName(few)))
+    drawn = collections.Counter(langid.sample(often.unionByName(few))[1])
     assert drawn == {"en": 2 * langid.SAMPLE, "de": ids.count()}
 
 
@@ -571,6 +587,21 @@ def test_quality(spark, docs):
     assert quality_cnn.quality(docs, labels.where("quality > 5")).where("score <> 0.5").count() == 0
 
 
+def test_quality_sample_is_bounded_and_repeats(spark):
+    """One text an id, also where an id has most rows; ids by their hash, up to the bytes there may be."""
+    rows = [(1, f"copy {i}") for i in range(500)] + [(i, "t" * 100) for i in range(2, 200)] + [(7, "t" * 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 200)] + [(3, 0), (None, 1)], "doc_id long, quality int")
+    taught = {i for i in range(1, 200) if zlib.crc32(str(i).encode()) % 5}
+    found = quality_cnn.sample(docs, labels, "quality")
+    assert len(found) == len(taught) + (3 in taught) and found == quality_cnn.sample(docs.repartition(7), labels, "quality")
+    few = quality_cnn.sample(docs, labels, "quality", max_bytes=1000)
+    assert 1 <= len(few) <= 11 and set(few) <= set(found)
+    assert len(quality_cnn.sample(docs, labels, "quality", max_bytes=1)) == 1
+    drawn = quality_cnn.sample(docs, labels, "quality", most=20)
+    assert 15 < len(drawn) < 70 and set(drawn) <= set(found)
+
+
 def test_quality_reads_whole_texts(monkeypatch):
     """A text is scored alike in one batch and in small slices, and what stands at its end counts."""
     r = np.random.default_rng(1)
