@@ -327,13 +327,14 @@ def tiny_model(spark):
     rows = [(i, prose(90, 50 + i % 5) + (" once" if i % 3 else "")) for i in range(30)] + [(100, ""), (101, "a\x1cb  É é\n")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     texts, known, counts, total, _ = maxent_lm.prepared(docs)
-    return rows, maxent_lm.fit(known, counts, total), {r.h & (2**64 - 1): r.c for r in counts.collect()}
+    return rows, *maxent_lm.fit(known, counts, total), {r.h & (2**64 - 1): r.c for r in counts.collect()}
 
 
 def test_language_model_against_brute_force(spark, monkeypatch):
     """Counts by context, feature functions, softmaxes and shares once more in plain Python, over batches of any size."""
     monkeypatch.setattr(maxent_lm, "LEAST_ROWS", 1 << 10)
-    rows, model, known = tiny_model(spark)
+    rows, shared, weights, known = tiny_model(spark)
+    model = shared.value
 
     def split(text):
         return [word_hash(w) for w in re.sub(b"[A-Z]", lambda m: m[0].lower(), text.encode()).split()] + [0]
@@ -381,7 +382,7 @@ def test_language_model_against_brute_force(spark, monkeypatch):
             logits = [np.log(s) for s in shares]
             for kind in range(4):
                 counts = counted[softmax, kind, where[kind]] if kind < 3 else [past[v] for v in range(32)]
-                weight, smooth = model.weights[softmax, kind, int(np.log2(sum(counts) + 1))], float(maxent_lm.SMOOTH[kind])
+                weight, smooth = weights[softmax, kind, int(np.log2(sum(counts) + 1))], float(maxent_lm.SMOOTH[kind])
                 logits = [z + weight * np.log((c + smooth * s) / (sum(counts) + smooth) / s) for z, c, s in zip(logits, counts, shares)]
             chances = np.exp(np.array(logits) - max(logits))
             total += np.log10(chances[leaf % 32 if softmax else leaf // 32] / chances.sum())
@@ -395,7 +396,7 @@ def test_language_model_against_brute_force(spark, monkeypatch):
         import pyarrow as pa
 
         batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in tested], "held_out": [False] * len(tested), "text": [t for _, t in tested]})
-        (got,) = maxent_lm.score_batches(model)([batch])
+        (got,) = maxent_lm.score_batches(shared, weights)([batch])
         for (_, text), n, score in zip(tested, got["n_tokens"].to_pylist(), got["model"].to_pylist(), strict=True):
             tokens = split(text)
             assert n == len(tokens) and abs(score - sum(chance(tokens, j) for j in range(len(tokens)))) < 2e-3 * n
@@ -419,7 +420,8 @@ def test_tokens_of_slices():
 
 def test_language_model_is_a_distribution(spark):
     """Over all known words and an unknown one in each subclass, the probabilities after a context add up to one."""
-    _, model, known = tiny_model(spark)
+    _, shared, weights, known = tiny_model(spark)
+    model = shared.value
     model.prepare()
     words = sorted(known)
     places = {int(l) for l in maxent_lm.leaf_of(np.array(words, np.uint64))}
@@ -435,7 +437,7 @@ def test_language_model_is_a_distribution(spark):
         index = np.array([0, 1, 2, 3])
         t = maxent_lm.Tokens(np.array([words[5], words[9], words[5], h], np.uint64), index, np.array([4]))
         leaf = int(maxent_lm.leaf_of(np.array([h], np.uint64))[0])
-        total += 10 ** maxent_lm.token_scores(t, model)[-1] * (known.get(h, 0) + 1) / model.mass[leaf]
+        total += 10 ** maxent_lm.token_scores(t, model, weights)[-1] * (known.get(h, 0) + 1) / model.mass[leaf]
     assert abs(total - 1) < 1e-4
 
 
