@@ -1,11 +1,13 @@
 """Personal data by weak supervision, in DataFrame operations only.
 
-Regular expressions propose candidate spans: the four base kinds and looser forms of them.  Labelers vote on each
-candidate, +1, 0 or -1: its shape (checksums, number ranges), a gazetteer (domains, country codes, issuers), cue words in the
+Regular expressions propose candidate spans: the four base kinds and looser forms of each.  Labelers vote on each
+candidate, +1, 0 or -1: its shape (checksums, number ranges), a gazetteer that is given (domains, country codes, issuers), one that is
+learned (endings and leading digits that ``KNOWN_IN`` documents hold in trusted candidates), cue words in the
 context, and whether it stands alone.  Expectation-maximisation over the counts of vote patterns estimates how
 reliable each labeler is for each kind; a logistic span classifier is then trained on the patterns with their
-posterior probabilities, and scores every candidate.  Only counts by pattern reach the driver, at most some
-thousands whatever the corpus.  Base spans stay; other candidates join them if the classifier accepts them and they overlap none.
+posterior probabilities, with features of the span's text (length, marks, form) and the word before it, and scores every
+candidate.  Only counts by pattern reach the driver, whose number is bounded by the votes and buckets, not the corpus; the learned gazetteer
+stays a table.  Base spans stay; other candidates join them if their shape is right, the classifier accepts them and they overlap none.
 
 Offsets are in code points: a match starts after the pieces and matches before it, a running sum within its document.
 Patterns use possessive runs, so that long runs of one character are read once.
@@ -32,6 +34,10 @@ FAMILIES = [
     ("card", "card", r"[0-9](?:[\x20-]?[0-9])++", "0-9"),
     ("phone", "phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
     ("spelt_email", "email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+[ ]?(?:\[at\]|\(at\))[ ]?[A-Za-z0-9-]{1,63}[ ]?(?:\.|\[dot\]|\(dot\))[ ]?[A-Za-z]{2,24}", "[("),
+    ("spelt_ip", "ip", r"(?<![0-9.])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))[0-9]{1,3}+){3}(?![0-9])", "[("),
+    ("long_ip", "ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])", ":"),
+    ("marked_card", "card", r"(?<![0-9])[0-9]{4}([./_])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])", "0-9"),
+    ("short_card", "card", r"(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])", "0-9"),
     ("local_phone", "phone", r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", "0-9"),
 ]
 KINDS = ["email", "ip", "card", "phone"]
@@ -41,8 +47,10 @@ ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)"
 CUES = r"(?i)\b(?:e-?mail|mail|contact|reach|write|tel|phone|call|fax|mobile|cell|card|visa|credit|ip|host|server|address|tél|correo|teléfono|telefon|karte|carte|tarjeta)\b"
 ANTI = r"(?i)\b(?:version|release|isbn|order|invoice|total|page|chapter|section|article|figure|table)\b"
 AROUND = 24  # characters of context on either side
-VOTES = ["shape", "place", "cue", "alone"]
-BUCKETS = ["size", "marks"]
+VOTES = ["shape", "place", "known", "cue", "alone"]
+BUCKETS = ["size", "marks", "form", "word"]
+FORMS, WORDS = 8, 16  # hashed buckets of a span's form and of the word before it
+KNOWN_IN = 5  # documents that make an ending or leading digits known
 ACCEPT = 0.5
 ROUNDS = 40
 
@@ -94,19 +102,31 @@ DIGITS = "regexp_replace(match, '[^0-9]', '')"
 # The value rule of each base kind; also the shape labeler's rule for the looser forms.
 VALID = {
     "email": "true",
-    "ip": "forall(split(match, '[.]'), p -> p RLIKE '^0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$')",
-    "card": f"length({DIGITS}) BETWEEN 16 AND 19 AND {luhn(DIGITS)}",
+    "ip": "if(family = 'long_ip', match RLIKE '[A-Fa-f]', forall(split(match, '[^0-9]+'), p -> p RLIKE '^0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$'))",
+    "card": f"length({DIGITS}) BETWEEN if(family = 'short_card', 15, 16) AND 19 AND {luhn(DIGITS)}",
     "phone": f"length({DIGITS}) BETWEEN 8 AND 15",
 }
 
 
+# What the learned gazetteer holds: the ending of an address, the first number or digits of the others.
+LEAD = f"""CASE kind WHEN 'email' THEN lower(regexp_extract(match, '([A-Za-z]+)$', 1))
+    WHEN 'ip' THEN lower(regexp_extract(match, '^([0-9A-Fa-f]+)', 1)) ELSE left({DIGITS}, 3) END"""
+
+
+def known_leads(marked: DataFrame) -> DataFrame:
+    """(kind, lead) of what enough documents hold in candidates whose shape is right and whose context or gazetteer agrees."""
+    trusted = marked.where("shape = 1 AND (cue = 1 OR place = 1)").select("kind", "lead", "f", "r")
+    documents = trusted.groupBy("kind", "lead").agg(F.approx_count_distinct(F.xxhash64("f", "r"), 0.02).alias("n"))
+    return documents.where(F.col("n") >= KNOWN_IN).select("kind", "lead", F.lit(1).alias("known"))
+
+
 def labelled(spans: DataFrame) -> DataFrame:
     """Candidates with ``base`` (a base span), the labelers' votes and the classifier's buckets."""
     quoted = lambda words: ", ".join(f"'{w}'" for w in words)
     valid = "CASE kind " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in VALID.items()) + " END"
     place = f"""CASE kind
         WHEN 'email' THEN if(lower(regexp_extract(match, '([A-Za-z]+)$', 1)) IN ({quoted(DOMAINS)}), 1, -1)
-        WHEN 'ip' THEN if(match RLIKE '^(0|10|127|192[.]168|255)[.]', -1, 1)
+        WHEN 'ip' THEN if(match RLIKE '(?i)^(0|10|127|255)[^0-9a-f:]|^192[^0-9]+168[^0-9]|^(fe80|f[cd]..|0+):', -1, 1)
         WHEN 'card' THEN if({DIGITS} RLIKE '{ISSUERS}', 1, -1)
         ELSE if(family = 'local_phone', 0, if(exists(array({quoted(COUNTRIES)}), c -> startswith({DIGITS}, c)), 1, -1)) END"""
     cue = F.when(F.col("before").rlike(ANTI), -1).when(F.col("before").rlike(CUES) | F.coalesce(F.col("after"), F.lit("")).rlike(CUES), 1).otherwise(0)
@@ -116,7 +136,15 @@ def labelled(spans: DataFrame) -> DataFrame:
     marked = marked.withColumn("base", F.col("valid") & (F.col("family") == F.col("kind")))
     size = F.least(F.floor(F.length("match") / 4), F.lit(7)).cast("int")
     marks = F.least(F.length(F.regexp_replace("match", "[A-Za-z0-9]", "")), F.lit(5)).cast("int")
-    return marked.withColumn("size", size).withColumn("marks", marks).drop("before", "after", "valid", "match")
+    plain = F.regexp_replace(F.regexp_replace("match", "[0-9]+", "0"), "[A-Za-z]+", "a")
+    before = F.lower(F.regexp_extract("before", r"([\p{L}]+)[^\p{L}]*$", 1))
+    marked = marked.withColumns({
+        "size": size, "marks": marks, "form": F.pmod(F.crc32(plain.cast("binary")), F.lit(FORMS)).cast("int"),
+        "word": F.when(before != "", F.pmod(F.crc32(before.cast("binary")), F.lit(WORDS - 1)) + 1).otherwise(0).cast("int"), "lead": F.expr(LEAD),
+    })
+    marked = materialise(marked.drop("before", "after", "valid", "match"), "op5-labelled")
+    marked = marked.join(materialise(known_leads(marked), "op5-known"), ["kind", "lead"], "left")
+    return marked.withColumn("known", F.coalesce("known", F.lit(0))).drop("lead")
 
 
 def sigmoid(x: float) -> float:
@@ -154,18 +182,20 @@ def features(kind: str, votes: tuple[int, ...], buckets: tuple[int, ...]) -> lis
 
 def fit(patterns: list[tuple[str, tuple[int, ...], tuple[int, ...], int]], post: list[float]) -> dict[tuple, float]:
     """Weights of the logistic span classifier, by gradient descent on the patterns' soft labels."""
-    weight: dict[tuple, float] = {}
+    names: dict[tuple, int] = {}
+    rows = [[names.setdefault(x, len(names)) for x in features(kind, votes, buckets)] for kind, votes, buckets, _ in patterns]
     total = {kind: sum(p[3] for p in patterns if p[0] == kind) for kind in KINDS}
+    share = [n / total[kind] for kind, _, _, n in patterns]
+    weight = [0.0] * len(names)
     for step in range(200):
-        slope: dict[tuple, float] = {}
-        for (kind, votes, buckets, n), p in zip(patterns, post, strict=True):
-            own = features(kind, votes, buckets)
-            wrong = (p - sigmoid(sum(weight.get(x, 0.0) for x in own))) * n / total[kind]
+        slope = [0.0] * len(names)
+        for own, part, p in zip(rows, share, post, strict=True):
+            wrong = (p - sigmoid(sum([weight[x] for x in own]))) * part
             for x in own:
-                slope[x] = slope.get(x, 0.0) + wrong
-        for x, s in slope.items():
-            weight[x] = weight.get(x, 0.0) * 0.999 + 2.0 / (1 + step / 100) * s
-    return weight
+                slope[x] += wrong
+        rate = 2.0 / (1 + step / 100)
+        weight = [w * 0.999 + rate * g for w, g in zip(weight, slope, strict=True)]
+    return {name: weight[at] for name, at in names.items()}
 
 
 def score(weight: dict[tuple, float]) -> Column:
@@ -192,7 +222,7 @@ def classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     before = F.max(F.when(F.col("base"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     after = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
     clear = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("stop")) >= F.col("stop"))
-    kept = scored.withColumn("clear", clear).where(F.col("base") | (F.col("clear") & (F.col("probability") >= ACCEPT)))
+    kept = scored.withColumn("clear", clear).where(F.col("base") | (F.col("clear") & (F.col("shape") == 1) & (F.col("probability") >= ACCEPT)))
     return rows, kept.select("f", "r", "kind", "start", "stop", "base", "probability")
 
 
