@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -95,13 +95,13 @@ def open_loads(spark: SparkSession, path: str) -> list[Row]:
     return spark.read.schema(INTENT).option("recursiveFileLookup", "true").json(f"{path}/{OPEN}").collect()
 
 
-def _load_run(spark: SparkSession, path: str, load: Row) -> None:
+def _load_run(spark: SparkSession, path: str, load: Row, counts: Mapping[str, int] | None = None) -> None:
     staged = spark.read.parquet(f"{path}/{RUN}={load['run']}").withColumn(RUN, F.lit(load["run"]))
     schema = T.StructType.fromJson(json.loads(load["schema"])) if load["schema"] else None
     for route in ("valid", "invalid"):
         table, place = load[f"{route}_table"], load[f"{route}_place"]
         part = staged.filter(F.col(ROUTE) == route).drop(ROUTE)
-        if not part.isEmpty():
+        if counts[route] if counts is not None else not part.isEmpty():
             append_evolving(part, table, path=place, schema=schema, partition_by=[RUN])
         elif spark.catalog.tableExists(table):
             # What an earlier version of the run had here is gone too.
@@ -110,11 +110,12 @@ def _load_run(spark: SparkSession, path: str, load: Row) -> None:
 
 def append_routes(
     spark: SparkSession, path: str, run: str, valid_table: str, invalid_table: str, schema: T.StructType | None = None,
-    locations: tuple[str | None, str | None] = (None, None),
+    locations: tuple[str | None, str | None] = (None, None), counts: Mapping[str, int] | None = None,
 ) -> None:
     """Load the folders of one run of ``write_routes`` into their tables, partitioned by run.
 
-    ``schema`` gives the types of a new table's columns, as ``lake_schema`` has its timestamps.  Loading a run again replaces its
+    ``schema`` gives the types of a new table's columns, as ``lake_schema`` has its timestamps; ``counts``, as ``write_routes``
+    returned them, saves looking whether a route has rows.  Loading a run again replaces its
     partition, so a repeated load leaves each row once.  Both tables move together: the load is noted below ``path`` before
     the first is written and the note is taken away after the second; a load that was interrupted in between
     is finished, from its note, by the next one.
@@ -126,7 +127,7 @@ def append_routes(
     earlier = [load for load in open_loads(spark, path) if load["run"] != run]
     spark.createDataFrame([tuple(note.values())], INTENT).coalesce(1).write.mode("overwrite").json(f"{path}/{OPEN}/run={quote(run, safe='')}")
     for load in [*earlier, Row(**note)]:
-        _load_run(spark, path, load)
+        _load_run(spark, path, load, counts if load["run"] == run else None)
         files, place = file_system(spark, f"{path}/{OPEN}/run={quote(load['run'], safe='')}")
         files.delete(place, True)
 

@@ -852,8 +852,8 @@ def load_routes(spark, sf_dir):
         lines = render_fixed_width(rows.filter(F.col("COR_PRINC_STATE") == state), layout)
         records = map_to_cdm(parse_fixed_width(lines, layout), rules, company_metadata())
         routed = validate.with_route(records, rules.date_fields(), formats=rules.date_formats())
-        writers.write_routes(routed, staged, run)
-        writers.append_routes(spark, staged, run, *tables, schema=lake_schema(), locations=places)
+        counts = writers.write_routes(routed, staged, run)
+        writers.append_routes(spark, staged, run, *tables, schema=lake_schema(), locations=places, counts=counts)
     stamps = [f.name for f in lake_schema().fields if f.dataType.typeName() == "timestamp"]
     found = None
     for table, route in zip(tables, ("valid", "invalid"), strict=True):
