@@ -10,8 +10,14 @@ of its coordinates, and counts once its words' digests at source and target agre
 the whole is done again with wider ones.
 
 Words around a passage that many documents share have its minimizers too.  Minimizers that come again and again are
-therefore counted first; under the ``HOT`` most frequent ones each edge is keyed by its own 64-bit hash instead, which
-spreads them and keeps chance agreements away.  Which these are changes the cost only, never the result.
+therefore counted first; under the ``HOT`` most frequent ones (any other begins less than one in ``HOT`` of all runs) each edge is keyed by
+its own 64-bit hash instead, which spreads them and keeps chance agreements away.  Such an edge may be in every document, so its
+occurrences are dealt into ``PARTS`` by document: each part settles its own, and the parts' first ones meet in a second, small step.
+Which minimizers these are changes the cost only, never the result.
+
+Nodes of the graph (the twelve words two edges share) are not written out: an edge that repeats names its first occurrence, and
+two edges of a path follow each other at both coordinates, which is what a node that does not branch says.  A row for every
+edge and node through joins would be some six times the input on disk.
 
 A word goes if a window covers it whose words also start in a document with a smaller doc_id.
 
@@ -38,9 +44,10 @@ from regloom.session import materialise
 K = 13
 M = 5
 SLICE = 4 << 20  # bytes of text that are hashed together
-EDGES = "m long, doc long, at long, marks {}"
+EDGES = "m long, part int, doc long, at long, marks {}"
 RUNS = "doc long, at long, n long, src long, src_at long"
 HOT = 1 << 17  # minimizers whose edges are keyed one by one: a table of fixed size
+PARTS = 16  # that occurrences of an edge under those are dealt into
 OFTEN = 512  # runs of edges that make a minimizer frequent
 PIECE = 1 << 20  # words of a text that are hashed together
 
@@ -161,8 +168,9 @@ def repeated(seed: int):
 
 
 def edges(seed: int, wide: bool, hot: np.ndarray):
-    """Rows (m, doc, at, marks) of runs of windows that share a minimizer; ``at`` is the first window's position,
-    with a checksum of the text above.  A run settled within the slice has -1 - at, and its source and length as marks."""
+    """Rows (m, part, doc, at, marks) of runs of windows that share a minimizer; ``at`` is the first window's position,
+    with a checksum of the text above.  ``part`` is -1 but for edges under frequent minimizers.  A run settled within the slice has
+    -1 - at, and its source and length as marks."""
     kind = np.dtype("i8") if wide else np.dtype("i4")
 
     def of_slice(ids: np.ndarray, checks: np.ndarray, first: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
@@ -179,12 +187,13 @@ def edges(seed: int, wide: bool, hot: np.ndarray):
         # Of equal windows of one text the first stands for all; the text is searched for the others at the end.
         again = np.zeros(len(order), bool)
         again[order[1:]] = same & (owner[order][1:] == owner[order][:-1])
-        columns: list[list[np.ndarray]] = [[], [], [], []]
+        columns: list[list[np.ndarray]] = [[], [], [], [], []]
         lens = []
         i = np.flatnonzero(~settled & ~again)
         if len(i):
             key = least[i]
             begin = starts_of((np.diff(i) != 1) | (np.diff(owner[i]) != 0) | (key[1:] != key[:-1]))
+            part = np.full(len(i), -1, np.int32)
             if len(hot):
                 # Every edge under a frequent minimizer is a run of its own, under its own hash.
                 n = lengths_of(begin, len(i))
@@ -193,7 +202,8 @@ def edges(seed: int, wide: bool, hot: np.ndarray):
                 first_of[begin] = True
                 begin = np.flatnonzero(first_of | often)
                 key = np.where(often, marks[i], key)
-            for c, v in zip(columns, (key[begin].view(np.int64), doc[i[begin]], at[i[begin]], marks[i].view(np.int64).astype(kind)), strict=True):
+                part[often] = mixed(doc[i[often]].view(np.uint64), seed) % np.uint64(PARTS)
+            for c, v in zip(columns, (key[begin].view(np.int64), part[begin], doc[i[begin]], at[i[begin]], marks[i].view(np.int64).astype(kind)), strict=True):
                 c.append(v)
             lens.append(lengths_of(begin, len(i)))
         i = np.flatnonzero(settled & ~again)
@@ -205,15 +215,17 @@ def edges(seed: int, wide: bool, hot: np.ndarray):
             packed = np.stack([n, src & 0xFFFFFFFF, src >> 32, src_at & 0xFFFFFFFF, src_at >> 32], axis=1)
             packed = packed.astype(np.uint32).view(np.int32).astype(kind)
             # Settled runs need no meeting: any key will do.
-            for c, v in zip(columns, (marks[i[begin]].view(np.int64), doc[i[begin]], -1 - at[i[begin]], packed.reshape(-1)), strict=True):
+            none = np.full(len(begin), -1, np.int32)
+            for c, v in zip(columns, (marks[i[begin]].view(np.int64), none, doc[i[begin]], -1 - at[i[begin]], packed.reshape(-1)), strict=True):
                 c.append(v)
             lens.append(np.full(len(begin), 5))
         if not lens:
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3 + [pa.array([], pa.list_(pa.from_numpy_dtype(kind)))], ["m", "doc", "at", "marks"])
+            empty = [pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.from_numpy_dtype(kind)))]
+            return pa.RecordBatch.from_arrays(empty, ["m", "part", "doc", "at", "marks"])
         flat = [np.concatenate(c) for c in columns]
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(lens))]).astype(np.int32)
-        held = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[3]))
-        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in flat[:3]), held], ["m", "doc", "at", "marks"])
+        held = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat[4]))
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in flat[:4]), held], ["m", "part", "doc", "at", "marks"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches):
@@ -225,7 +237,10 @@ def edges(seed: int, wide: bool, hot: np.ndarray):
 
 
 def runs_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of edges sorted by m: runs (doc, at, n, src, src_at) of windows whose words first start in a smaller document."""
+    """Of edges sorted by m: runs (doc, at, n, src, src_at) of windows whose words first start in a smaller document.
+
+    Edges dealt into parts also give the first one of a part, which may have an earlier one in another: with n = 0, and m and the mark
+    as its source."""
 
     def out(columns: list[np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["doc", "at", "n", "src", "src_at"])
@@ -237,7 +252,7 @@ def runs_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out([rows["doc"].to_numpy(), -1 - rows["at"].to_numpy(), p[:, 0], src, p[:, 3] | p[:, 4] << 32])
 
     def matched(rows: pa.Table) -> pa.RecordBatch:
-        m, doc, at = (rows[c].to_numpy() for c in ("m", "doc", "at"))
+        m, part, doc, at = (rows[c].to_numpy() for c in ("m", "part", "doc", "at"))
         marks = rows["marks"].combine_chunks()
         n = marks.value_lengths().to_numpy().astype(np.int64)
         marks = marks.flatten().to_numpy().astype(np.int64).view(np.uint64)
@@ -249,12 +264,16 @@ def runs_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = starts_of(key[order][1:] != key[order][:-1])
         source = np.empty(len(order), np.int64)
         source[order] = np.repeat(order[head], lengths_of(head, len(order)))
+        firsts = order[head]
+        firsts = firsts[part[row[firsts]] >= 0]
+        waiting = [doc[firsts], at[firsts], np.zeros(len(firsts)), m[row[firsts]], marks.view(np.int64)[firsts]]
         i = np.flatnonzero(doc > doc[source])
         if not len(i):
-            return out([i] * 5)
+            return out(waiting)
         s = source[i]
         begin = starts_of((np.diff(i) != 1) | (np.diff(row[i]) != 0) | (np.diff(at[s]) != 1) | (np.diff(doc[s]) != 0))
-        return out([doc[i[begin]], at[i[begin]], lengths_of(begin, len(i)), doc[s[begin]], at[s[begin]]])
+        found = [doc[i[begin]], at[i[begin]], lengths_of(begin, len(i)), doc[s[begin]], at[s[begin]]]
+        return out([np.concatenate(c) for c in zip(found, waiting, strict=True)])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -281,7 +300,13 @@ def paths(docs: DataFrame, seed: int, wide: bool) -> DataFrame:
     often = texts.mapInArrow(repeated(seed), "m long, n long").groupBy("m").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
     hot = np.sort(often.orderBy(F.desc("n"), "m").limit(HOT).toArrow()["m"].to_numpy().view(np.uint64))
     found = texts.mapInArrow(edges(seed, wide, hot), EDGES.format("array<long>" if wide else "array<int>"))
-    runs = found.repartition("m").sortWithinPartitions("m").mapInArrow(runs_in, RUNS)
+    settled = materialise(found.repartition("m", "part").sortWithinPartitions("m").mapInArrow(runs_in, RUNS), "op4-runs")
+    # First ones of the parts, at most PARTS for an edge and partition.
+    kind = "array<long>" if wide else "array<int>"
+    waiting = settled.where("n = 0").select(
+        F.col("src").alias("m"), F.lit(-1).cast("int").alias("part"), "doc", "at", F.array("src_at").cast(kind).alias("marks")
+    )
+    runs = settled.where("n > 0").unionByName(waiting.repartition("m").sortWithinPartitions("m").mapInArrow(runs_in, RUNS))
     # A run goes on with the one that starts where it ends, here and at the source.
     ordered = Window.partitionBy("doc", "src", F.col("at") - F.col("src_at")).orderBy("at")
     before = F.max(F.col("at") + F.col("n")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
