@@ -36,6 +36,11 @@ def check_jurisdiction(code: str) -> str:
     return code
 
 
+def known_jurisdiction(code: Column) -> Column:
+    """Whether a column holds the code of a known jurisdiction, written as it is; false for null."""
+    return F.coalesce(code.isin(*JURISDICTIONS), F.lit(False))
+
+
 def _col(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 

@@ -269,6 +269,14 @@ ORACLE: dict[str, str] = {
     ),
     "csv_chunks": """WITH c AS (SELECT floor((row_number() OVER () - 1) / 100) AS file FROM customer),
         f AS (SELECT count(*) AS rows FROM c GROUP BY file) SELECT rows, count(*) AS files FROM f GROUP BY rows""",
+    "csv_chunk_rows": """WITH c AS (SELECT *, (row_number() OVER (ORDER BY c_custkey) - 1) // 100 AS file FROM customer)
+        SELECT concat('', c_custkey) AS c_custkey, c_name, count(*) OVER (PARTITION BY file) AS rows FROM c""",
+    "jurisdiction_check": """WITH f AS (SELECT concat('in/', c_custkey) AS path,
+            CASE c_nationkey % 5 WHEN 0 THEN 'us_fl' WHEN 1 THEN 'im' WHEN 2 THEN 'IM' WHEN 3 THEN '' END AS code FROM customer)
+        SELECT path, code, coalesce(code = 'us_fl' OR code = 'im', false) AS known FROM f""",
+    "date_fields": REG
+    + f"""SELECT 'us_fl' AS code, 'incorporation_date' AS field, count(*) FILTER ({FILE_DATE} <> '' AND {mdy_date()} IS NOT NULL) AS valid,
+        count(*) FILTER ({FILE_DATE} = '') AS without FROM reg UNION ALL SELECT 'im', 'incorporation_date', count(*), 0 FROM reg""",
     "fw_bad_bytes": """SELECT concat('e', event_id, ' ', event_type, CASE WHEN event_id % 3 = 0 THEN concat(chr(65533), 'é') ELSE '' END) AS value
         FROM events""",
     "file_names": f"""SELECT key, regexp_extract(key, '^(.*)/', 1) AS path, split_part(key, '/', -1) AS name FROM ({EVENT_FILE})

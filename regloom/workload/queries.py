@@ -306,6 +306,19 @@ def csv_chunks(spark, sf_dir):
     return read.groupBy("file").agg(F.count("*").alias("rows")).groupBy("rows").agg(F.count("*").alias("files"))
 
 
+@query
+def csv_chunk_rows(spark, sf_dir):
+    """Every row of a sink that cuts files of 100 rows, in order of the key, with the number of rows of its file."""
+    path = scratch_dir(spark, "chunk-rows")
+    rows = read_table(spark, sf_dir, "customer").selectExpr("concat('', c_custkey) AS c_custkey", "c_name", "c_custkey AS place")
+    chunked = row_ops.with_chunk_index(rows, 100, ["place"]).drop("place")
+    dealt = chunked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk_index").sortWithinPartitions("chunk_index")
+    writers.write_csv(dealt.drop("chunk_index"), path, max_rows=100)
+    read = readers.read_source(spark, path, "csv", path_column="file")
+    sizes = read.groupBy("file").agg(F.count("*").alias("rows"))
+    return read.join(sizes, "file").drop("file")
+
+
 @query
 def jsonl_scan(spark, sf_dir):
     path = scratch_dir(spark, "turns")
@@ -440,6 +453,15 @@ def rules_key(spark, sf_dir):
     )
 
 
+@query
+def jurisdiction_check(spark, sf_dir):
+    """Files whose jurisdiction is known, and those to be set aside."""
+    files = read_table(spark, sf_dir, "customer").selectExpr(
+        "concat('in/', c_custkey) AS path", "CASE c_nationkey % 5 WHEN 0 THEN 'us_fl' WHEN 1 THEN 'im' WHEN 2 THEN 'IM' WHEN 3 THEN '' END AS code"
+    )
+    return files.select("path", "code", keys.known_jurisdiction(F.col("code")).alias("known"))
+
+
 @query
 def target_key(spark, sf_dir):
     rows = read_table(spark, sf_dir, "orders").selectExpr(
@@ -822,6 +844,20 @@ def split_invalid(spark, sf_dir):
     return schema_ops.encode_json(invalid)
 
 
+@query
+def date_fields(spark, sf_dir):
+    """The date columns each rule set declares, with the number of rows whose dates hold there and of those without one."""
+    found = None
+    for code, records in (("us_fl", company_records(spark, sf_dir)), ("im", isle_of_man_records(spark, sf_dir))):
+        rules = rules_for(code)
+        for name in rules.date_fields():
+            strict, lax = (validate.is_date_valid(records, name, ok, formats=rules.date_formats()) for ok in (False, True))
+            part = records.select(F.lit(code).alias("code"), F.lit(name).alias("field"), strict.alias("strict"), lax.alias("lax"))
+            counted = part.groupBy("code", "field").agg(F.count_if("strict").alias("valid"), F.count_if(F.col("lax") & ~F.col("strict")).alias("without"))
+            found = counted if found is None else found.unionByName(counted)
+    return found
+
+
 @query
 def route_counts(spark, sf_dir):
     counts = validate.route_counts(routed_records(spark, sf_dir))
