@@ -3,7 +3,8 @@
 Texts are counted as hashed byte trigrams of their letters, lower-cased, each a share of the text's trigrams.  A softmax
 over families is fitted first; within each family a linear support vector machine is fitted for every pair of
 languages, and the language with most votes wins, then the one with the greater margin.  Fitting takes a bounded sample
-of labelled documents (about ``SAMPLE`` per language, by a hash of the id, and twice as many at most where ids come again);
+of labelled documents (about ``SAMPLE`` per language, fewer with more than ten languages, so that there are about ``SAMPLE_ROWS`` in all, by a
+hash of the id, and twice as many at most where ids come again);
 texts are counted whole, in slices, in the sample as in scoring, and only the sample's shares leave the tasks.
 
 Defined cases: null texts and texts without a letter are `und` with score 0; documents with a null language do not
@@ -26,6 +27,7 @@ from regloom.llm.common import remainder, utf8
 
 FOLDS, HELD = 4, 2
 SAMPLE = 600
+SAMPLE_ROWS = 6000  # of all languages together, 64 KB each on the driver
 BUCKETS = 1 << 14
 SLICE = 1 << 20
 # Families of common languages, by ISO 639-1 code.
@@ -147,6 +149,7 @@ def sample(docs: DataFrame, most: int = SAMPLE) -> tuple[np.ndarray, list[str]]:
     share = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not share:
         return np.zeros((0, BUCKETS), np.float32), []
+    most = max(1, min(most, SAMPLE_ROWS // len(share)))
     least, top = -(1 << 63), (1 << 63) - 1
     bound = F.coalesce(*(F.when(F.col("lang") == k, F.lit(min(top, least + (most << 64) // n))) for k, n in share.items()))
     drawn = own.withColumn("draw", F.xxhash64("doc_id")).where(F.col("draw") <= bound).withColumn("tie", F.xxhash64("text"))

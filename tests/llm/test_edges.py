@@ -633,6 +633,13 @@ def test_languages_are_drawn_each_on_its_own(spark):
     assert drawn == {"en": 2 * langid.SAMPLE, "de": ids.count()}
 
 
+def test_many_languages_share_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 200)
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.concat(F.lit("x"), F.col("id") % 40).alias("lang"))
+    x, langs = langid.sample(rows)
+    assert len(x) == len(langs) and len(set(langs)) == 40 and 100 < len(langs) < 320
+
+
 def test_quality(spark, docs):
     rows = [(i, prose(30, i) if i % 2 else prose(30, i).upper().replace(" ", "!! ")) for i in range(200)]
     frame = spark.createDataFrame([*rows, (500, None), (501, ""), (None, "x"), (3, "A!! B!!")], "doc_id long, text string").withColumn("y", F.lit("y"))
