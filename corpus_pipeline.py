@@ -1,4 +1,10 @@
-"""A corpus pipeline of five of the operators; each stage takes (spark, docs, sf_dir) and works on all it is given."""
+"""A corpus pipeline of five of the operators; each stage takes (spark, docs, sf_dir) and works on all it is given.
+
+Defined cases, from the operators' own: without labels of both kinds no document is rejected unless the share of label 1 is below the threshold; of
+equal texts the longest original stays, then the smallest id; of near copies the smallest id, null ids last; null, empty and blank
+texts are equal to each other, so one of them stays; a document without an id can be rejected, dropped or packed like any other; empty
+tables give empty results; other columns pass through to the last stage, which returns pieces.
+"""
 
 from __future__ import annotations
 
