@@ -226,7 +226,7 @@ def csv_multiline(spark, sf_dir):
 
 @query
 def csv_blocks(spark, sf_dir):
-    """One file with line breaks, quotes and separators in its cells, read by many tasks: each row, and whether there were."""
+    """One file with line breaks, quotes and separators in its cells, cut into blocks that many tasks read."""
     path = scratch_dir(spark, "one-file")
     lines = read_table(spark, sf_dir, "lineitem").selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS id",
@@ -235,9 +235,11 @@ def csv_blocks(spark, sf_dir):
         "concat('', l_suppkey) AS supplier",
     )
     writers.write_csv(lines.coalesce(1), path)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(32 << 10))
+    # Some fifty blocks, whatever the size of the file.
+    spark.conf.set(name, str(listed.agg(F.sum("length")).first()[0] // 50 + 1))
     try:
         read = readers.read_source(spark, path, "csv")
     finally:
