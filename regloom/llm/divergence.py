@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,8 @@ from regloom.llm.common import utf8
 from regloom.operators.rows import number_rows
 from regloom.session import materialise
 
-HELD = 200_000  # counts a task holds before it sends them on
+HELD = 400_000  # counts a task holds before it sends them on
+DOCUMENT = 1 << 40  # what a document adds to a term's number; its occurrences are below
 PIECE = 1 << 22  # bytes of a text that are counted at a time
 BITS = 64
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -60,16 +62,16 @@ def count_terms(docs: DataFrame) -> DataFrame:
     without a term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        held: dict[tuple[str, str], dict[bytes, int]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for (lang, source), terms in held.items():
                 names = [None, *(t.decode("utf-8", "replace") for t in terms)]
-                n, rows = len(names), terms.values()
+                n, numbers = len(names), np.array([0, *terms.values()], np.int64)
                 columns = [
                     pa.array([lang] * n), pa.array([source] * n), pa.array(names, pa.string()),
-                    pa.array([0, *(r[0] for r in rows)], pa.int64()), pa.array([0, *(r[1] for r in rows)], pa.int64()),
+                    pa.array(numbers % DOCUMENT), pa.array(numbers // DOCUMENT),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
             held.clear()
@@ -79,12 +81,7 @@ def count_terms(docs: DataFrame) -> DataFrame:
                 known = held.setdefault((lang, source), {})
                 before = len(known)
                 for term, n in terms_of(text).items():
-                    row = known.get(term)
-                    if row is None:
-                        known[term] = [n, 1]
-                    else:
-                        row[0] += n
-                        row[1] += 1
+                    known[term] = known.get(term, 0) + n + DOCUMENT
                 size += len(known) - before + 1
                 if size >= HELD:
                     yield from flush()
