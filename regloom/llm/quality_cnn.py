@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from regloom.llm.common import remainder, utf8
+from regloom.session import materialise
 
 FOLDS, HELD = 5, 0
 THRESHOLD = 0.3
@@ -174,22 +175,21 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, most: int = SAMPLE,
     least, top = -(1 << 63), (1 << 63) - 1
     bound = F.coalesce(*(F.when(F.col("y") == y, F.lit(min(top, least + (most << 64) // n))) for y, n in share.items()))
     drawn = own.withColumn("draw", F.xxhash64("doc_id")).where(F.col("draw") <= bound)
-    # About 2 * most rows are left: a bounded broadcast.
+    # About 2 * most ids are left: a bounded broadcast.  Their texts are written, one an id, in one pass over the documents.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(drawn), "doc_id")
-    size, tie = F.coalesce(F.octet_length("text"), F.lit(0)), F.xxhash64("text")
-    one = texts.groupBy("doc_id", "y", "draw").agg(F.min(F.struct(tie.alias("tie"), size.alias("size"))).alias("t"))
-    # Only ids and sizes come to the driver, before any text does.
-    chosen, held = [], 0
-    for r in sorted(one.select("doc_id", "y", "draw", "t.*").collect(), key=lambda r: (r["draw"], r["doc_id"], r["y"])):
+    one = texts.groupBy("doc_id", "y", "draw").agg(F.min(F.struct(F.xxhash64("text").alias("tie"), "text")).alias("t"))
+    found = materialise(one.select("doc_id", "y", "draw", "t.text", F.coalesce(F.octet_length("t.text"), F.lit(0)).alias("size")), "quality-sample")
+    # Only ids and sizes come to the driver before any text does.
+    chosen, held = set(), 0
+    for r in sorted(found.select("draw", "doc_id", "y", "size").collect()):
         held += r["size"]
         if held > max_bytes and chosen:
             break
-        chosen.append((r["doc_id"], r["y"], r["tie"]))
+        chosen.add((r["doc_id"], r["y"]))
     if not chosen:
         return []
-    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, y int, tie long"))
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tie.alias("tie"), "text").join(wanted, ["doc_id", "tie"])
-    rows = found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
+    ids = F.broadcast(docs.sparkSession.createDataFrame(sorted(chosen), "doc_id long, y int"))
+    rows = found.join(ids, ["doc_id", "y"]).select("doc_id", "y", "text").collect()
     return [((r["text"] or "").encode(), r["y"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["y"]))]
 
 
