@@ -76,7 +76,7 @@ def test_simhash_over_the_table(spark, duck):
 def test_language_model_beats_word_counts(spark):
     rows = QUERIES["op7_lm"](spark, SF).collect()
     held = [r for r in rows if r.held_out]
-    assert held and sum(r.score for r in held) > sum(r.base_score for r in held) * 0.91
+    assert held and sum(r.score for r in held) > sum(r.base_score for r in held) * 0.9
 
 
 def test_language_held_out(spark, duck):
