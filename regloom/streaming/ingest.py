@@ -79,8 +79,8 @@ def without_redelivered(stream: DataFrame, key: str = "hash", within: str = "30
     are left out.
 
     The state keeps a key for ``within`` after it arrived, by the clock of the micro-batch, so no row is ever too late, and the state
-    is bounded by what arrives in that time.  A row without a key is told by all its columns.  (The sources this
-    engine follows keep re-delivered rows; this is an addition to them.)
+    is bounded by what arrives in that time.  A row without a key is told by all its columns.  This is an addition:
+    a stream keeps re-delivered rows unless it is asked.
     """
     told = F.coalesce(F.col(key).cast("string"), F.sha2(F.to_json(F.struct("*")), 256))
     stamped = stream.withColumns({"__key": told, ARRIVED: F.current_timestamp()}).withWatermark(ARRIVED, within)
