@@ -9,8 +9,8 @@ and the words of the text up to the last multiple of ``SPAN`` (skips of any leng
 smoothed share after that feature to its share overall.  The n-gram and skip features are hashed into rows of counts, one table for each of
 them and either softmax (``rows_for``: rows grow with the counted tokens, up to ``MOST_ROWS``); the subclass's rows are hashed with the class.
 The maximum-entropy weights, one for each feature and for each power of two of the counts behind it, are trained by distributed
-gradient updates: in each round every task descends over its share of that round's documents, whose own counts are taken out of the rows, and the
-weights move by the tasks' mean change, weighted by their tokens.
+gradient updates over all training documents: every task descends over its share of them, each token's own count taken out of the rows, and
+the weights move by the tasks' mean change, weighted by their tokens.
 
 Counts cover all training documents.  Word counts grow with the corpus: the most frequent words go to every task, ``HEAD`` at most, all
 others are counted and looked up through shuffles.  Tables are summed by blocks of rows, in two steps, and sent to tasks with a byte a
@@ -40,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm.common import remainder, slices
+from regloom.llm.common import raw, remainder, slices
 from regloom.session import materialise
 
 FOLDS, HELD = 7, 2
@@ -54,11 +54,10 @@ LEAST_ROWS, MOST_ROWS = 1 << 10, 1 << 17  # of a table, powers of two
 LEVELS = 24  # powers of two of a row's count
 SMOOTH = np.array([4, 4, 4, 8], np.float32)  # counts that the overall shares weigh in a row
 START_WEIGHT = 0.4
-ROUNDS, PARTS = 2, 8  # rounds of training, each over one of so many parts of the training documents
-SLICE = 1 << 19  # bytes of text handled together
+SLICE = 1 << 21  # bytes of text handled together
 COUNTED = 8 << 20  # bytes of text whose words are counted together
 SPAN = 128  # tokens of a text that see the same text so far: what came before the first of them
-CHUNK = 64  # spans in a batch, and in a gradient update
+CHUNK = 32  # spans in a batch, and in a gradient update
 SEED = 7
 RATE = 0.3
 BLOCK = 1024  # rows of a table that travel together
@@ -88,11 +87,13 @@ def encode(texts: pa.Array) -> Tokens:
     kept = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
     words = np.diff(kept[offsets])
     found = flat.filter(filled).dictionary_encode()
-    distinct = found.dictionary.cast(pa.binary()).to_pylist()
-    hashes = np.zeros(len(distinct) + 1, np.uint64)
-    hashes[:-1] = np.fromiter(map(xxhash.xxh64_intdigest, distinct, repeat(SEED)), np.uint64, len(distinct))
+    ends, data = raw(found.dictionary)
+    each = map(data.tobytes().__getitem__, map(slice, ends[:-1].tolist(), ends[1:].tolist()))
+    distinct = len(found.dictionary)
+    hashes = np.zeros(distinct + 1, np.uint64)
+    hashes[:-1] = np.fromiter(map(xxhash.xxh64_intdigest, each, repeat(SEED)), np.uint64, distinct)
     hashes[:-1][hashes[:-1] == 0] = 1
-    index = np.full(int(words.sum()) + len(words), len(distinct), np.int64)
+    index = np.full(int(words.sum()) + len(words), distinct, np.int64)
     index[np.arange(int(words.sum())) + np.repeat(np.arange(len(words)), words)] = found.indices.to_numpy()
     return Tokens(hashes, index, words + 1)
 
@@ -119,14 +120,19 @@ def rows_for(tokens: int) -> int:
     return min(MOST_ROWS, max(LEAST_ROWS, 1 << max(0, (int(tokens) // 2).bit_length() - 1)))
 
 
-def contexts(t: Tokens) -> np.ndarray:
-    """A hash of what each of the n-gram features is at each token; before a text there are end tokens."""
+def words_before(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the previous word and of the one before it, at each token; before a text there are end tokens."""
     h = t.hashes[t.index]
     start = np.cumsum(t.n) - t.n
     one = np.concatenate([[np.uint64(0)], h[:-1]])
     one[start] = 0
     two = np.concatenate([[np.uint64(0)], one[:-1]])
     two[start] = 0
+    return one, two
+
+
+def contexts(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """A hash of what each of the n-gram features is at each token."""
     first = mixed(one + np.uint64(1))
     return np.stack([first, mixed(first ^ (two * _C3)), mixed(two + np.uint64(0x51ED270B))])
 
@@ -191,12 +197,13 @@ def count_rows(rows: int):
         table = np.zeros(TABLES * rows * CLASSES, np.int32)
         for batch in batches:
             for _, _, t in encoded(batch):
-                leaf = leaf_of(t.hashes)[t.index]
-                at = table_rows(contexts(t), leaf, rows) * CLASSES
-                at[:NGRAMS] += leaf // CLASSES
-                at[NGRAMS:] += leaf % CLASSES
-                for part in at:
-                    np.add.at(table, part, np.int32(1))
+                every, before = leaf_of(t.hashes)[t.index], words_before(t)
+                for i in range(0, len(every), CHUNK * SPAN):
+                    leaf, (one, two) = every[i : i + CHUNK * SPAN], (x[i : i + CHUNK * SPAN] for x in before)
+                    at = table_rows(contexts(one, two), leaf, rows) * CLASSES
+                    at[:NGRAMS] += leaf // CLASSES
+                    at[NGRAMS:] += leaf % CLASSES
+                    np.add.at(table, at.reshape(-1), np.int32(1))
         salt = TaskContext.get().partitionId() % SALTS
         size = BLOCK * CLASSES
         used = [b for b in range(len(table) // size) if table[b * size : (b + 1) * size].any()]
@@ -257,23 +264,31 @@ class Model:
     scale: np.ndarray
     total: np.ndarray
     logs: np.ndarray | None = None
-
-    def prepare(self) -> None:
-        """Log shares of the leaves, and the feature function of every cell in place of its count.  Made once by each worker:
-        only counts travel."""
-        if self.logs is not None:
-            return
+    weights: np.ndarray | None = None  # those that ``logs`` have been multiplied by
+
+    def prepare(self, weights: np.ndarray | None = None) -> None:
+        """Log shares of the leaves, and the feature function of every cell, times its weight if weights are given.  Made once
+        by each worker: only counts travel."""
+        if self.logs is None or (self.weights is not None and (weights is None or not np.array_equal(self.weights, weights))):
+            self._find_logs()
+        if weights is not None and self.weights is None:
+            for at in range(0, len(self.logs), BLOCK):
+                here, table = slice(at, at + BLOCK), at // self.rows
+                self.logs[here] *= weights[table // NGRAMS, table % NGRAMS].astype(np.float32)[self.level[here]][:, None]
+            self.weights = weights.copy()
+
+    def _find_logs(self) -> None:
         mass = self.mass.reshape(CLASSES, CLASSES).astype(np.float64)
         each = mass.sum(axis=1)
         self.shares = [(each / each.sum()).astype(np.float32)[None, :], (mass / each[:, None]).astype(np.float32)]
         self.log_shares = [np.log(s) for s in self.shares]
-        logs = np.empty(self.cells.shape, np.float32)
+        logs = np.empty(self.cells.shape, np.float32) if self.logs is None else self.logs
         for at in range(0, len(self.cells), BLOCK):
             here, table = slice(at, at + BLOCK), at // self.rows
             share = self.shares[0] if table < NGRAMS else self.shares[1][np.arange(at, at + BLOCK) % self.rows // (self.rows // CLASSES)]
             logs[here] = log_ratio(self.cells[here] * self.scale[here][:, None], share, self.total[here][:, None], table % NGRAMS)
         self.level = level_of(self.total)
-        self.logs, self.cells = logs, None
+        self.logs, self.weights = logs, None
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Counts of words, zero where they are not in the head."""
@@ -317,7 +332,7 @@ class Batch:
 
 def batches_in(t: Tokens, model: Model) -> Iterator[Batch]:
     leaf = leaf_of(t.hashes)[t.index]
-    rows = table_rows(contexts(t), leaf, model.rows)
+    one, two = words_before(t)
     spans = -(-t.n // SPAN)
     of = np.repeat(np.arange(len(t.n)), spans)  # text of each span
     place = np.arange(len(of)) - np.repeat(np.cumsum(spans) - spans, spans)
@@ -333,42 +348,34 @@ def batches_in(t: Tokens, model: Model) -> Iterator[Batch]:
             (log_ratio(top, model.shares[0], top.sum(axis=1)[:, None], NGRAMS), top.sum(axis=1)),
             (log_ratio(low, model.shares[1], top[:, :, None], NGRAMS).reshape(-1, CLASSES), top.reshape(-1)),
         ]
-        yield Batch(part, leaf[part], rows[:, part], so_far, [span, span * CLASSES + leaf[part] // CLASSES])
+        rows = table_rows(contexts(one[part], two[part]), leaf[part], model.rows)
+        yield Batch(part, leaf[part], rows, so_far, [span, span * CLASSES + leaf[part] // CLASSES])
 
 
 def level_of(total: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(total + 1).astype(np.int8), LEVELS - 1)
 
 
-def functions(model: Model, softmax: int, b: Batch, own: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Feature functions of all kinds for all values, and the level of each kind's count.
+def row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
 
-    ``own`` takes the token itself out of its rows, as it has to be where the rows have counted it.  What that changes in
-    all values alike is left out: it changes no probability.
-    """
-    found, levels = [], []
-    for kind in range(NGRAMS):
-        at = b.rows[softmax * NGRAMS + kind]
-        x, level = np.take(model.logs, at, axis=0), model.level[at]
-        if own:
-            top, here = b.leaf // CLASSES, np.arange(len(at))
-            value = b.leaf % CLASSES if softmax else top
-            share, total = model.shares[1][top, value] if softmax else model.shares[0][0, value], model.total[at]
-            counted = (np.exp(x[here, value]) * (total + SMOOTH[kind]) - SMOOTH[kind]) * share
-            x[here, value] = log_ratio(np.maximum(np.rint(counted) - 1, 0), share, total, kind)
-            level = level_of(np.maximum(total - 1, 0))
-        found.append(x)
-        levels.append(level)
-    (x, total), which = b.so_far[softmax], b.which[softmax]
-    return [*found, np.take(x, which, axis=0)], [*levels, level_of(total)[which]]
-
-
-def logits(model: Model, softmax: int, leaf: np.ndarray, found: list[np.ndarray], levels: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
-    """Unscaled log probabilities of all values; their size needs no guard, as functions and weights are bounded."""
-    z = np.take(model.log_shares[1], leaf // CLASSES, axis=0) if softmax else np.repeat(model.log_shares[0], len(leaf), axis=0)
-    for x, level, w in zip(found, levels, weights.astype(np.float32), strict=True):
-        z += x * w[level][:, None]
-    return z
+
+def from_text(model: Model, softmax: int, b: Batch, weights: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """What a token's class and the text so far add to its unscaled log probabilities.  Both are found for spans, then dealt to tokens."""
+    x, total = b.so_far[softmax]
+    x = x * np.take(weights.astype(np.float32), level_of(total))[:, None]
+    x = (x.reshape(-1, *model.log_shares[softmax].shape) + model.log_shares[softmax]).reshape(-1, CLASSES)
+    return np.take(x, b.which[softmax], axis=0, out=out, mode="clip")
+
+
+class Room:
+    """Arrays of a batch's size that are used over and over."""
+
+    def __init__(self, arrays: int):
+        self.held = np.empty((arrays, CHUNK * SPAN, CLASSES), np.float32)
+
+    def of(self, n: int) -> list[np.ndarray]:
+        return [x[:n] for x in self.held]
 
 
 # --- training ---
@@ -376,24 +383,49 @@ def logits(model: Model, softmax: int, leaf: np.ndarray, found: list[np.ndarray]
 CHANGE = "seen long, change binary"
 
 
+def slopes(model: Model, softmax: int, b: Batch, weights: np.ndarray, room: Room) -> Iterator[np.ndarray]:
+    """For each kind the slope of the loss by its weights, a level each.
+
+    The token itself is taken out of its rows, which have counted it.  What that changes in all values alike is left out: it
+    changes no probability.
+    """
+    n = len(b.leaf)
+    *found, z, x = room.of(n)
+    value = b.leaf % CLASSES if softmax else b.leaf // CLASSES
+    at = np.arange(n) * CLASSES + value
+    share = np.take(model.shares[softmax], b.leaf if softmax else value)
+    from_text(model, softmax, b, weights[NGRAMS], z)
+    totals = np.take(model.total, b.rows[softmax * NGRAMS : (softmax + 1) * NGRAMS])
+    levels, own = level_of(np.maximum(totals - 1, 0)), []
+    for kind, (f, total, level) in enumerate(zip(found, totals, levels, strict=True)):
+        np.take(model.logs, b.rows[softmax * NGRAMS + kind], axis=0, out=f, mode="clip")
+        smooth = SMOOTH[kind]
+        counted = (np.exp(np.take(f, at)) * (total + smooth) - smooth) * share
+        own.append(log_ratio(np.maximum(np.rint(counted) - 1, 0), share, total, kind))
+        np.put(f, at, own[-1])
+        z += np.multiply(f, np.take(weights[kind].astype(np.float32), level)[:, None], out=x)
+    # Unscaled; their size needs no guard, as functions and weights are bounded.
+    chance = np.exp(z, out=z)
+    scale = 1 / row_sums(chance)
+    text, total = b.so_far[softmax]
+    np.take(text, b.which[softmax], axis=0, out=x, mode="clip")
+    own.append(np.take(x, at))
+    for f, right, level in zip([*found, x], own, [*levels, np.take(level_of(total), b.which[softmax])], strict=True):
+        yield np.bincount(level, row_sums(np.multiply(f, chance, out=f)) * scale - right, LEVELS)
+
+
 def train_share(shared: Broadcast, weights: np.ndarray):
     """Each task's change of the weights times its tokens, and the tokens, as one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         model.prepare()
-        own, square, seen = weights.copy(), np.ones_like(weights), 0
+        own, square, seen, room = weights.copy(), np.ones_like(weights), 0, Room(NGRAMS + 2)
         for batch in batches:
             for _, _, t in encoded(batch):
                 for b in batches_in(t, model):
                     for softmax in (0, 1):
-                        found, levels = functions(model, softmax, b, own=True)
-                        value = b.leaf % CLASSES if softmax else b.leaf // CLASSES
-                        chance = np.exp(logits(model, softmax, b.leaf, found, levels, own[softmax]))
-                        chance /= chance.sum(axis=1, keepdims=True)
-                        for kind, (x, level) in enumerate(zip(found, levels, strict=True)):
-                            wrong = np.einsum("ij,ij->i", chance, x) - x[np.arange(len(value)), value]
-                            slope = np.bincount(level, wrong, LEVELS)
+                        for kind, slope in enumerate(list(slopes(model, softmax, b, own[softmax], room))):
                             square[softmax, kind] += slope * slope
                             own[softmax, kind] -= RATE * slope / np.sqrt(square[softmax, kind])
                     seen += len(b.leaf)
@@ -448,12 +480,10 @@ def fit(known: DataFrame, counts: DataFrame, tokens: int) -> tuple[Broadcast, np
         scale[here], total[here] = np.frombuffer(row["scale"], "<f4"), np.frombuffer(row["total"], "<f4")
     shared = known.sparkSession.sparkContext.broadcast(Model(*head_of(counts), mass, rows, cells, scale, total))
     weights = np.full((2, KINDS, LEVELS), START_WEIGHT)
-    for i in range(ROUNDS):
-        share = known.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)) == i).select("text")
-        changes = share.mapInArrow(train_share(shared, weights), CHANGE)
-        # A number for each weight: added up by some tasks, then by one.
-        for row in changes.repartition(SALTS).mapInArrow(add_changes, CHANGE).repartition(1).mapInArrow(add_changes, CHANGE).collect():
-            weights = weights + np.frombuffer(row["change"]).reshape(weights.shape) / row["seen"]
+    changes = known.select("text").mapInArrow(train_share(shared, weights), CHANGE)
+    # A number for each weight: added up by some tasks, then by one.
+    for row in changes.repartition(SALTS).mapInArrow(add_changes, CHANGE).repartition(1).mapInArrow(add_changes, CHANGE).collect():
+        weights = weights + np.frombuffer(row["change"]).reshape(weights.shape) / row["seen"]
     return shared, weights
 
 
@@ -465,12 +495,16 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, known long, logs double,
 
 def token_scores(t: Tokens, model: Model, weights: np.ndarray) -> np.ndarray:
     """Log10 of the probability of each token's class and subclass."""
-    out = np.zeros(len(t.index))
+    model.prepare(weights)
+    out, room = np.zeros(len(t.index)), Room(2)
     for b in batches_in(t, model):
+        z, x = room.of(len(b.leaf))
         for softmax in (0, 1):
-            value = b.leaf % CLASSES if softmax else b.leaf // CLASSES
-            z = logits(model, softmax, b.leaf, *functions(model, softmax, b, own=False), weights[softmax])
-            out[b.part] += z[np.arange(len(value)), value] - np.log(np.exp(z).sum(axis=1))
+            from_text(model, softmax, b, weights[softmax, NGRAMS], z)
+            for at in b.rows[softmax * NGRAMS : (softmax + 1) * NGRAMS]:
+                z += np.take(model.logs, at, axis=0, out=x, mode="clip")
+            own = np.take(z, np.arange(len(z)) * CLASSES + (b.leaf % CLASSES if softmax else b.leaf // CLASSES))
+            out[b.part] += own - np.log(row_sums(np.exp(z, out=z)))
     return out * LOG10
 
 
@@ -479,7 +513,7 @@ def score_batches(shared: Broadcast, weights: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        model.prepare()
+        model.prepare(weights)
         inner = np.log10(model.mass.astype(np.float64))
         for batch in batches:
             ids, held = batch["doc_id"], batch["held_out"]

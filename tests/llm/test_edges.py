@@ -462,6 +462,55 @@ def test_language_model_against_brute_force(spark, monkeypatch):
     assert docs.count() == len(rows)
 
 
+def test_language_model_learns_from_every_document(spark):
+    """The weights move for documents of any hash, not only for those of some part of the training documents."""
+    rows = [(i, prose(90, 50 + i % 5)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").where("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7 <> 2")
+    for part in range(8):
+        some = docs.where(f"pmod(xxhash64(doc_id, text), 8) = {part}")
+        assert some.count() > 5
+        _, known, counts, total, _ = maxent_lm.prepared(some)
+        _, weights = maxent_lm.fit(known, counts, total)
+        assert np.abs(weights - maxent_lm.START_WEIGHT).max() > 0.01
+
+
+def test_slopes_are_those_of_the_loss(spark):
+    """Against differences of the loss, each token's own count taken out of its rows; also where the model has scored before."""
+    import pyarrow as pa
+
+    rows, shared, weights, _ = tiny_model(spark)
+    model = shared.value
+    t = maxent_lm.encode(pa.array([text for i, text in rows if zlib.crc32(str(i).encode()) % 7 != 2][:9]))
+    before = maxent_lm.token_scores(t, model, weights)
+    model.prepare()
+    (b,) = maxent_lm.batches_in(t, model)
+    leaf, here = b.leaf, np.arange(len(b.leaf))
+
+    def loss(softmax, w):
+        value, top = (leaf % 32 if softmax else leaf // 32), leaf // 32
+        share = model.shares[1][top] if softmax else np.repeat(model.shares[0], len(leaf), axis=0)
+        z = np.log(share).astype(float)
+        for kind in range(3):
+            rows = b.rows[softmax * 3 + kind]
+            counts = np.rint(model.cells[rows] * model.scale[rows][:, None]).astype(float)
+            counts[here, value] -= 1
+            total, smooth = model.total[rows], float(maxent_lm.SMOOTH[kind])
+            level = np.minimum(np.log2(total).astype(int), maxent_lm.LEVELS - 1)
+            z += w[kind][level][:, None] * np.log((counts / share + smooth) / (total[:, None] + smooth))
+        x, total = b.so_far[softmax]
+        z += w[3][np.minimum(np.log2(total + 1).astype(int), maxent_lm.LEVELS - 1)][b.which[softmax]][:, None] * x[b.which[softmax]]
+        return -(z[here, value] - np.log(np.exp(z).sum(axis=1))).sum()
+
+    for softmax in (0, 1):
+        got = np.stack(list(maxent_lm.slopes(model, softmax, b, weights[softmax], maxent_lm.Room(maxent_lm.NGRAMS + 2))))
+        for kind, level in [(0, 0), (0, 3), (1, 2), (2, 4), (3, 0)]:
+            up, down = weights[softmax].copy(), weights[softmax].copy()
+            up[kind, level] += 1e-4
+            down[kind, level] -= 1e-4
+            assert abs(got[kind, level] - (loss(softmax, up) - loss(softmax, down)) / 2e-4) < 1e-2
+    assert np.array_equal(maxent_lm.token_scores(t, model, weights), before)
+
+
 def test_tokens_of_slices():
     """Texts in a batch that is cut into slices, with nulls, blanks at either end and characters of several bytes."""
     import pyarrow as pa
