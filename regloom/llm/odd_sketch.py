@@ -12,9 +12,9 @@ with probability 1e-9, and the sizes of its sets allow the similarity.  What pas
 Texts with equal sets are one node.  A band's bucket may hold a third of all nodes, so no bucket is ever compared whole by one
 task, nor are its pairs sent on.  A bucket is cut by hash into blocks, by the number of its nodes and the size of their sets:
 
-1. In each block, every node proposes the ``NEAREST`` nodes by their sketches (small buckets all their pairs).  These pairs meet the full
+1. In each block, every node proposes the ``NEAREST`` nodes by their sketches (small buckets all pairs of a block).  These pairs meet the full
    sets, and confirmed links are contracted to components.
-2. Buckets that still hold more than one component go on.  Every pair of different components has an end outside the bucket's largest
+2. Buckets of several blocks, or not small, that still hold more than one component go on.  Every pair of different components has an end outside the bucket's largest
    one; those ends, few where copies are many, meet each block of the bucket.  There sets travel with their nodes: pairs that pass the
    sketches are confirmed where they are, once a pair, and a task sends on only links that span its components.
 
@@ -354,7 +354,8 @@ def linked(nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     roots = components(links, "near-roots")
 
     # Largest component of each bucket, by counts a component that are aggregated before they are shuffled.
-    rooted = buckets.where(F.col("size") > FIRST).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Small buckets of long texts are cut into blocks too, and only within one all pairs were proposed.
+    rooted = buckets.where((F.col("size") > FIRST) | (F.col("blocks") > 1)).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = materialise(rooted, "rooted")
     counts = rooted.groupBy("key", "root").agg(F.count("*").alias("k"))
     main = counts.groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.sum("k").alias("all"), F.max("k").alias("k"))

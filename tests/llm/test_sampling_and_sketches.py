@@ -176,6 +176,17 @@ def test_every_pair_is_tested_if_nothing_is_proposed(spark, monkeypatch):
     assert bag(got) == bag(near_groups(rows, 85))
 
 
+def test_small_buckets_of_long_texts_lose_no_link(spark, monkeypatch):
+    """Texts so long that two of them fill more than a block."""
+    monkeypatch.setattr(odd_sketch, "BLOCK_BYTES", 1 << 10)
+    rows = []
+    for seed in range(30):
+        words = np.random.default_rng(seed).choice(VOCAB, 200)
+        rows += [(seed * 10 + copy, " ".join(words) + f" end{copy}" * (copy + 1)) for copy in range(2 + seed % 2)]
+    got = odd_sketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert bag(got) == bag(near_groups(rows, 85))
+
+
 def test_sketches_estimate_high_similarities():
     rng = np.random.default_rng(7)
     most = odd_sketch.most_odd(85)
