@@ -5,10 +5,11 @@ start, in one task.  Here the text reader cuts files into blocks as it does with
 assumptions: that its first line starts outside a cell, and that it starts inside one.  A line turns either state into a state, so a
 block as a whole is a map from two states to two states.  Maps are composed along each file (a window over one row a
 block), which tells the state every block really starts in and where the record it may start within began.  Lines that are
-whole records, nearly all, stay where they are; only the lines of records with breaks are brought together.
+whole records stay where they are, and the lines of a record with breaks are joined where they follow each other; only records
+that go on in another block, or batch of lines, are brought together by a shuffle: two a batch at most.
 
 The cells of a record are told apart by Spark's own parser.  Files are scanned once: the blocks with both readings are written to the
-scratch folder, and the first records, which name the columns, are taken from there.
+scratch folder, as are the joined records, and the first records, which name the columns, are taken from there.
 
 Cells are quoted as by most tools: a cell that starts with a quote ends at the next quote that is not doubled.  A quote
 elsewhere is text.  Lines end with a line feed, or carriage return and line feed.
@@ -109,23 +110,44 @@ def block_states(marked: DataFrame) -> DataFrame:
     return known.select("path", "block", "inside", F.last(started, ignorenulls=True).over(earlier).alias("carried"))
 
 
+JOINED = "path string, of_block long, of_place long, block long, place long, head boolean, record string, whole boolean"
+
+
+def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of a record that follow each other, as one row: the record (``whole``), or a piece of it."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = np.stack([batch["path"].dictionary_encode().indices.to_numpy(), *(pc.fill_null(batch[c], -1).to_numpy() for c in ("of_block", "of_place", "block"))])
+        place = batch["place"].to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], (at[:, 1:] != at[:, :-1]).any(axis=0) | (place[1:] != place[:-1] + 1)]))
+        end = np.append(first[1:], len(place))
+        starts_in, ends_in, head = (batch[c].to_numpy(zero_copy_only=False) for c in ("starts_in", "ends_in", "head"))
+        lines = pa.ListArray.from_arrays(pa.array(np.append(first, len(place)), pa.int32()), batch["value"])
+        kept = batch.select(["path", "of_block", "of_place", "block", "place"]).take(pa.array(first))
+        more = [pa.array(np.logical_or.reduceat(head, first)), pc.binary_join(lines, "\n"), pa.array(~starts_in[first] & ~ends_in[end - 1])]
+        yield pa.RecordBatch.from_arrays([*kept.columns, *more], [*kept.schema.names, "head", "record", "whole"])
+
+
 def records_of(marked: DataFrame) -> DataFrame:
     """``(path, head, record)``: the records of marked lines."""
-    placed = marked.join(block_states(marked), ["path", "block"])
+    # Written first: a row a block, whose size is known when the join is planned, so that lines need not move.
+    placed = marked.join(materialise(block_states(marked), "csv-states"), ["path", "block"])
     read = placed.selectExpr(
         "path", "block", "place", "value", "head", "carried",
         "CASE WHEN inside THEN in1 ELSE in0 END AS starts_in", "CASE WHEN inside THEN after1 ELSE after0 END AS ends_in",
         "CASE WHEN inside THEN start1 ELSE start0 END AS start",
     )
-    whole = read.where("NOT starts_in AND NOT ends_in").select("path", "head", F.col("value").alias("record"))
+    single = read.where("NOT starts_in AND NOT ends_in").select("path", "head", F.col("value").alias("record"))
     broken = read.where("starts_in OR ends_in").selectExpr(
-        "path", "head", "block", "place", "value", "CASE WHEN start >= 0 THEN block ELSE carried.block END AS of_block",
+        "path", "head", "block", "place", "value", "starts_in", "ends_in", "CASE WHEN start >= 0 THEN block ELSE carried.block END AS of_block",
         "CASE WHEN start >= 0 THEN start ELSE carried.place END AS of_place",
     )
-    lines = F.sort_array(F.collect_list(F.struct("block", "place", "value")))
-    joined = broken.groupBy("path", "of_block", "of_place").agg(F.bool_or("head").alias("head"), lines.alias("lines"))
-    joined = joined.select("path", "head", F.array_join("lines.value", "\n").alias("record"))
-    found = whole.unionByName(joined)
+    joined = materialise(broken.mapInArrow(join_lines, JOINED), "csv-joined")
+    pieces = F.sort_array(F.collect_list(F.struct("block", "place", "record")))
+    across = joined.where("NOT whole").groupBy("path", "of_block", "of_place").agg(F.bool_or("head").alias("head"), pieces.alias("pieces"))
+    across = across.select("path", "head", F.array_join("pieces.record", "\n").alias("record"))
+    found = single.unionByName(joined.where("whole").select("path", "head", "record")).unionByName(across)
     ended = F.when(F.endswith("record", F.lit("\r")), F.left("record", F.char_length("record") - 1)).otherwise(F.col("record"))
     bare = F.when(F.col("head"), F.ltrim(ended, F.lit("\ufeff"))).otherwise(ended)
     return found.select("path", "head", bare.alias("record")).where("record <> ''")

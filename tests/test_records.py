@@ -65,6 +65,25 @@ def test_a_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
     assert "FileScan csv" not in plan and "FileScan text" not in plan  # scanned once
 
 
+@pytest.mark.parametrize("batch", [10_000, 3])
+def test_lines_are_joined_where_they_are(spark, tmp_path, monkeypatch, batch):
+    """Only the pieces at the ends of a batch of lines, or of a block, are brought together."""
+    rows = spark.range(600).selectExpr("concat('r', id) AS id", "concat('a', repeat('\n', CAST(id % 5 AS INT)), '\"', id) AS note").coalesce(1)
+    write_csv(rows, str(tmp_path / "one"))
+    made, real, name = {}, records.materialise, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(records, "materialise", lambda df, purpose: made.setdefault(purpose, real(df, purpose)))
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(batch))
+    try:
+        got = read_source(spark, str(tmp_path / "one"), "csv")
+    finally:
+        spark.conf.set(name, before)
+    assert rows_of(got) == rows_of(rows)
+    whole = made["csv-joined"].where("whole").count()
+    assert whole + made["csv-joined"].where("NOT whole").select("of_block", "of_place").distinct().count() == 480
+    assert whole == 480 if batch == 10_000 else 0 < whole < 480
+
+
 def test_a_cell_that_covers_blocks(spark, tmp_path, small_blocks):
     long = "\n".join(f'line "{i}", still' for i in range(100))
     (tmp_path / "x.csv").write_text("k,v\n1,\"" + long.replace('"', '""') + "\"\n2,\"\n\"\n3,plain 5\" pipe\n4,z\n")
