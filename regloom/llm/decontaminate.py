@@ -27,6 +27,10 @@ SIMILARITY = 0.8
 RADIUS = 20
 # Benchmark shingles that are broadcast at most, 24 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+# Bytes that any other table of items takes at most where it is broadcast, what a row takes besides its text, and the text of a key.
+BROADCAST_BYTES = 16 << 20
+ROW_BYTES = 100
+KEY_BYTES = 64
 
 
 def hashed(words: str, at: str, width: int) -> str:
@@ -65,6 +69,15 @@ def prepared(benchmark: DataFrame) -> DataFrame:
     return items.withColumn("fp", simhash("transform(grams, g -> xxhash64(g))"))
 
 
+def beside(items: DataFrame, rows: int, text: int) -> DataFrame:
+    """A table of items as one side of a join with windows: broadcast if its ``rows`` and their ``text`` bytes are few, else shuffled.
+
+    Spark's own threshold is not asked: it knows the size of compressed files, which says little of the rows that are exploded from
+    them, and would broadcast windows as well.
+    """
+    return F.broadcast(items) if rows * ROW_BYTES + text <= BROADCAST_BYTES else items.hint("merge")
+
+
 def windows(docs: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
     """Item-sized windows of the documents that share a shingle with an item, lined up with it: doc_id, text (a hash),
     start, n, width and words."""
@@ -77,8 +90,7 @@ def windows(docs: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
         marks = own.where((F.col("width") == width) & (F.col("offset") + width <= F.col("n")))
         marks = marks.select(F.expr(hashed("wh", "offset", width)).alias("h"), "offset", "n").distinct()
         marks = materialise(marks, "op1-marks")
-        if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            marks = F.broadcast(marks)
+        marks = F.broadcast(marks) if marks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else marks.hint("merge")
         placed = source.where(F.col("at") + width <= F.size("wh")).withColumn("h", F.expr(hashed("wh", "at", width)))
         found = placed.join(marks, "h").select(
             "doc_id", "text", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start"),
@@ -92,7 +104,11 @@ def windows(docs: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """Verified pairs: doc_id, text (a hash), key (of the item's text), start, n, similarity."""
     items = materialise(prepared(benchmark), "op1-items")
-    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most SHINGLE values
+    sizes = items.groupBy("width").agg(
+        F.count("*").alias("items"), F.sum(F.size("grams")).alias("grams"),
+        F.sum(F.expr("aggregate(grams, 0L, (n, g) -> n + octet_length(g))")).alias("text"),
+    ).collect()
+    widths = sorted(r["width"] for r in sizes)  # at most SHINGLE values
     if not widths:
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("text"), F.lit("").alias("key"), F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit(0.0).alias("similarity")).limit(0)
     laid = windows(docs, items, widths).select("*", shingles("words", F.col("width")).alias("grams"))
@@ -101,14 +117,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarit
     number = radius + 1
     theirs = items.select("key", "n", F.col("fp").alias("item_fp"), blocks("fp", number).alias("b")).select("key", "n", "item_fp", "b.*")
     ours = laid.select("w", "doc_id", "text", "start", "n", "fp", blocks("fp", number).alias("b")).select("w", "doc_id", "text", "start", "n", "fp", "b.*")
+    n_items = sum(r["items"] for r in sizes)
+    theirs = beside(theirs, number * n_items, number * n_items * KEY_BYTES)
     near = ours.join(theirs, ["n", "block", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     near = near.select("w", "doc_id", "text", "start", "n", "key").distinct()
     gram = F.explode("grams").alias("gram")
     ours = laid.select("doc_id", "text", "start", "n", gram, F.size("grams").alias("size")).groupBy("doc_id", "text", "start", "n", "size", "gram").agg(F.count("*").alias("own"))
     theirs = items.select("key", gram, F.size("grams").alias("item_size")).groupBy("key", "item_size", "gram").agg(F.count("*").alias("other"))
-    # Null ids must meet as well: the join is on the null-safe row key.
+    theirs = beside(theirs, sum(r["grams"] for r in sizes), sum(r["grams"] * KEY_BYTES + r["text"] for r in sizes))
+    # Null ids must meet as well: the join is on the null-safe row key.  Both sides grow with the documents.
     same = [near[c].eqNullSafe(ours[c]) for c in ("doc_id", "text", "start", "n")]
-    shared = near.join(ours, same).select(near["doc_id"], near["text"], near["start"], near["n"], "key", "size", "gram", "own")
+    shared = near.join(ours.hint("merge"), same).select(near["doc_id"], near["text"], near["start"], near["n"], "key", "size", "gram", "own")
     shared = shared.join(theirs, ["key", "gram"]).groupBy("doc_id", "text", "start", "n", "key", "size", "item_size").agg(F.sum(F.least("own", "other")).alias("both"))
     value = F.col("both") / (F.col("size") + F.col("item_size") - F.col("both"))
     return shared.withColumn("similarity", value).where(F.col("similarity") >= similarity).select("doc_id", "text", "key", "start", "n", "similarity")
@@ -120,7 +139,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, s
     best = found.groupBy("doc_id", "key").agg(F.max(F.struct("similarity", (-F.col("start")).alias("later"), "n")).alias("b"))
     words = words_of(F.lower("text"))
     named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.sha2(F.array_join(words, " "), 256).alias("key"))
-    pairs = best.join(named, "key").groupBy("doc_id", "item_id").agg(F.max("b").alias("b"))
+    rows = benchmark.count()
+    pairs = best.join(beside(named, rows, rows * KEY_BYTES), "key").groupBy("doc_id", "item_id").agg(F.max("b").alias("b"))
     return pairs.select(
         "doc_id", "item_id", F.col("b.similarity").alias("similarity"), (-F.col("b.later")).cast("long").alias("window_start"),
         F.col("b.n").cast("long").alias("window_words"),

@@ -765,6 +765,27 @@ def test_decontaminate(docs, spark):
     assert collections.Counter(r.doc_id for r in left.collect()) == expected and left.columns == frame.columns
 
 
+def test_decontaminate_broadcasts_no_windows(spark, monkeypatch):
+    """Windows grow with the documents: however small their files, they are never sent to the driver. Large tables of items are not either."""
+    words = prose(200, 5).split()
+    items = [" ".join(words[i : i + 30]) for i in range(0, 150, 30)]
+    items += ["one two", items[0]]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, f"{prose(10, i)} {items[i % 5]} {prose(10, i + 1)}") for i in range(300)] + [(None, items[1]), (301, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def run():
+        found = decontaminate.contamination(docs, benchmark)
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        return sorted(found.collect(), key=str), [below for line, below in zip(plan, plan[1:]) if "BroadcastExchange" in line]
+
+    got, sent = run()
+    assert len({r.doc_id for r in got}) == 302 and not [x for x in sent if "start#" in x]
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert run() == (got, [])
+
+
 def test_empty_tables(none, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     benchmark = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
